@@ -1,0 +1,10 @@
+"""Streaming is out of scope, as in the reference design.
+
+The reference declares streaming (watermarks, windows over event time, state)
+out of scope and builds a batch pipeline: reload units are whole periods that
+are re-landed by replacing partitions.  This package therefore offers no
+streaming operator; late data is handled in batch by
+:func:`strata.operators.silver.run_silver` (event-time re-mapping with a
+tolerance).  The folder exists so a later round can add a Structured
+Streaming entry point without reshuffling the package.
+"""
