@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.layout import PARTITION_COLS, Layout, available_months
-from strata.operators.contract import TRIP_CONTRACT, ContractReport, check_schema
+from strata.operators.contract import TRIP_CONTRACT, ContractReport, check_schema, contract_schema
 from strata.operators.history import VersionedTable
 from strata.operators.provenance import enrich
 from strata.session import job_description
@@ -51,7 +51,7 @@ def check_units(
         path = layout.unit_path(*ym)
         return check_schema(spark.read.parquet(path).schema, expected, source=path.rsplit("/", 1)[-1])
 
-    with ThreadPoolExecutor(max_workers=8) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(32, len(months)))) as pool:
         return list(pool.map(one, months))
 
 
@@ -69,7 +69,7 @@ def ensure_bronze_table(
     """Open bronze, or declare it (empty version 1) from the contract (C4)."""
     if VersionedTable.exists(spark, layout.bronze):
         return VersionedTable(spark, layout.bronze)
-    landing = T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in expected.items()))
+    landing = contract_schema(expected)
     return VersionedTable.create(
         spark, layout.bronze, bronze_schema(landing), PARTITION_COLS, committed_at=committed_at
     )

@@ -36,6 +36,19 @@ TRIP_CONTRACT: dict[str, str] = {
 }
 
 
+_SIMPLE_TYPES = {
+    "tinyint": T.ByteType(), "smallint": T.ShortType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "float": T.FloatType(), "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(),
+    "binary": T.BinaryType(),
+}
+
+
+def contract_schema(expected: dict[str, str]) -> T.StructType:
+    """The contract as a ``StructType`` (flat types; no session needed)."""
+    return T.StructType([T.StructField(c, _SIMPLE_TYPES[t]) for c, t in expected.items()])
+
+
 class SchemaContractError(Exception):
     """Incoming data breaks the agreed shape."""
 

@@ -373,11 +373,14 @@ class VersionedTable:
         parent = self._head().version
         v = self.next_version()
 
-        # 1. data: a new _version folder; no existing file is touched
+        # 1. data: a new _version folder; no existing file is touched.  Task
+        #    output may become visible before the job ends (committer v2): no
+        #    reader looks at a version before its commit row exists.
         (
             df.select(*data_cols, *parts)
             .withColumn("_version", F.lit(v).cast("int"))
             .write.mode("append")
+            .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
             .partitionBy("_version", *parts)
             .parquet(self.data_path)
         )
