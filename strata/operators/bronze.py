@@ -120,6 +120,7 @@ def enriched_landing(spark: SparkSession, layout: Layout, batch_id: str) -> Data
 def write_plain(
     df: DataFrame, path: str, mode: str, *, overwrite_mode: str = "dynamic",
     partition_cols: tuple[str, ...] = PARTITION_COLS, files_per_partition: int | None = None,
+    coalesce_to: int | None = None,
 ) -> None:
     """Partitioned Parquet write.
 
@@ -130,7 +131,11 @@ def write_plain(
     * ``files_per_partition``: hash-distribute by partition key (plus a
       deterministic salt) before writing, so each table partition gets that
       many files instead of one per input task (C7, C10).
+    * ``coalesce_to``: merge input partitions without a shuffle (C8); cheaper,
+      but can leave tasks uneven and lowers write parallelism.
     """
+    if coalesce_to:
+        df = df.coalesce(coalesce_to)
     if files_per_partition:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
         df = df.repartition(*partition_cols, salt)
@@ -140,6 +145,11 @@ def write_plain(
     w.parquet(path)
 
 
+def create_namespace(spark: SparkSession, name: str) -> None:
+    """``CREATE NAMESPACE IF NOT EXISTS`` in the session catalog."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+
+
 def read_plain(spark: SparkSession, path: str) -> DataFrame:
     """Hive-partitioned read: partition columns rebuilt from folder names."""
     return spark.read.parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions import exact_sum, hour_of, is_weekend, safe_ratio, weekday_of
-from strata.operators.quality import REASONS
+from strata.operators.quality import REASONS, RejectRateExceeded
 
 
 def zone_daily(silver: DataFrame) -> DataFrame:
@@ -63,6 +63,19 @@ def reject_rate(silver: DataFrame, rejects: DataFrame) -> DataFrame:
     )
 
 
+def reject_alerts(rate: DataFrame, threshold: float) -> DataFrame:
+    """Q8: source months whose unusable fraction is above ``threshold``."""
+    return rate.where(F.col("reject_rate") > F.lit(threshold))
+
+
+def raise_on_reject_rate(rate: DataFrame, threshold: float) -> None:
+    """Q8: fail the run when any month is above the threshold (one small job)."""
+    bad = reject_alerts(rate, threshold).orderBy("src_year", "src_month").limit(12).collect()
+    if bad:
+        months = ", ".join(f"{r.src_year:04d}-{r.src_month:02d} ({r.reject_rate:.2%})" for r in bad)
+        raise RejectRateExceeded(f"reject rate above {threshold:.2%} in {months}")
+
+
 def reject_by_reason(rejects: DataFrame) -> DataFrame:
     """Rejected rows per source month and reason (a row may carry several)."""
     return (

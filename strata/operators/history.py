@@ -51,8 +51,9 @@ EXPIRED_SCHEMA = "version int, expired_at timestamp_ntz"
 VERSIONING_OPS = ("create", "overwrite", "append", "replace", "compact", "revert")
 POINTER_OPS = ("rollback", "set_current")
 
-# Above this many pins a read joins the pin table instead of listing folders.
-LITERAL_PIN_LIMIT = 2000
+# Up to this many pins a read lists exactly the pinned folders (Spark lists
+# many paths in parallel); above it, the root is scanned and semi-joined.
+LITERAL_PIN_LIMIT = 50_000
 # A pin table is broadcast only below this many rows (it is counted first).
 BROADCAST_PIN_LIMIT = 1_000_000
 
@@ -505,6 +506,12 @@ class VersionedTable:
             status.alias("status"),
         )
 
+    def register(self, name: str, version: int | None = None) -> DataFrame:
+        """Expose a version (current by default) to SQL as a temp view."""
+        df = self.read(version)
+        df.createOrReplaceTempView(name)
+        return df
+
     def describe(self) -> DataFrame:
         """``DESCRIBE TABLE`` (J11): column, type, partition flag."""
         parts = self.partition_cols

@@ -77,3 +77,44 @@ def cached_reuse(spark: SparkSession, silver: DataFrame, builds: list[Callable[[
     finally:
         if cache:
             src.unpersist()
+
+
+def standard_experiments(
+    spark: SparkSession, trips: DataFrame, dim: DataFrame, silver: DataFrame, runs: int = 3
+) -> list[Experiment]:
+    """The reference's tuning questions, one variable each.
+
+    * P1 shuffle partitions for a gold aggregate;
+    * P2 broadcast vs sort-merge for the dimension join;
+    * P3 a hot key (8% of rows): plain vs two-stage salted aggregate;
+    * P4 AQE off vs on for the same aggregate;
+    * C9 read split size for a full scan.
+    """
+    from pyspark.sql import functions as F
+
+    from strata.operators import dims, gold, skew
+
+    hot = trips.withColumn(
+        "zone_key", F.when(F.col("trip_id") % 100 < 8, F.lit(-1).cast("bigint")).otherwise(F.col("pu_location_id"))
+    )
+    return [
+        Experiment("shuffle_partitions", "spark.sql.shuffle.partitions", [8, 64, 200],
+                   lambda s, v: gold.zone_daily(silver), runs),
+        Experiment("join_strategy", "strategy", ["broadcast", "merge"],
+                   lambda s, v: dims.enrich_zones(trips, dim, key="pu_location_id", strategy=v), runs),
+        Experiment("skewed_key", "method", ["plain", "salted"],
+                   lambda s, v: (skew.plain_agg if v == "plain" else skew.salted_agg)(hot, "zone_key", "fare_amount"), runs),
+        Experiment("aqe", "spark.sql.adaptive.enabled", ["false", "true"],
+                   lambda s, v: gold.zone_daily(silver), runs),
+        Experiment("read_split", "spark.sql.files.maxPartitionBytes", ["1m", "16m", "128m"],
+                   lambda s, v: trips.select("trip_id", "fare_amount"), runs),
+    ]
+
+
+def run_experiments(spark: SparkSession, experiments: list[Experiment]) -> DataFrame:
+    """Run every experiment; one row per (experiment, value)."""
+    rows: list[tuple] = []
+    for e in experiments:
+        e.run(spark)
+        rows += e.results
+    return results_frame(spark, rows)
