@@ -180,7 +180,7 @@ def q_bench_table(spark, sf):
 
 # ----------------------------------------------------------------------------- landing / bronze
 def q_source_months(spark, sf):
-    return source_units(spark, _layers(spark, sf).landing_layout())
+    return source_units(spark, _layers(spark, sf).landing_layout()).select("year", "month", "unit", "files")
 
 
 def q_filename_parts(spark, sf):
@@ -743,6 +743,14 @@ FROM st"""),
        count(*) FILTER (WHERE fare_amount IS NULL) AS fare_nulls, count(DISTINCT pu_location_id) AS zones
 FROM conformed GROUP BY ALL"""),
     # ---- landing / bronze
+    "source_months": _with(_TRIPS, """SELECT year, month, 'period=' || strftime(o_orderdate, '%Y-%m') AS unit,
+       CAST(1 AS BIGINT) AS files FROM trips GROUP BY ALL"""),
+    "map_struct": _with(_TRIPS, """, n AS (SELECT CAST(count(*) AS VARCHAR) AS total, CAST(count(*) FILTER (WHERE year = 1996) AS VARCHAR) AS y96 FROM trips)
+SELECT 1 AS version, '0' AS added, 'create' AS operation FROM n
+UNION ALL SELECT 2, total, 'replace' FROM n
+UNION ALL SELECT 3, total, 'replace' FROM n
+UNION ALL SELECT 4, y96, 'replace' FROM n
+UNION ALL SELECT 5, '0', 'revert' FROM n"""),
     "filename_parts": _with(_TRIPS, "SELECT year, month, count(*) AS source_rows FROM trips GROUP BY ALL"),
     "string_tail": _with(_TRIPS, """SELECT 'period=' || strftime(o_orderdate, '%Y-%m') AS source_unit, count(*) AS rows
 FROM trips GROUP BY ALL"""),

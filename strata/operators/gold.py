@@ -9,6 +9,8 @@ grain; it never filters for quality.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -184,8 +186,7 @@ def build_gold(
     partition overwrite (writer option, not session), and its grain is then
     asserted on the written (small) table.
     """
-    out = {}
-    for name in tables or list(GOLD_TABLES):
+    def one(name: str) -> tuple[str, str]:
         fn, grain = GOLD_TABLES[name]
         path = f"{root}/{name}"
         with_lineage(fn(silver), silver_version).write.mode("overwrite").option(
@@ -194,5 +195,9 @@ def build_gold(
         written = spark.read.parquet(path).where(F.col("_silver_version") == silver_version)
         if grain_violations(written, grain).limit(1).count():
             raise AssertionError(f"gold {name}: grain {grain} is not unique")
-        out[name] = path
-    return out
+        return name, path
+
+    names = tables or list(GOLD_TABLES)
+    # independent tables: built as concurrent Spark jobs from driver threads
+    with ThreadPoolExecutor(max_workers=max(1, min(4, len(names)))) as pool:
+        return dict(pool.map(one, names))

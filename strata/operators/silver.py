@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,14 +145,17 @@ def rejects_schema() -> T.StructType:
 def open_tables(
     spark: SparkSession, silver_root: str, rejects_root: str, committed_at: dt.datetime | None = None
 ) -> tuple[VersionedTable, VersionedTable]:
-    def one(root, schema, parts):
+    def one(args):
+        root, schema, parts = args
         if VersionedTable.exists(spark, root):
             return VersionedTable(spark, root)
         return VersionedTable.create(spark, root, schema, parts, committed_at=committed_at)
-    return (
-        one(silver_root, silver_schema(), ["event_month"]),
-        one(rejects_root, rejects_schema(), ["src_year", "src_month"]),
-    )
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        s, r = pool.map(one, [
+            (silver_root, silver_schema(), ["event_month"]),
+            (rejects_root, rejects_schema(), ["src_year", "src_month"]),
+        ])
+    return s, r
 
 
 def run_silver(
@@ -205,10 +209,17 @@ def run_silver(
         month_idx = F.col("src_year") * 12 + F.col("src_month") - 1
         rejected = rejected.where(month_idx.isin(*[_month_index(y, m) for y, m in src_scope]))
 
-    sv = silver.write(kept.select(*silver_schema().fieldNames()), "replace", batch_id=batch_id,
-                      committed_at=committed_at, scope=event_scope)
-    rv = rejects.write(rejected.select(*rejects_schema().fieldNames()), "replace", batch_id=batch_id,
-                       committed_at=committed_at, scope=src_scope)
+    # two independent tables: their commits run as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_kept = pool.submit(
+            silver.write, kept.select(*silver_schema().fieldNames()), "replace",
+            batch_id=batch_id, committed_at=committed_at, scope=event_scope,
+        )
+        f_rej = pool.submit(
+            rejects.write, rejected.select(*rejects_schema().fieldNames()), "replace",
+            batch_id=batch_id, committed_at=committed_at, scope=src_scope,
+        )
+        sv, rv = f_kept.result(), f_rej.result()
     return sv, rv
 
 
