@@ -33,12 +33,15 @@ from strata.operators.dims import enrich_zones
 from strata.operators.history import HistoryError, VersionedTable
 from strata.operators.quality import REASONS, Rule, classify, default_rules
 
+# Time zone the source writes its wall-clock timestamps in; silver holds UTC.
+SOURCE_TIME_ZONE = "UTC"
+
 # The conform mapping, target column -> SQL expression on bronze.
 CONFORM: list[tuple[str, str]] = [
     ("trip_id", "l_orderkey"),
     ("line_no", "l_linenumber"),
-    ("pickup_at", "o_orderdate"),
-    ("dropoff_at", "l_shipdate"),
+    ("pickup_at", "convert_timezone('{tz}', 'UTC', o_orderdate)"),
+    ("dropoff_at", "convert_timezone('{tz}', 'UTC', l_shipdate)"),
     ("pu_location_id", "l_suppkey"),
     ("passenger_count", "try_cast(l_quantity AS INT)"),
     ("trip_distance", "round(l_discount * 100 + 0.0, 2)"),
@@ -57,9 +60,13 @@ CODE_COLUMNS = ("return_flag", "status_code")
 NAME_COLUMNS = ("priority_name",)
 
 
-def conform(bronze: DataFrame) -> DataFrame:
-    """One projection from bronze spelling to silver spelling and types."""
-    out = bronze.select(*[F.expr(e).alias(n) for n, e in CONFORM])
+def conform(bronze: DataFrame, source_time_zone: str = SOURCE_TIME_ZONE) -> DataFrame:
+    """One projection from bronze spelling to silver spelling, types and time zone.
+
+    Source wall-clock times (``timestamp_ntz``) are converted to UTC wall-clock
+    times, so silver has one time zone whatever the session's zone is.
+    """
+    out = bronze.select(*[F.expr(e.format(tz=source_time_zone)).alias(n) for n, e in CONFORM])
     return out.withColumns(
         {**{c: conform_code(c) for c in CODE_COLUMNS}, **{c: conform_name(c) for c in NAME_COLUMNS}}
     )
