@@ -77,20 +77,36 @@ def trip_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_landing(
-    spark: SparkSession, sf_dir: str, layout: Layout, *, files_per_unit: int = 1
+    spark: SparkSession, sf_dir: str, layout: Layout, *, rows_per_file: int = 4_000_000
 ) -> str:
     """Write the trip feed as one reload unit per order month.
 
-    ``landing/trips/period=YYYY-MM/part-*.parquet``.  Rows are spread over
-    ``files_per_unit`` files per period by a deterministic hash, so a hot
-    month can be split over several tasks and a retried task writes the same
-    rows.  Returns the landing path.
+    ``landing/trips/period=YYYY-MM/part-*.parquet``.  Each period gets
+    ``ceil(estimated rows / rows_per_file)`` files: the estimate is the period's
+    order count times the average lines per order, taken from ``orders`` and
+    ``lineitem`` counts (one small aggregate, one row per month, broadcast), so
+    a hot month is written by several tasks and the join is not computed twice.
+    Rows are assigned to files by a deterministic hash, so a retried task
+    writes the same rows.  Returns the landing path.
     """
-    trips = trip_records(spark, sf_dir)
-    salt = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey"), F.lit(files_per_unit))
+    trips = trip_records(spark, sf_dir).withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
+    orders = table(spark, sf_dir, "orders")
+    lines_per_order = table(spark, sf_dir, "lineitem").count() / max(1, orders.count())
+    files = (
+        orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("period"))
+        .agg(F.count(F.lit(1)).alias("orders"))
+        .select(
+            "period",
+            F.greatest(F.lit(1), F.ceil(F.col("orders") * F.lit(lines_per_order) / F.lit(rows_per_file)))
+            .cast("long").alias("_files"),
+        )
+    )
+    salt = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey"), F.col("_files"))
     (
-        trips.withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
-        .repartition("period", salt)
+        trips.join(F.broadcast(files), "period", "left")  # one row per calendar month
+        .withColumn("_salt", F.coalesce(salt, F.lit(0)))
+        .repartition("period", "_salt")
+        .drop("_files", "_salt")
         .write.mode("overwrite")
         .partitionBy("period")
         .parquet(layout.landing)
