@@ -368,6 +368,11 @@ def q_commit_delta(spark, sf):
     return t.commit_delta(h["partial"])
 
 
+def q_manifests(spark, sf):
+    t, h = _hist(spark, sf)
+    return t.manifests(h["partial"])
+
+
 def q_snapshots(spark, sf):
     t, _ = _hist(spark, sf)
     return t.snapshots()
@@ -790,6 +795,14 @@ SELECT {_ROWKEY_SQL.format(b="'run-3'")}, 'added' AS _change FROM trips WHERE ye
 SELECT 4 AS version, year, month, 4 AS data_version, records, 'added' AS status FROM m WHERE year = 1996
 UNION ALL SELECT 4, year, month, 3, records, 'deleted' FROM m WHERE year = 1996
 UNION ALL SELECT 4, year, month, 3, records, 'existing' FROM m WHERE year <> 1996"""),
+    "manifests": _with(_TRIPS, """, m AS (SELECT year, count(*) AS records FROM trips GROUP BY year, month)
+SELECT 4 AS version,
+       count(*) FILTER (WHERE year = 1996) AS added_partitions,
+       count(*) FILTER (WHERE year <> 1996) AS existing_partitions,
+       count(*) FILTER (WHERE year = 1996) AS deleted_partitions,
+       CAST(coalesce(sum(records) FILTER (WHERE year = 1996), 0) AS BIGINT) AS added_records,
+       CAST(coalesce(sum(records) FILTER (WHERE year = 1996), 0) AS BIGINT) AS deleted_records
+FROM m"""),
     "snapshots": _with(_TRIPS, """, n AS (SELECT count(*) AS total, count(*) FILTER (WHERE year = 1996) AS y96 FROM trips)
 SELECT CAST(1 AS BIGINT) AS seq, 1 AS version, CAST(NULL AS INTEGER) AS parent, 'create' AS operation,
        CAST(NULL AS VARCHAR) AS batch_id, CAST(0 AS BIGINT) AS added_records, CAST(0 AS BIGINT) AS deleted_records,

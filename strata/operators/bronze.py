@@ -120,7 +120,7 @@ def enriched_landing(spark: SparkSession, layout: Layout, batch_id: str) -> Data
 def write_plain(
     df: DataFrame, path: str, mode: str, *, overwrite_mode: str = "dynamic",
     partition_cols: tuple[str, ...] = PARTITION_COLS, files_per_partition: int | None = None,
-    coalesce_to: int | None = None,
+    coalesce_to: int | None = None, repartition_to: int | None = None,
 ) -> None:
     """Partitioned Parquet write.
 
@@ -134,6 +134,8 @@ def write_plain(
     * ``coalesce_to``: merge input partitions without a shuffle (C8); cheaper,
       but can leave tasks uneven and lowers write parallelism.
     """
+    if repartition_to:  # full shuffle into n tasks: up to n files per partition (C7)
+        df = df.repartition(repartition_to)
     if coalesce_to:
         df = df.coalesce(coalesce_to)
     if files_per_partition:

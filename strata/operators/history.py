@@ -512,6 +512,19 @@ class VersionedTable:
         df.createOrReplaceTempView(name)
         return df
 
+    def manifests(self, version: int) -> DataFrame:
+        """Per-commit summary (J3): partition folders and records added / kept / deleted."""
+        d = self.commit_delta(version)
+        def n(status: str, what):
+            return F.sum(F.when(F.col("status") == status, what).otherwise(0))
+        return d.agg(
+            n("added", F.lit(1)).alias("added_partitions"),
+            n("existing", F.lit(1)).alias("existing_partitions"),
+            n("deleted", F.lit(1)).alias("deleted_partitions"),
+            n("added", F.col("records")).alias("added_records"),
+            n("deleted", F.col("records")).alias("deleted_records"),
+        ).select(F.lit(version).cast("int").alias("version"), "*")
+
     def describe(self) -> DataFrame:
         """``DESCRIBE TABLE`` (J11): column, type, partition flag."""
         parts = self.partition_cols

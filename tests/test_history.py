@@ -89,6 +89,9 @@ def test_diff_and_commit_delta(spark, table):
     assert t.diff(a, b).count() == 6
     delta = {(r.month, r.data_version, r.status) for r in t.commit_delta(b).collect()}
     assert delta == {(1, a, "existing"), (2, a, "deleted"), (2, b, "added")}
+    m = t.manifests(b).first()
+    assert (m.added_partitions, m.existing_partitions, m.deleted_partitions) == (1, 1, 1)
+    assert (m.added_records, m.deleted_records) == (3, 3)
 
 
 def test_compact_keeps_rows_and_writes_few_files(spark, table):
