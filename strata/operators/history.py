@@ -692,14 +692,16 @@ class VersionedTable:
         return [r.data_version for r in rows]
 
     def compact(
-        self, rows_per_file: int = 1_000_000, *, batch_id: str | None = None,
-        committed_at: dt.datetime | None = None,
+        self, rows_per_file: int = 1_000_000, *, sort_by: Sequence[str] | None = None,
+        batch_id: str | None = None, committed_at: dt.datetime | None = None,
     ) -> int:
         """Rewrite the current version into few, evenly sized files.
 
         Each partition gets ``ceil(records / rows_per_file)`` output files; rows
         are spread over them by a deterministic hash, so a large partition is
         written by several tasks and a retried task rewrites the same rows.
+        ``sort_by`` clusters rows inside each file, so Parquet min/max statistics
+        let pushed-down filters on those columns skip row groups.
         """
         parts = self.partition_cols
         pins = self.pin_rows(self.current_version())
@@ -719,6 +721,8 @@ class VersionedTable:
             "_salt", F.pmod(F.xxhash64(*rows.columns), F.col("_k"))
         )
         out = salted.repartition(total, *parts, "_salt").drop("_k", "_salt")
+        if sort_by:
+            out = out.sortWithinPartitions(*parts, *sort_by)
         return self.write(
             out, "replace", batch_id=batch_id, committed_at=committed_at, operation="compact",
             scope=list(per_part),

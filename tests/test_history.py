@@ -100,9 +100,11 @@ def test_compact_keeps_rows_and_writes_few_files(spark, table):
         t.append(rows(spark, [(2024, 1)], f"r{i}").repartition(3), committed_at=at(i + 1))
     before = t.read().groupBy("batch").count().collect()
     files_before = t.files().count()
-    t.compact(rows_per_file=1000, committed_at=at(9))
+    t.compact(rows_per_file=1000, sort_by=["id"], committed_at=at(9))
     assert sorted(before) == sorted(t.read().groupBy("batch").count().collect())
     assert t.files().count() == 1 < files_before
+    ids = [r.id for r in t.read().collect()]
+    assert ids == sorted(ids)  # clustered inside the file
 
 
 def test_crashed_write_is_invisible_and_an_orphan(spark, table):
