@@ -430,7 +430,7 @@ def _classified(spark, sf):
     return quality.classify(c, quality.default_rules())
 
 
-def _rule_rows(spark, sf, rule: quality.Rule, event: str = "pickup_at"):
+def _rule_rows(spark, sf, rule: quality.Rule):
     c = silver_ops.conform(_layers(spark, sf).bronze())
     return c.where(rule.predicate).select("trip_id", "line_no", "src_year", "src_month")
 

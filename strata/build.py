@@ -168,7 +168,7 @@ class Built:
     def gold_paths(self) -> dict:
         def go():
             sv, _ = self.silver_versions()
-            return gold.build_gold(self.spark, self.silver(), sv, f"{self.layout.root}/gold")
+            return gold.build_gold(self.spark, self.silver(), sv, self.layout.gold)
         return self._once("gold", go)
 
 

@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None) -> dict:
         s = sv.read()
         if a.max_reject_rate is not None:
             gold.raise_on_reject_rate(gold.reject_rate(s, silver.read_rejects(spark, layout)), a.max_reject_rate)
-        out["tables"] = gold.build_gold(spark, s, sv.current_version(), f"{layout.root}/gold")
+        out["tables"] = gold.build_gold(spark, s, sv.current_version(), layout.gold)
     print(json.dumps(out))
     return out
 

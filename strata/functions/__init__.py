@@ -29,11 +29,6 @@ def exact_sum(x: str | Column) -> Column:
     return F.sum(_c(x).cast("decimal(18,4)")).cast("double")
 
 
-def exact_avg(x: str | Column) -> Column:
-    """Average from an exact sum and a count (the ratio is taken once, at the end)."""
-    return F.try_divide(exact_sum(x), F.count(_c(x)).cast("double"))
-
-
 def safe_ratio(num: Column, den: Column) -> Column:
     """``num / den`` that is NULL, not an error, when ``den`` is 0 (ANSI mode)."""
     return F.try_divide(num.cast("double"), den.cast("double"))
@@ -83,7 +78,6 @@ __all__ = [
     "conform_code",
     "conform_name",
     "event_date",
-    "exact_avg",
     "exact_sum",
     "hour_of",
     "is_weekend",

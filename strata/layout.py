@@ -53,11 +53,8 @@ class Layout:
         return f"{self.root}/silver/{self.source}_rejects"
 
     @property
-    def dims(self) -> str:
-        return f"{self.root}/silver/dim_zone"
-
-    def gold(self, table: str) -> str:
-        return f"{self.root}/gold/{table}"
+    def gold(self) -> str:
+        return f"{self.root}/gold"
 
     def unit_path(self, year: int, month: int) -> str:
         """Path of one reload unit (A4)."""
@@ -79,11 +76,6 @@ def unit_month(path: Column) -> Column:
     return F.regexp_extract(path, UNIT_PATTERN, 2).cast("int")
 
 
-def unit_name(path: Column) -> Column:
-    """The reload unit's folder name, e.g. ``period=1995-01``."""
-    return F.regexp_extract(path, r"(period=\d{4}-\d{2})", 1)
-
-
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """One row per file under ``path``: ``path, length, modificationTime``.
 

@@ -47,9 +47,9 @@ COMMITS_SCHEMA = T.StructType(
 )
 EXPIRED_SCHEMA = "version int, expired_at timestamp_ntz"
 
-# Operations that create a new table version (the others only move the pointer).
+# Operations that create a new table version; "rollback" and "set_current"
+# only move the pointer.
 VERSIONING_OPS = ("create", "overwrite", "append", "replace", "compact", "revert")
-POINTER_OPS = ("rollback", "set_current")
 
 # Up to this many pins a read lists exactly the pinned folders (Spark lists
 # many paths in parallel); above it, the root is scanned and semi-joined.
@@ -264,8 +264,9 @@ class VersionedTable:
         log.append(Row(**dict(zip(COMMITS_SCHEMA.fieldNames(), row))))
 
     # -------------------------------------------------------------------- read
-    def _data_schema(self) -> T.StructType:
-        schema = self.schema()
+    def _data_schema(self, schema: T.StructType | None = None) -> T.StructType:
+        """Read schema of the data folder: data columns, then _version, then partition columns."""
+        schema = schema or self.schema()
         parts = self.partition_cols
         data = [f for f in schema.fields if f.name not in parts]
         return T.StructType(data + [T.StructField("_version", T.IntegerType())] + [schema[c] for c in parts])
@@ -389,7 +390,7 @@ class VersionedTable:
         written: list[Row] = []
         if path_exists(self.spark, f"{self.data_path}/_version={v}"):
             written = (
-                self.spark.read.schema(self._data_schema_for(schema))
+                self.spark.read.schema(self._data_schema(schema))
                 .option("basePath", self.data_path)
                 .parquet(f"{self.data_path}/_version={v}")
                 .groupBy(*parts)
@@ -417,11 +418,6 @@ class VersionedTable:
         )
         return v
 
-    def _data_schema_for(self, schema: T.StructType) -> T.StructType:
-        parts = self.partition_cols
-        data = [f for f in schema.fields if f.name not in parts]
-        return T.StructType(data + [T.StructField("_version", T.IntegerType())] + [schema[c] for c in parts])
-
     def _commit_pins(
         self, v: int, parent: int | None, pins: Sequence[tuple], *, operation: str,
         batch_id: str | None, committed_at: dt.datetime | None, schema: T.StructType | None = None,
