@@ -90,12 +90,21 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+# Characters Spark escapes as %XX in partition folder names, and
+# the folder name of a NULL or empty partition value.
+_ESCAPED = set(chr(c) for c in range(1, 32)) | set('"#%\'*/:=?\\\x7f{[]^')
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _fmt_value(v) -> str:
+    """A partition value as Spark spells it in a folder name."""
+    if v is None or v == "":
+        return _NULL_PARTITION
     if isinstance(v, dt.datetime):
-        return v.isoformat(sep=" ")
-    if isinstance(v, dt.date):
-        return v.isoformat()
-    return str(v)
+        v = v.isoformat(sep=" ")
+    elif isinstance(v, dt.date):
+        v = v.isoformat()
+    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in str(v))
 
 
 class VersionedTable:

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators.history import HistoryError, VersionedTable
+from strata.operators.history import HistoryError, VersionedTable, list_subdirs
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -127,3 +127,38 @@ def test_expire_keeps_data_a_retained_version_needs(spark, table):
     _, plan = t.expire_plan(older_than=at(10), retain_last=1)
     # month 1 of v2 is still pinned by the current version: only month 2 of v2 goes
     assert {(r.data_version, r.month) for r in plan.collect()} == {(v2, 2)}
+
+
+def test_many_pins_path_matches_literal_paths(spark, table, monkeypatch):
+    """Above the literal-path limit a read scans the root and semi-joins the pins."""
+    import strata.operators.history as H
+
+    t = table
+    t.write(rows(spark, [(2024, 1), (2024, 2)], "a"), committed_at=at(1))
+    v = t.write(rows(spark, [(2024, 2), (2024, 3)], "b", per_month=4), committed_at=at(2))
+    expected = sorted(t.read(version=v).collect())
+    monkeypatch.setattr(H, "LITERAL_PIN_LIMIT", 0)
+    fresh = VersionedTable(spark, t.root)
+    assert sorted(fresh.read(version=v).collect()) == expected
+    assert fresh.read(version=v).count() == 3 + 4 + 4
+
+
+def test_string_partition_column_reads_by_semi_join(spark, layout):
+    df = spark.createDataFrame([(1, "a b"), (2, "c/d"), (3, "a b")], "id bigint, region string")
+    t = VersionedTable.create(spark, f"{layout.root}/s", df.schema, ["region"], committed_at=at(0))
+    t.write(df, committed_at=at(1))
+    t.write(spark.createDataFrame([(9, "c/d")], df.schema), committed_at=at(2))
+    got = sorted((r.id, r.region) for r in t.read().collect())
+    assert got == [(1, "a b"), (3, "a b"), (9, "c/d")]
+
+
+def test_expire_deletes_escaped_string_partition_folders(spark, layout):
+    df = spark.createDataFrame([(1, "a b"), (2, "c/d")], "id bigint, region string")
+    t = VersionedTable.create(spark, f"{layout.root}/e", df.schema, ["region"], committed_at=at(0))
+    v1 = t.write(df, committed_at=at(1))
+    t.write(spark.createDataFrame([(9, "c/d")], df.schema), committed_at=at(2))
+    done = t.expire(older_than=at(10), retain_last=1, expired_at=at(3))
+    assert [(r.data_version, r.region) for r in done.collect()] == [(v1, "c/d")]
+    folders = set(list_subdirs(spark, f"{t.data_path}/_version={v1}"))
+    assert folders == {"region=a b"}  # region=c%2Fd was deleted, the retained one stays
+    assert sorted(r.id for r in t.read().collect()) == [1, 9]
