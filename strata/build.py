@@ -96,7 +96,7 @@ class Built:
     def months(self) -> list[tuple[int, int]]:
         return sorted({(r.year, r.month) for r in self.bronze_table().pin_rows(self.bronze_version())})
 
-    def silver_versions(self) -> tuple[int, int]:
+    def silver_versions(self) -> silver.SilverRun:
         def go():
             self.bronze_version()
             return silver.run_silver(self.spark, self.layout, self.dim_zone(), RUN_1, committed_at=at(1))
@@ -167,7 +167,7 @@ class Built:
 
     def gold_paths(self) -> dict:
         def go():
-            sv, _ = self.silver_versions()
+            sv = self.silver_versions().silver_version
             return gold.build_gold(self.spark, self.silver(), sv, self.layout.gold)
         return self._once("gold", go)
 

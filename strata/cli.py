@@ -50,9 +50,11 @@ def main(argv: list[str] | None = None) -> dict:
     elif a.layer == "silver":
         zones = a.zones or f"{layout.root}/landing/zone_lookup"
         dim = dims.build_dim_zone(dims.conform_zones(read_zone_csv(spark, zones)))
-        out["version"], out["rejects_version"] = silver.run_silver(
+        run = silver.run_silver(
             spark, layout, dim, a.batch_id, months=months, tolerance_months=a.tolerance_months
         )
+        out.update(version=run.silver_version, rejects_version=run.rejects_version,
+                   rows=run.rows, rejected=run.rejected)
     else:
         sv = VersionedTable(spark, layout.silver)
         s = sv.read()

@@ -20,7 +20,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +33,7 @@ from strata.functions import conform_code, conform_name
 from strata.layout import Layout
 from strata.operators.dims import enrich_zones
 from strata.operators.history import HistoryError, VersionedTable
-from strata.operators.quality import REASONS, Rule, classify, default_rules
+from strata.operators.quality import REASONS, Rule, check_reject_rate, classify, default_rules, observed
 
 # Time zone the source writes its wall-clock timestamps in; silver holds UTC.
 SOURCE_TIME_ZONE = "UTC"
@@ -165,6 +167,13 @@ def open_tables(
     return s, r
 
 
+class SilverRun(NamedTuple):
+    silver_version: int
+    rejects_version: int
+    rows: int  # rows read and classified (observed during the write, no second pass)
+    rejected: int
+
+
 def run_silver(
     spark: SparkSession,
     layout: Layout,
@@ -179,10 +188,14 @@ def run_silver(
     rejects_root: str | None = None,
     committed_at: dt.datetime | None = None,
     bronze_version: int | None = None,
-) -> tuple[int, int]:
+    max_reject_rate: float | None = None,
+) -> SilverRun:
     """Rebuild silver and rejects for source ``months`` (all when None) (Q16).
 
-    Returns (silver version, rejects version).
+    Rows read and rejected are counted by an ``Observation`` while the kept
+    rows are written (Q7).  With ``max_reject_rate`` a run whose reject
+    fraction is higher raises ``RejectRateExceeded`` after committing (Q8):
+    the alert points upstream, and the commit can be rolled back.
     """
     silver, rejects = open_tables(
         spark, silver_root or layout.silver, rejects_root or layout.silver_rejects, committed_at
@@ -201,10 +214,11 @@ def run_silver(
     rows = bronze.scan_pins([r for r in pins if (r.year, r.month) in wanted])
     classified = classify(with_event_month(conform(rows), event), rules)
     bad = F.size(F.col(REASONS)) > 0
+    watched, obs = observed(classified, f"silver-{uuid.uuid4().hex[:8]}")
 
     event_scope = [(dt.date(y, m, 1),) for y, m in events]
     first, last = event_scope[0][0], event_scope[-1][0]
-    kept = classified.where(~bad).drop(REASONS)
+    kept = watched.where(~bad).drop(REASONS)
     if len(events) == events_span(events):
         kept = kept.where(F.col("event_month").between(F.lit(first), F.lit(last)))
     else:  # calendar-sized literal list
@@ -227,7 +241,11 @@ def run_silver(
             batch_id=batch_id, committed_at=committed_at, scope=src_scope,
         )
         sv, rv = f_kept.result(), f_rej.result()
-    return sv, rv
+    counts = obs.get
+    run = SilverRun(sv, rv, int(counts.get("rows", 0)), int(counts.get("rejected", 0)))
+    if max_reject_rate is not None:
+        check_reject_rate(run.rows, run.rejected, max_reject_rate)
+    return run
 
 
 def read_silver(spark: SparkSession, layout: Layout, version: int | None = None) -> DataFrame:

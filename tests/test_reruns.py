@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import bronze, dims, gold, quality, silver
@@ -32,9 +33,12 @@ def test_silver_twice_and_rollback_of_a_bad_rule(spark, layout):
     bronze.run_bronze(spark, layout, "b1")
     counts = []
     for b in ("s1", "s2"):
-        silver.run_silver(spark, layout, _dim(spark), b)
+        run = silver.run_silver(spark, layout, _dim(spark), b)
+        assert (run.rows, run.rejected) == (9, 3)  # observed during the write
         counts.append((silver.read_silver(spark, layout).count(), silver.read_rejects(spark, layout).count()))
     assert counts[0] == counts[1] == (6, 3)
+    with pytest.raises(quality.RejectRateExceeded):
+        silver.run_silver(spark, layout, _dim(spark), "s2b", max_reject_rate=0.2)
     good = VersionedTable(spark, layout.silver).current_version()
     # a bad rule rejects everything; roll silver back to the version before it
     bad_rule = quality.Rule("too_strict", "rejects every trip", F.lit(True))
@@ -47,7 +51,7 @@ def test_silver_twice_and_rollback_of_a_bad_rule(spark, layout):
 def test_gold_rebuild_changes_no_number(spark, layout):
     land(spark, layout, 2024, 3, [trip(l_orderkey=i, l_suppkey=i % 3 + 1, l_extendedprice=10.5 * i) for i in range(1, 20)])
     bronze.run_bronze(spark, layout, "b1")
-    sv, _ = silver.run_silver(spark, layout, _dim(spark), "s1")
+    sv = silver.run_silver(spark, layout, _dim(spark), "s1").silver_version
     s = silver.read_silver(spark, layout)
     paths = gold.build_gold(spark, s, sv, layout.gold)
     first = {n: sorted(spark.read.parquet(p).collect()) for n, p in paths.items()}
