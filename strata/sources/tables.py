@@ -9,6 +9,8 @@ given tables, so the work grows with them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,29 +86,29 @@ def stage_landing(
     ``landing/trips/period=YYYY-MM/part-*.parquet``.  Each period gets
     ``ceil(estimated rows / rows_per_file)`` files: the estimate is the period's
     order count times the average lines per order, taken from ``orders`` and
-    ``lineitem`` counts (one small aggregate, one row per month, broadcast), so
-    a hot month is written by several tasks and the join is not computed twice.
+    ``lineitem`` counts (one small aggregate, one row per calendar month, used
+    as a literal map), so a hot month is written by several tasks and the join
+    is not computed twice.
     Rows are assigned to files by a deterministic hash, so a retried task
     writes the same rows.  Returns the landing path.
     """
     trips = trip_records(spark, sf_dir).withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
     orders = table(spark, sf_dir, "orders")
     lines_per_order = table(spark, sf_dir, "lineitem").count() / max(1, orders.count())
-    files = (
+    per_month = (
         orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("period"))
         .agg(F.count(F.lit(1)).alias("orders"))
-        .select(
-            "period",
-            F.greatest(F.lit(1), F.ceil(F.col("orders") * F.lit(lines_per_order) / F.lit(rows_per_file)))
-            .cast("long").alias("_files"),
-        )
+        .collect()  # one row per calendar month: metadata-sized
     )
-    salt = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey"), F.col("_files"))
+    files = {r.period: max(1, math.ceil(r.orders * lines_per_order / rows_per_file)) for r in per_month}
+    # a literal map lookup: no join, nothing to broadcast
+    lookup = F.create_map(*[x for p, k in sorted(files.items()) for x in (F.lit(p), F.lit(k))])
+    n_files = F.coalesce(F.element_at(lookup, F.col("period")), F.lit(1)).cast("long")
+    salt = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_suppkey"), n_files)
     (
-        trips.join(F.broadcast(files), "period", "left")  # one row per calendar month
-        .withColumn("_salt", F.coalesce(salt, F.lit(0)))
+        trips.withColumn("_salt", salt)
         .repartition("period", "_salt")
-        .drop("_files", "_salt")
+        .drop("_salt")
         .write.mode("overwrite")
         .partitionBy("period")
         .parquet(layout.landing)
