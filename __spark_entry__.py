@@ -551,7 +551,7 @@ def q_gold_zone_daily(spark, sf):
 
 
 def q_gold_borough_summary(spark, sf):
-    return gold.borough_summary(_layers(spark, sf).silver())
+    return gold.borough_summary(gold.zone_daily(_layers(spark, sf).silver()))
 
 
 def q_gold_reject_rate(spark, sf):
@@ -569,11 +569,11 @@ def q_reject_rate_delta(spark, sf):
 
 
 def q_zone_rank(spark, sf):
-    return gold.zone_rank(_layers(spark, sf).silver())
+    return gold.zone_rank(gold.zone_daily(_layers(spark, sf).silver()))
 
 
 def q_running_total(spark, sf):
-    return gold.running_total(_layers(spark, sf).silver())
+    return gold.running_total(gold.zone_daily(_layers(spark, sf).silver()))
 
 
 def q_gold_grain(spark, sf):

@@ -168,7 +168,10 @@ class Built:
     def gold_paths(self) -> dict:
         def go():
             sv = self.silver_versions().silver_version
-            return gold.build_gold(self.spark, self.silver(), sv, self.layout.gold)
+            return gold.build_gold(
+                self.spark, self.silver(), sv, self.layout.gold,
+                rejects=self.rejects(), bridge=dims.zone_cells(self.zones()),
+            )
         return self._once("gold", go)
 
 

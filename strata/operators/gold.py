@@ -1,10 +1,13 @@
 """Gold: one table per question, built only from silver.
 
-Every table aggregates first and ranks / accumulates second, so windows run
-over a few rows per zone and day instead of over trips.  Money sums go
-through decimal(18,4) so the same input always gives the same number; ratios
-are taken from sums, never averaged (they are not additive).  Gold asserts its
-grain; it never filters for quality.
+Silver is aggregated **once**, at the finest gold grain (zone x day x hour);
+the borough summary, zone ranks, running totals and grid demand are rolled up
+from that table, so a gold build scans silver once instead of once per table.
+Windows therefore run over a few rows per zone and day, never over trips.
+Money sums go through decimal(18,4) -- and back to it when rolling up -- so
+the same input always gives the same number; ratios are taken from sums,
+never averaged (they are not additive).  Gold asserts its grain; it never
+filters for quality.
 """
 
 from __future__ import annotations
@@ -40,13 +43,17 @@ def hourly_demand(df: DataFrame, ts: str = "ts", value: str = "value") -> DataFr
     )
 
 
-def borough_summary(silver: DataFrame) -> DataFrame:
-    """Volume, average fare and tipping rate per borough (ratios of sums)."""
-    fare = F.sum(F.col("fare_amount").cast("decimal(18,4)"))
-    tips = F.sum(F.col("tip_amount").cast("decimal(18,4)"))
-    return silver.groupBy("pu_borough").agg(
-        F.count(F.lit(1)).alias("trips"),
-        safe_ratio(fare, F.count(F.lit(1))).alias("avg_fare"),
+def _dec(c: str):
+    """A money column of a gold table back as the exact decimal it was summed as."""
+    return F.col(c).cast("decimal(18,4)")
+
+
+def borough_summary(daily: DataFrame) -> DataFrame:
+    """Volume, average fare and tipping rate per borough, rolled up from ``zone_daily``."""
+    fare, tips, trips = F.sum(_dec("revenue")), F.sum(_dec("tips")), F.sum("trips")
+    return daily.groupBy("pu_borough").agg(
+        trips.alias("trips"),
+        safe_ratio(fare, trips).alias("avg_fare"),
         safe_ratio(tips, fare).alias("tip_rate"),
     )
 
@@ -101,16 +108,13 @@ def reject_rate_delta(rate: DataFrame) -> DataFrame:
     )
 
 
-def zone_month_revenue(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("event_month", "pu_location_id").agg(
-        F.sum(F.col("fare_amount").cast("decimal(18,4)")).alias("_rev")
-    )
-
-
-def zone_rank(silver: DataFrame) -> DataFrame:
-    """Zones ranked by revenue within each month (ties broken by zone id)."""
+def zone_rank(daily: DataFrame) -> DataFrame:
+    """Zones ranked by revenue within each month (ties broken by zone id), from ``zone_daily``."""
+    monthly = daily.groupBy(
+        F.trunc("pickup_date", "month").alias("event_month"), "pu_location_id"
+    ).agg(F.sum(_dec("revenue")).alias("_rev"))
     w = Window.partitionBy("event_month").orderBy(F.desc("_rev"), "pu_location_id")
-    return zone_month_revenue(silver).select(
+    return monthly.select(
         "event_month", "pu_location_id",
         F.col("_rev").cast("double").alias("revenue"),
         F.rank().over(w).alias("rank"),
@@ -118,15 +122,13 @@ def zone_rank(silver: DataFrame) -> DataFrame:
     )
 
 
-def running_total(silver: DataFrame) -> DataFrame:
-    """Cumulative revenue by day per zone (exact decimal accumulation)."""
-    daily = silver.groupBy("pu_location_id", F.to_date("pickup_at").alias("pickup_date")).agg(
-        F.sum(F.col("fare_amount").cast("decimal(18,4)")).alias("_rev")
-    )
+def running_total(daily: DataFrame) -> DataFrame:
+    """Cumulative revenue by day per zone (exact decimal accumulation), from ``zone_daily``."""
+    per_day = daily.groupBy("pu_location_id", "pickup_date").agg(F.sum(_dec("revenue")).alias("_rev"))
     w = Window.partitionBy("pu_location_id").orderBy("pickup_date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return daily.select(
+    return per_day.select(
         "pu_location_id", "pickup_date",
         F.col("_rev").cast("double").alias("revenue"),
         F.sum("_rev").over(w).cast("double").alias("cumulative_revenue"),
@@ -168,28 +170,34 @@ def with_lineage(df: DataFrame, silver_version: int) -> DataFrame:
     return df.withColumn("_silver_version", F.lit(silver_version).cast("int"))
 
 
-GOLD_TABLES = {
-    "zone_daily": (zone_daily, ["pu_location_id", "pickup_date", "pickup_hour"]),
+# Tables rolled up from zone_daily: name -> (builder, grain).
+ROLLUPS = {
     "borough_summary": (borough_summary, ["pu_borough"]),
     "zone_rank": (zone_rank, ["event_month", "pu_location_id"]),
     "running_total": (running_total, ["pu_location_id", "pickup_date"]),
 }
+DAILY_GRAIN = ["pu_location_id", "pickup_date", "pickup_hour"]
 
 
 def build_gold(
     spark: SparkSession, silver: DataFrame, silver_version: int, root: str,
-    tables: list[str] | None = None,
+    *, rejects: DataFrame | None = None, bridge: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Q17: rebuild gold tables from silver; rerunning changes no number.
+    """Q17: rebuild gold from silver; rerunning changes no number.
 
-    Each table is stamped with its silver version, written with a dynamic
-    partition overwrite (writer option, not session), and its grain is then
-    asserted on the written (small) table.
+    1. ``zone_daily`` is the one job that scans silver; it is written and its
+       grain asserted on the written table.
+    2. Every other table is rolled up from the written ``zone_daily`` (lineage
+       cut by storage), concurrently: borough summary, zone ranks, running
+       totals, plus grid demand when a zone -> cell ``bridge`` is given and the
+       reject rate when ``rejects`` is given (that one reads two silver columns).
+
+    Each table is stamped with its silver version and written with a dynamic
+    partition overwrite on that version (writer option, not session).
     """
-    def one(name: str) -> tuple[str, str]:
-        fn, grain = GOLD_TABLES[name]
+    def write(name: str, df: DataFrame, grain: list[str]) -> tuple[str, str]:
         path = f"{root}/{name}"
-        with_lineage(fn(silver), silver_version).write.mode("overwrite").option(
+        with_lineage(df, silver_version).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("_silver_version").parquet(path)
         written = spark.read.parquet(path).where(F.col("_silver_version") == silver_version)
@@ -197,7 +205,16 @@ def build_gold(
             raise AssertionError(f"gold {name}: grain {grain} is not unique")
         return name, path
 
-    names = tables or list(GOLD_TABLES)
+    out = dict([write("zone_daily", zone_daily(silver), DAILY_GRAIN)])
+    daily = spark.read.parquet(out["zone_daily"]).where(F.col("_silver_version") == silver_version)
+    jobs = [(name, fn(daily), grain) for name, (fn, grain) in ROLLUPS.items()]
+    if bridge is not None:
+        from strata.operators.grid import grid_demand_from_daily
+
+        jobs.append(("grid_demand", grid_demand_from_daily(daily, bridge), ["cell_id"]))
+    if rejects is not None:
+        jobs.append(("reject_rate", reject_rate(silver, rejects), ["src_year", "src_month"]))
     # independent tables: built as concurrent Spark jobs from driver threads
-    with ThreadPoolExecutor(max_workers=max(1, min(4, len(names)))) as pool:
-        return dict(pool.map(one, names))
+    with ThreadPoolExecutor(max_workers=max(1, min(4, len(jobs)))) as pool:
+        out.update(pool.map(lambda j: write(*j), jobs))
+    return out

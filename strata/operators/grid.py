@@ -44,6 +44,12 @@ def grid_demand(trips: DataFrame, bridge: DataFrame, keys: list[str] | None = No
     )
 
 
+def grid_demand_from_daily(daily: DataFrame, bridge: DataFrame) -> DataFrame:
+    """G12 rolled up from gold ``zone_daily`` (trip counts per zone) instead of silver."""
+    z = apportion(daily.groupBy("pu_location_id").agg(F.sum("trips").alias("trips")), bridge)
+    return z.groupBy("cell_id").agg(F.round(F.sum(F.col("trips") * F.col("weight")), 6).alias("demand"))
+
+
 def cells_without_zone_trips(bridge: DataFrame, dim: DataFrame) -> DataFrame:
     """Zones of the dimension that have no cell (reported, not dropped)."""
     return dim.join(bridge.select("location_id").distinct(), "location_id", "left_anti")
