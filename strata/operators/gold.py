@@ -48,13 +48,25 @@ def _dec(c: str):
     return F.col(c).cast("decimal(18,4)")
 
 
-def borough_summary(daily: DataFrame) -> DataFrame:
-    """Volume, average fare and tipping rate per borough, rolled up from ``zone_daily``."""
-    fare, tips, trips = F.sum(_dec("revenue")), F.sum(_dec("tips")), F.sum("trips")
-    return daily.groupBy("pu_borough").agg(
+def _measures(df: DataFrame):
+    """(day, revenue, tips, trips) for silver trips or for ``zone_daily`` rows.
+
+    The roll-ups below accept either: asked of silver they aggregate trips once;
+    inside ``build_gold`` they roll up the stored ``zone_daily`` table instead.
+    """
+    if "fare_amount" in df.columns:  # silver: one row per trip
+        return F.to_date("pickup_at"), _dec("fare_amount"), _dec("tip_amount"), F.count(F.lit(1))
+    return F.col("pickup_date"), _dec("revenue"), _dec("tips"), F.sum("trips")
+
+
+def borough_summary(df: DataFrame) -> DataFrame:
+    """Volume, average fare and tipping rate per borough (ratios of exact sums)."""
+    _, revenue, tips, trips = _measures(df)
+    fare, tip = F.sum(revenue), F.sum(tips)
+    return df.groupBy("pu_borough").agg(
         trips.alias("trips"),
         safe_ratio(fare, trips).alias("avg_fare"),
-        safe_ratio(tips, fare).alias("tip_rate"),
+        safe_ratio(tip, fare).alias("tip_rate"),
     )
 
 
@@ -108,11 +120,12 @@ def reject_rate_delta(rate: DataFrame) -> DataFrame:
     )
 
 
-def zone_rank(daily: DataFrame) -> DataFrame:
-    """Zones ranked by revenue within each month (ties broken by zone id), from ``zone_daily``."""
-    monthly = daily.groupBy(
-        F.trunc("pickup_date", "month").alias("event_month"), "pu_location_id"
-    ).agg(F.sum(_dec("revenue")).alias("_rev"))
+def zone_rank(df: DataFrame) -> DataFrame:
+    """Zones ranked by revenue within each month (ties broken by zone id)."""
+    day, revenue, _, _ = _measures(df)
+    monthly = df.groupBy(F.trunc(day, "month").alias("event_month"), "pu_location_id").agg(
+        F.sum(revenue).alias("_rev")
+    )
     w = Window.partitionBy("event_month").orderBy(F.desc("_rev"), "pu_location_id")
     return monthly.select(
         "event_month", "pu_location_id",
@@ -122,9 +135,10 @@ def zone_rank(daily: DataFrame) -> DataFrame:
     )
 
 
-def running_total(daily: DataFrame) -> DataFrame:
-    """Cumulative revenue by day per zone (exact decimal accumulation), from ``zone_daily``."""
-    per_day = daily.groupBy("pu_location_id", "pickup_date").agg(F.sum(_dec("revenue")).alias("_rev"))
+def running_total(df: DataFrame) -> DataFrame:
+    """Cumulative revenue by day per zone (exact decimal accumulation)."""
+    day, revenue, _, _ = _measures(df)
+    per_day = df.groupBy("pu_location_id", day.alias("pickup_date")).agg(F.sum(revenue).alias("_rev"))
     w = Window.partitionBy("pu_location_id").orderBy("pickup_date").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
