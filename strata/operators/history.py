@@ -413,12 +413,13 @@ class VersionedTable:
         elif mode == "append":
             kept = old
         else:
-            if scope is None:
-                touched = {t[: len(parts)] for t in new}
-            elif isinstance(scope, DataFrame):
-                touched = {tuple(r[c] for c in parts) for r in scope.select(*parts).distinct().collect()}
-            else:
-                touched = {tuple(t) for t in scope}
+            # every partition written is replaced, plus any extra scope (which
+            # may name partitions that are now empty)
+            touched = {t[: len(parts)] for t in new}
+            if isinstance(scope, DataFrame):
+                touched |= {tuple(r[c] for c in parts) for r in scope.select(*parts).distinct().collect()}
+            elif scope is not None:
+                touched |= {tuple(t) for t in scope}
             kept = [r for r in old if tuple(r[c] for c in parts) not in touched]
         rows = [(*[r[c] for c in parts], r.data_version, r.records) for r in kept] + new
         self._commit_pins(

@@ -211,10 +211,12 @@ def run_silver(
     # bronze rows of the source months that can hold the affected event months:
     # exactly those partition folders are read
     wanted = set(sources)
-    rows = bronze.scan_pins([r for r in pins if (r.year, r.month) in wanted])
+    src_pins = [r for r in pins if (r.year, r.month) in wanted]
+    rows = bronze.scan_pins(src_pins)
     classified = classify(with_event_month(conform(rows), event), rules)
     bad = F.size(F.col(REASONS)) > 0
-    watched, obs = observed(classified, f"silver-{uuid.uuid4().hex[:8]}")
+    # counts ride along with the kept-rows write (nothing to observe without input)
+    watched, obs = observed(classified, f"silver-{uuid.uuid4().hex[:8]}") if src_pins else (classified, None)
 
     event_scope = [(dt.date(y, m, 1),) for y, m in events]
     first, last = event_scope[0][0], event_scope[-1][0]
@@ -241,7 +243,7 @@ def run_silver(
             batch_id=batch_id, committed_at=committed_at, scope=src_scope,
         )
         sv, rv = f_kept.result(), f_rej.result()
-    counts = obs.get
+    counts = obs.get if obs is not None else {"rows": 0, "rejected": 0}
     run = SilverRun(sv, rv, int(counts.get("rows", 0)), int(counts.get("rejected", 0)))
     if max_reject_rate is not None:
         check_reject_rate(run.rows, run.rejected, max_reject_rate)

@@ -144,3 +144,11 @@ def test_static_overwrite_drops_other_partitions(spark, layout):
     bronze.write_plain(march, f"{path}_copy", "overwrite")
     bronze.write_plain(bronze.read_plain(spark, f"{path}_copy"), path, "overwrite", overwrite_mode="static")
     assert [r.month for r in bronze.read_plain(spark, path).select("month").distinct().collect()] == [3]
+
+
+def test_silver_for_a_month_without_bronze_rows_is_empty(spark, layout):
+    land(spark, layout, 2024, 3, [trip()])
+    bronze.run_bronze(spark, layout, "b1")
+    run = silver.run_silver(spark, layout, dim(spark), "s1", months=[(2023, 1)])
+    assert (run.rows, run.rejected) == (0, 0)
+    assert silver.read_silver(spark, layout).count() == 0

@@ -162,3 +162,12 @@ def test_expire_deletes_escaped_string_partition_folders(spark, layout):
     folders = set(list_subdirs(spark, f"{t.data_path}/_version={v1}"))
     assert folders == {"region=a b"}  # region=c%2Fd was deleted, the retained one stays
     assert sorted(r.id for r in t.read().collect()) == [1, 9]
+
+
+def test_replace_always_covers_written_partitions(spark, table):
+    t = table
+    t.write(rows(spark, [(2024, 1), (2024, 2)], "a"), committed_at=at(1))
+    # scope names month 1 only, but month 2 is written too: both are replaced
+    t.write(rows(spark, [(2024, 2)], "b"), scope=[(2024, 1)], committed_at=at(2))
+    got = sorted((r.month, r.batch) for r in t.read().select("month", "batch").distinct().collect())
+    assert got == [(2, "b")]
