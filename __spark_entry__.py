@@ -314,7 +314,10 @@ def q_schema_evolve(spark, sf):
 def q_storage_size(spark, sf):
     t = _layers(spark, sf).bronze_table()
     t.files().createOrReplaceTempView("strata_bronze_files")
-    return spark.sql("SELECT count(*) AS files, sum(record_count) AS records FROM strata_bronze_files")
+    return spark.sql(
+        "SELECT count(*) AS files, sum(record_count) AS records, "
+        "sum(file_size_in_bytes) / 1024 / 1024 AS size_mb FROM strata_bronze_files"
+    )
 
 
 # ----------------------------------------------------------------------------- history

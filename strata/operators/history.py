@@ -304,7 +304,10 @@ class VersionedTable:
         schema = self.schema()
         if not pins:
             df = self.spark.createDataFrame([], schema)
-            return df.withColumn("_metadata_file", F.lit(None).cast("string")) if metadata else df
+            if metadata:
+                df = df.withColumns({"_metadata_file": F.lit(None).cast("string"),
+                                     "_metadata_size": F.lit(None).cast("bigint")})
+            return df
         reader = self.spark.read.schema(self._data_schema()).option("basePath", self.data_path)
         if len(pins) <= LITERAL_PIN_LIMIT and self._literal_paths_ok():
             df = reader.parquet(*self._pin_paths(pins))
@@ -318,8 +321,9 @@ class VersionedTable:
                 key = F.broadcast(key)
             df = reader.parquet(self.data_path).join(key, ["_version", *parts], "left_semi")
         if metadata:
-            df = df.withColumn("_metadata_file", F.col("_metadata.file_path"))
-        cols = schema.fieldNames() + (["_metadata_file"] if metadata else [])
+            df = df.withColumns({"_metadata_file": F.col("_metadata.file_path"),
+                                 "_metadata_size": F.col("_metadata.file_size")})
+        cols = schema.fieldNames() + (["_metadata_file", "_metadata_size"] if metadata else [])
         return df.select(*cols)
 
     def _pins_schema_nov(self) -> T.StructType:
@@ -487,10 +491,13 @@ class VersionedTable:
         v = self.current_version() if version is None else version
         df = self.scan_pins(self.pin_rows(v), metadata=True)
         return (
-            df.groupBy(*self.partition_cols, "_metadata_file")
+            df.groupBy(*self.partition_cols, "_metadata_file", "_metadata_size")
             .agg(F.count(F.lit(1)).alias("record_count"))
-            .withColumn("file", F.substring_index("_metadata_file", "/", -1))
-            .drop("_metadata_file")
+            .select(
+                *self.partition_cols, "record_count",
+                F.col("_metadata_size").alias("file_size_in_bytes"),
+                F.substring_index("_metadata_file", "/", -1).alias("file"),
+            )
         )
 
     def commit_delta(self, version: int) -> DataFrame:
