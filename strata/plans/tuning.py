@@ -118,3 +118,65 @@ def run_experiments(spark: SparkSession, experiments: list[Experiment]) -> DataF
         e.run(spark)
         rows += e.results
     return results_frame(spark, rows)
+
+
+def bucketed_join_experiment(
+    spark: SparkSession, left: DataFrame, right: DataFrame, key: str, root: str,
+    buckets: int = 16, runs: int = 3, name: str = "bucketed_join",
+) -> list[tuple]:
+    """D-tier bench row: the same join over plain vs bucketed tables.
+
+    Both sides are written ``bucketBy(buckets, key)`` as catalog tables whose
+    files live under ``root`` (the shared folder); joining equal bucketings
+    needs no exchange.  Rows: (experiment, variable, value, median, min, max,
+    exchanges, joins).
+    """
+    import uuid
+
+    tag = uuid.uuid4().hex[:8]
+    names = []
+    for side, df in (("l", left), ("r", right)):
+        t = f"strata_bkt_{side}_{tag}"
+        df.write.bucketBy(buckets, key).sortBy(key).option("path", f"{root}/{t}").saveAsTable(t)
+        names.append(t)
+    variants = {
+        "plain": lambda: left.join(right, key),
+        "bucketed": lambda: spark.table(names[0]).join(spark.table(names[1]), key),
+    }
+    rows = []
+    with conf_override(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for value, make in variants.items():
+            df = make()
+            facts = plan_facts(df)
+            times = [run_noop(df) for _ in range(runs)]
+            rows.append((name, "layout", value, statistics.median(times), min(times), max(times),
+                         facts.exchanges, ",".join(facts.joins)))
+    for t in names:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")  # catalog entry only; files stay under root
+    return rows
+
+
+def clustering_experiment(
+    spark: SparkSession, df: DataFrame, key: str, value, root: str, runs: int = 3,
+    name: str = "clustered_filter",
+) -> list[tuple]:
+    """D-tier bench row: a point filter on ``key`` over unsorted vs clustered files.
+
+    The clustered copy is range-partitioned and sorted on ``key`` so Parquet
+    min/max statistics let the pushed filter skip files and row groups.
+    """
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    tag = uuid.uuid4().hex[:8]
+    n = max(1, spark.sparkContext.defaultParallelism)
+    paths = {"unsorted": f"{root}/unsorted_{tag}", "clustered": f"{root}/clustered_{tag}"}
+    df.repartition(n).write.parquet(paths["unsorted"])
+    df.repartitionByRange(n, key).sortWithinPartitions(key).write.parquet(paths["clustered"])
+    rows = []
+    for variant, path in paths.items():
+        q = spark.read.parquet(path).where(F.col(key) == F.lit(value))
+        times = [run_noop(q) for _ in range(runs)]
+        rows.append((name, "layout", variant, statistics.median(times), min(times), max(times), 0, ""))
+    return rows

@@ -119,3 +119,13 @@ def test_no_positional_union_or_rename():
 def test_no_python_udfs_in_library():
     for p, text in _library_sources():
         assert not re.search(r"\budf\(|pandas_udf|@F\.udf", text), p
+
+
+def test_bucketed_join_needs_no_exchange(spark, layout):
+    from strata.plans.tuning import bucketed_join_experiment, clustering_experiment
+
+    li = table(spark, SF_SMALL, "lineitem").select("l_suppkey", "l_quantity")
+    su = table(spark, SF_SMALL, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    rows = {r[2]: r for r in bucketed_join_experiment(spark, li, su, "l_suppkey", layout.root, buckets=4, runs=1)}
+    assert rows["plain"][6] == 2 and rows["bucketed"][6] == 0
+    assert len(clustering_experiment(spark, li, "l_suppkey", 3, layout.root, runs=1)) == 2
