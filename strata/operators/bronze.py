@@ -3,9 +3,9 @@
 ``run_bronze`` is the unit of work: discover units -> check every unit's
 footer against the contract (driver-side, no job, before anything is
 written) -> one scan over all accepted units -> enrich -> one ``replace``
-commit.  The whole run is a single Spark job and a single atomic commit, so
-landing 1,000 months costs one job, not 1,000.  Rows are never filtered,
-renamed or retyped here.
+commit.  The whole run is one pass over the data (plus a footer-only count
+of what was written) and one atomic commit, so landing 1,000 months costs one
+write job, not 1,000.  Rows are never filtered, renamed or retyped here.
 """
 
 from __future__ import annotations
