@@ -3,15 +3,16 @@
 Layout of one table under ``root``::
 
     data/_version=V/<part cols>/part-*.parquet    rows; a write never touches old files
-    pins/version=V/*.parquet                      one row per live table partition of V:
-                                                  <part cols>, data_version, records
-    commits/*.parquet                             one row per pointer move (append-only)
+    commits/seq=N/*.parquet                       one row per pointer move (append-only); a
+                                                  commit that creates version V also holds
+                                                  V's pins: one entry per live table partition
+                                                  (partition values, data_version, records)
     expired/*.parquet                             versions removed by ``expire``
 
-Order of a write: data, then pins, then the commit row **last**; a crashed write
-has no commit row, so readers never see it and ``orphans`` lists it.  Every
-version stores its complete pin list, so reading a version never walks a chain
-and expiring one version cannot break another.  The current version is the
+Order of a write: data first, then the commit row (with its pins) **last**, as
+one atomic file; a crashed write has no commit row, so readers never see it and
+``orphans`` lists it.  Every version stores its complete pin list, so reading a
+version never walks a chain and expiring one version cannot break another.  The current version is the
 ``version`` of the highest ``seq``; a rollback only appends a commit row.
 
 Single writer only.  The bookkeeping tables hold one row per commit or per
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMMITS_SCHEMA = T.StructType(
+LOG_SCHEMA = T.StructType(
     [
         T.StructField("seq", T.LongType()),
         T.StructField("version", T.IntegerType()),
@@ -45,6 +46,16 @@ COMMITS_SCHEMA = T.StructType(
         T.StructField("partition_cols", T.StringType()),
     ]
 )
+# A stored commit also carries the complete pin list of the version it creates:
+# partition values as text (cast back to the column types on read).
+PIN_TYPE = T.StructType(
+    [
+        T.StructField("values", T.ArrayType(T.StringType())),
+        T.StructField("data_version", T.IntegerType()),
+        T.StructField("records", T.LongType()),
+    ]
+)
+COMMITS_SCHEMA = T.StructType(LOG_SCHEMA.fields + [T.StructField("pins", T.ArrayType(PIN_TYPE))])
 EXPIRED_SCHEMA = "version int, expired_at timestamp_ntz"
 
 # Operations that create a new table version; "rollback" and "set_current"
@@ -107,6 +118,15 @@ def _fmt_value(v) -> str:
     return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in str(v))
 
 
+def _as_text(v) -> str | None:
+    """A partition value as text that casts back to its column type."""
+    if v is None:
+        return None
+    if isinstance(v, (dt.date, dt.datetime)):
+        return v.isoformat(sep=" ") if isinstance(v, dt.datetime) else v.isoformat()
+    return str(v)
+
+
 class VersionedTable:
     """A partitioned Parquet dataset with commits, pins and time travel."""
 
@@ -114,7 +134,6 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.data_path = f"{self.root}/data"
-        self.pins_path = f"{self.root}/pins"
         self.commits_path = f"{self.root}/commits"
         self.expired_path = f"{self.root}/expired"
         self._log: list[Row] | None = None
@@ -153,8 +172,8 @@ class VersionedTable:
 
     # ------------------------------------------------------------- bookkeeping
     def commits(self) -> DataFrame:
-        """Every commit row, incl. pointer moves (J4 history)."""
-        return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
+        """Every commit row, incl. pointer moves (J4 history); pins not selected."""
+        return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path).select(*LOG_SCHEMA.fieldNames())
 
     def _commit_rows(self) -> list[Row]:
         """The commit log ordered by ``seq`` (read once, then kept in step by this writer)."""
@@ -220,18 +239,27 @@ class VersionedTable:
         )
 
     def pin_rows(self, version: int | None) -> list[Row]:
-        """Live partitions of ``version`` as rows (metadata: one per table partition)."""
+        """Live partitions of ``version`` as rows (metadata: one per table partition).
+
+        Read from the single commit folder that created the version.
+        """
         if version is None:
             return []
         if version not in self._pin_cache:
-            cols = self.partition_cols + ["data_version", "records"]
-            if not path_exists(self.spark, f"{self.pins_path}/version={version}"):
-                rows: list[Row] = []
-            else:
+            created = self._creation().get(version)
+            rows: list[Row] = []
+            if created is not None:
+                schema = self.schema()
+                parts = self.partition_cols
                 rows = (
-                    self.spark.read.schema(self._pins_schema())
-                    .parquet(f"{self.pins_path}/version={version}")
-                    .select(*cols)
+                    self.spark.read.schema(COMMITS_SCHEMA)
+                    .option("basePath", self.commits_path)
+                    .parquet(f"{self.commits_path}/seq={created.seq}")
+                    .select(F.explode("pins").alias("p"))
+                    .select(
+                        *[F.col("p.values")[i].cast(schema[c].dataType).alias(c) for i, c in enumerate(parts)],
+                        "p.data_version", "p.records",
+                    )
                     .collect()
                 )
             self._pin_cache[version] = rows
@@ -245,7 +273,7 @@ class VersionedTable:
     def next_version(self) -> int:
         """1 + max over commits, pins and data folders (a crashed write's number is never reused)."""
         seen = [r.version for r in self._commit_rows()]
-        for name in list_subdirs(self.spark, self.pins_path) + list_subdirs(self.spark, self.data_path):
+        for name in list_subdirs(self.spark, self.data_path):
             key, _, val = name.partition("=")
             if key in ("version", "_version") and val.isdigit():
                 seen.append(int(val))
@@ -255,6 +283,7 @@ class VersionedTable:
         self, *, version: int, parent: int | None, operation: str, batch_id: str | None,
         added: int, deleted: int, committed_at: dt.datetime | None,
         schema: T.StructType | None = None, partition_cols: list[str] | None = None,
+        pins: Sequence[Row] | None = None,
     ) -> None:
         log = self._commit_rows()
         seq = (log[-1].seq if log else 0) + 1
@@ -264,13 +293,18 @@ class VersionedTable:
             json.dumps(schema.jsonValue()) if schema is not None else None,
             json.dumps(partition_cols) if partition_cols is not None else None,
         )
+        parts = self.partition_cols if partition_cols is None else partition_cols
+        stored = None
+        if pins is not None:
+            stored = [([_as_text(r[c]) for c in parts], r.data_version, r.records) for r in pins]
         (
-            self.spark.createDataFrame([row], COMMITS_SCHEMA)
+            self.spark.createDataFrame([(*row, stored)], COMMITS_SCHEMA)
             .coalesce(1)
             .write.mode("append")
+            .partitionBy("seq")
             .parquet(self.commits_path)
         )
-        log.append(Row(**dict(zip(COMMITS_SCHEMA.fieldNames(), row))))
+        log.append(Row(**dict(zip(LOG_SCHEMA.fieldNames(), row))))
 
     # -------------------------------------------------------------------- read
     def _data_schema(self, schema: T.StructType | None = None) -> T.StructType:
@@ -436,26 +470,17 @@ class VersionedTable:
         self, v: int, parent: int | None, pins: Sequence[tuple], *, operation: str,
         batch_id: str | None, committed_at: dt.datetime | None, schema: T.StructType | None = None,
     ) -> None:
-        """Write pins(v), then the commit row last.  ``pins``: (parts..., data_version, records)."""
+        """Write the commit row of version ``v`` with its pins: (parts..., data_version, records)."""
         nov = self._pins_schema_nov()
         rows = [Row(**dict(zip(nov.fieldNames(), t))) for t in pins]
-        if rows:
-            (
-                self.spark.createDataFrame(rows, nov)
-                .withColumn("version", F.lit(v).cast("int"))
-                .coalesce(1)
-                .write.mode("append")
-                .partitionBy("version")
-                .parquet(self.pins_path)
-            )
-        self._pin_cache[v] = rows
         added = sum(r.records for r in rows if r.data_version == v)
         kept = sum(r.records for r in rows if r.data_version != v)
         before = sum(r.records for r in self.pin_rows(parent))
         self._write_commit(
             version=v, parent=parent, operation=operation, batch_id=batch_id,
-            added=added, deleted=before - kept, committed_at=committed_at, schema=schema,
+            added=added, deleted=before - kept, committed_at=committed_at, schema=schema, pins=rows,
         )
+        self._pin_cache[v] = rows
 
     def replace_partitions(self, df: DataFrame, **kw) -> int:
         """``overwritePartitions()``: one atomic commit replacing the partitions present."""
@@ -466,7 +491,7 @@ class VersionedTable:
 
     # ---------------------------------------------------------------- metadata
     def _log_frame(self) -> DataFrame:
-        return self.spark.createDataFrame(self._commit_rows(), COMMITS_SCHEMA)
+        return self.spark.createDataFrame(self._commit_rows(), LOG_SCHEMA)
 
     def snapshots(self) -> DataFrame:
         """Live versions with their creating commit (J1), ordered by commit."""
@@ -474,7 +499,7 @@ class VersionedTable:
         created = self._creation()
         rows = [created[v] for v in created if v not in expired]
         return (
-            self.spark.createDataFrame(rows, COMMITS_SCHEMA)
+            self.spark.createDataFrame(rows, LOG_SCHEMA)
             .select("seq", "version", "parent", "operation", "batch_id",
                     "added_records", "deleted_records", "committed_at")
             .orderBy("seq")
@@ -670,8 +695,6 @@ class VersionedTable:
         self._expired = (self._expired or set()) | set(expire)
         for path in self._pin_paths(doomed):
             delete_path(self.spark, path)
-        for v in expire:
-            delete_path(self.spark, f"{self.pins_path}/version={v}")
         return self.spark.createDataFrame(doomed, plan.schema) if doomed else plan.limit(0)
 
     def orphans(self) -> DataFrame:
