@@ -89,11 +89,17 @@ def run_bronze(
     Re-running replaces exactly the partitions of the units read, so a rerun
     never changes the row count (idempotent); only the last batch id survives.
     """
-    table = ensure_bronze_table(spark, layout, committed_at=committed_at, expected=expected)
     months = months if months is not None else available_months(spark, layout)
     if not months:
         raise ValueError("no reload unit found in landing")
-    reports = check_units(spark, layout, months, expected)
+    # declaring the (empty) table and checking footers are both metadata work:
+    # run them side by side; no data is written before every unit passed
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        opened = pool.submit(ensure_bronze_table, spark, layout, committed_at=committed_at, expected=expected)
+        try:
+            reports = check_units(spark, layout, months, expected)
+        finally:
+            table = opened.result()
     merge = any(r.added for r in reports)
     raw = read_units(spark, layout, months, merge)
     with job_description(spark, f"bronze | {len(months)} unit(s) | batch {batch_id}"):
