@@ -138,6 +138,10 @@ def q_key_skew(spark, sf):
     )
 
 
+def q_task_skew(spark, sf):
+    return skew.task_skew(_skewed_trips(spark, sf), "zone_key", partitions=16)
+
+
 def q_salted_agg(spark, sf):
     return skew.salted_agg(_skewed_trips(spark, sf), "zone_key", "fare_amount", salts=8, salt_cols=["trip_id", "line_no"])
 

@@ -85,3 +85,23 @@ def plain_agg(df: DataFrame, key: str, value: str) -> DataFrame:
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
     )
+
+
+def task_skew(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Rows per reduce task when ``df`` is hash-partitioned on ``key`` (P3, "max vs median task").
+
+    One row: ``tasks`` (non-empty), ``max_rows``, ``median_rows``, ``skew_ratio``.
+    The per-task counts come from one shuffle and one grouped count; only the
+    one-row summary reaches the driver.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_task = (
+        df.select(key).repartition(n, key)
+        .groupBy(F.spark_partition_id().alias("task"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    return per_task.agg(
+        F.count(F.lit(1)).alias("tasks"),
+        F.max("rows").alias("max_rows"),
+        F.percentile_approx("rows", 0.5, 10_000).alias("median_rows"),
+    ).withColumn("skew_ratio", F.try_divide(F.col("max_rows").cast("double"), F.col("median_rows").cast("double")))

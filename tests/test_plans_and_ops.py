@@ -46,6 +46,8 @@ def test_salted_agg_equals_plain_agg(spark):
     a = skew.salted_agg(t, "k", "l_extendedprice", salts=4)
     b = skew.plain_agg(t, "k", "l_extendedprice")
     assert sorted(a.collect()) == sorted(b.collect())
+    ts = skew.task_skew(t, "k", partitions=4).first()
+    assert ts.max_rows >= ts.median_rows and ts.tasks <= 4
     s = skew.key_skew(t, "k", hot_factor=3).first()
     assert s.max_rows > 3 * s.median_rows and s.hot_keys == [-1] and s.total_rows == t.count()
 
