@@ -159,6 +159,18 @@ def q_drift_profile(spark, sf):
     )
 
 
+def q_drift_vs_baseline(spark, sf):
+    """Per source month vs all months: mean, median, null rate and distinct zones of the fare."""
+    from strata.operators.drift import drift_profile
+    return drift_profile(_conformed(spark, sf), ["src_year", "src_month"], "fare_amount", "pu_location_id",
+                         accuracy=1_000_000)
+
+
+def q_category_shift(spark, sf):
+    from strata.operators.drift import category_shift
+    return category_shift(_conformed(spark, sf), ["src_year", "src_month"], "status_code")
+
+
 def q_plan_facts(spark, sf):
     c = _conformed(spark, sf)
     return plan_facts_frame(spark, {
@@ -754,6 +766,34 @@ FROM st"""),
        min(fare_amount) AS fare_min, max(fare_amount) AS fare_max,
        count(*) FILTER (WHERE fare_amount IS NULL) AS fare_nulls, count(DISTINCT pu_location_id) AS zones
 FROM conformed GROUP BY ALL"""),
+    "drift_vs_baseline": _with(_CONF_NOBATCH, """,
+per AS (
+  SELECT src_year, src_month, count(*) AS rows,
+         CAST(sum(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) / CAST(count(fare_amount) AS DOUBLE) AS mean,
+         quantile_disc(fare_amount, 0.5) AS median,
+         CAST(count(*) FILTER (WHERE fare_amount IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS null_rate,
+         count(DISTINCT pu_location_id) AS categories
+  FROM conformed GROUP BY src_year, src_month),
+base AS (
+  SELECT CAST(sum(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) / CAST(count(fare_amount) AS DOUBLE) AS mean,
+         quantile_disc(fare_amount, 0.5) AS median,
+         CAST(count(*) FILTER (WHERE fare_amount IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS null_rate,
+         count(DISTINCT pu_location_id) AS categories
+  FROM conformed)
+SELECT per.*, base.mean AS base_mean, base.median AS base_median, base.null_rate AS base_null_rate,
+       base.categories AS base_categories, per.mean - base.mean AS mean_delta,
+       per.null_rate - base.null_rate AS null_rate_delta
+FROM per JOIN base ON true"""),
+    "category_shift": _with(_CONF_NOBATCH, """,
+per AS (SELECT src_year, src_month, status_code, count(*) AS rows FROM conformed GROUP BY ALL),
+tot AS (SELECT src_year, src_month, count(*) AS period_rows FROM conformed GROUP BY ALL),
+ov AS (SELECT status_code, count(*) AS base_rows FROM conformed GROUP BY ALL),
+n AS (SELECT count(*) AS all_rows FROM conformed)
+SELECT per.src_year, per.src_month, per.status_code,
+       CAST(per.rows AS DOUBLE) / CAST(tot.period_rows AS DOUBLE) AS share,
+       CAST(ov.base_rows AS DOUBLE) / CAST(n.all_rows AS DOUBLE) AS base_share,
+       CAST(per.rows AS DOUBLE) / CAST(tot.period_rows AS DOUBLE) - CAST(ov.base_rows AS DOUBLE) / CAST(n.all_rows AS DOUBLE) AS share_delta
+FROM per JOIN tot USING (src_year, src_month) LEFT JOIN ov USING (status_code) JOIN n ON true"""),
     # ---- landing / bronze
     "source_months": _with(_TRIPS, """SELECT year, month, 'period=' || strftime(o_orderdate, '%Y-%m') AS unit,
        CAST(1 AS BIGINT) AS files FROM trips GROUP BY ALL"""),
