@@ -74,11 +74,11 @@ class Built:
         return dims.conform_zones(read_zone_csv(self.spark, self.zone_csv()))
 
     def dim_zone(self) -> DataFrame:
-        def check():
-            dims.assert_unique(self.zones(), "location_id")
-            return True
-        self._once("dim_checked", check)
-        return dims.build_dim_zone(self.zones())
+        """The stored zone dimension (built from the zone CSV once per layout)."""
+        def go():
+            dims.store_dim_zone(dims.build_dim_zone(self.zones()), self.layout.dim_zone)
+            return self.layout.dim_zone
+        return self.spark.read.parquet(self._once("dim_zone", go))
 
     def bronze_version(self) -> int:
         def go():

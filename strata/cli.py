@@ -49,7 +49,7 @@ def main(argv: list[str] | None = None) -> dict:
         out["version"] = bronze.run_bronze(spark, layout, a.batch_id, months=months)
     elif a.layer == "silver":
         zones = a.zones or f"{layout.root}/landing/zone_lookup"
-        dim = dims.build_dim_zone(dims.conform_zones(read_zone_csv(spark, zones)))
+        dim = dims.store_dim_zone(dims.build_dim_zone(dims.conform_zones(read_zone_csv(spark, zones))), layout.dim_zone)
         run = silver.run_silver(
             spark, layout, dim, a.batch_id, months=months, tolerance_months=a.tolerance_months
         )

@@ -52,6 +52,10 @@ class Layout:
     def silver_rejects(self) -> str:
         return f"{self.root}/silver/{self.source}_rejects"
 
+    @property
+    def dim_zone(self) -> str:
+        return f"{self.root}/silver/dim_zone"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"

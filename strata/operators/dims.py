@@ -53,6 +53,17 @@ def build_dim_zone(zones: DataFrame, bridge: DataFrame | None = None) -> DataFra
     )
 
 
+def store_dim_zone(dim: DataFrame, path: str) -> DataFrame:
+    """Store the dimension, replacing it whole (type 1), and return the stored table.
+
+    The key is asserted unique first; silver then joins the stored copy, so every
+    silver run of a batch sees the same dimension.
+    """
+    assert_unique(dim, "location_id")
+    dim.write.mode("overwrite").parquet(path)
+    return dim.sparkSession.read.parquet(path)
+
+
 def assert_unique(dim: DataFrame, key: str | list[str]) -> None:
     """Fail before any enrich join if the key repeats (one small job)."""
     keys = [key] if isinstance(key, str) else key
