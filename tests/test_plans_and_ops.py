@@ -131,3 +131,12 @@ def test_bucketed_join_needs_no_exchange(spark, layout):
     rows = {r[2]: r for r in bucketed_join_experiment(spark, li, su, "l_suppkey", layout.root, buckets=4, runs=1)}
     assert rows["plain"][6] == 2 and rows["bucketed"][6] == 0
     assert len(clustering_experiment(spark, li, "l_suppkey", 3, layout.root, runs=1)) == 2
+
+
+def test_dimension_joined_in_pickup_and_dropoff_roles(spark):
+    zones = dims.conform_zones(spark.createDataFrame(
+        [("1", "north end", "UPTOWN"), ("2", "south end", "downtown")], "location_id string, zone_name string, borough string"))
+    trips = spark.createDataFrame([(10, 1, 2), (11, 2, 9)], "trip_id bigint, pu_location_id bigint, do_location_id bigint")
+    both = dims.enrich_zones(dims.enrich_zones(trips, zones), zones, key="do_location_id", prefix="do_")
+    got = {r.trip_id: (r.pu_zone, r.do_zone, r.do_borough) for r in both.collect()}
+    assert got == {10: ("North End", "South End", "Downtown"), 11: ("South End", None, None)}
