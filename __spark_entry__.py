@@ -867,6 +867,33 @@ UNION ALL SELECT 7, 5, 4, 'revert', 'run-3', 0, 0, TIMESTAMP '2024-01-01 06:00:0
   (6, 4, 2, 'set_current', NULL, TIMESTAMP '2024-01-01 05:00:00'),
   (7, 5, 4, 'revert', 'run-3', TIMESTAMP '2024-01-01 06:00:00')
 ) AS t(seq, version, parent, operation, batch_id, committed_at)""",
+    "describe": """SELECT * FROM (VALUES
+  ('l_orderkey', 'bigint', false),
+  ('l_linenumber', 'int', false),
+  ('l_suppkey', 'bigint', false),
+  ('l_quantity', 'double', false),
+  ('l_extendedprice', 'double', false),
+  ('l_discount', 'double', false),
+  ('l_tax', 'double', false),
+  ('l_returnflag', 'string', false),
+  ('l_shipdate', 'timestamp_ntz', false),
+  ('o_orderdate', 'timestamp_ntz', false),
+  ('o_orderstatus', 'string', false),
+  ('o_orderpriority', 'string', false),
+  ('c_acctbal', 'double', false),
+  ('_source_file', 'string', false),
+  ('_ingested_at', 'timestamp', false),
+  ('_batch_id', 'string', false),
+  ('year', 'int', true),
+  ('month', 'int', true)
+) AS t(col_name, data_type, is_partition)""",
+    "contract_report": """SELECT * FROM (VALUES
+  ('added', 'surcharge', 'added', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)),
+  ('missing', 'l_quantity', 'missing', NULL, NULL),
+  ('retyped', 'l_discount', 'retyped', 'double', 'string'),
+  ('renamed', 'l_tax', 'missing', NULL, NULL),
+  ('renamed', 'tax_rate', 'added', NULL, NULL)
+) AS t(source, "column", kind, expected, actual)""",
     "expire_plan": _with(_TRIPS, """SELECT 3 AS data_version, year, month, count(*) AS records FROM trips
 WHERE year = 1996 GROUP BY ALL"""),
     # ---- silver
