@@ -171,3 +171,13 @@ def test_replace_always_covers_written_partitions(spark, table):
     t.write(rows(spark, [(2024, 2)], "b"), scope=[(2024, 1)], committed_at=at(2))
     got = sorted((r.month, r.batch) for r in t.read().select("month", "batch").distinct().collect())
     assert got == [(2, "b")]
+
+
+def test_recent_orphans_survive_the_safety_window(spark, table):
+    t = table
+    t.write(rows(spark, [(2024, 1)], "a"), committed_at=at(1))
+    crashed = t.next_version()
+    (rows(spark, [(2024, 1)], "crash").withColumn("_version", F.lit(crashed))
+     .write.mode("append").partitionBy("_version", "year", "month").parquet(t.data_path))
+    assert t.remove_orphans(older_than=dt.datetime(2000, 1, 1)) == []  # written just now: kept
+    assert [r.data_version for r in t.orphans().collect()] == [crashed]

@@ -64,3 +64,15 @@ def test_gold_rebuild_changes_no_number(spark, layout):
     direct = sorted(gold.borough_summary(gold.zone_daily(s)).collect())
     stored = sorted(spark.read.parquet(paths["borough_summary"]).drop("_silver_version").collect())
     assert direct == stored
+
+
+def test_land_month_lands_one_unit_per_commit(spark, layout):
+    land(spark, layout, 2024, 3, [trip(), trip(l_orderkey=2)])
+    land(spark, layout, 2024, 4, [trip(l_orderkey=3, o_orderdate=D(2024, 4, 1), l_shipdate=D(2024, 4, 2))])
+    v1 = bronze.land_month(spark, layout, 2024, 3, "b1")
+    t = VersionedTable(spark, layout.bronze)
+    assert [(r.year, r.month) for r in t.read().select("year", "month").distinct().collect()] == [(2024, 3)]
+    v2 = bronze.land_month(spark, layout, 2024, 4, "b1")
+    t = VersionedTable(spark, layout.bronze)
+    assert v2 == v1 + 1 and t.read().count() == 3
+    assert t.read(version=v1).count() == 2  # the earlier version is unchanged
