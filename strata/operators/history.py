@@ -185,7 +185,8 @@ class VersionedTable:
         return self._log
 
     def refresh(self) -> VersionedTable:
-        """Forget cached metadata (after another writer committed)."""
+        """Forget cached metadata.  Reads see the table as of an instance's first
+        use (a stable snapshot); every mutating operation refreshes first."""
         self._log, self._expired, self._pin_cache = None, None, {}
         return self
 
@@ -408,6 +409,7 @@ class VersionedTable:
         """
         if mode not in ("replace", "append", "overwrite"):
             raise HistoryError(f"unknown mode {mode}")
+        self.refresh()  # a writer always starts from the latest commit
         parts = self.partition_cols
         schema = self.schema()
         extra = [c for c in df.columns if c not in schema.fieldNames()]
@@ -582,6 +584,7 @@ class VersionedTable:
 
     def rollback(self, version: int, *, committed_at: dt.datetime | None = None) -> None:
         """Point the table at an ancestor version (J6).  No data is written."""
+        self.refresh()
         if version not in self.ancestors():
             raise HistoryError(f"version {version} is not an ancestor of the current version")
         self._move(version, "rollback", committed_at)
@@ -593,6 +596,7 @@ class VersionedTable:
         self._move(version, "set_current", committed_at)
 
     def _move(self, version: int, operation: str, committed_at: dt.datetime | None) -> None:
+        self.refresh()
         if version in self._expired_versions():
             raise HistoryError(f"version {version} has been expired")
         self._write_commit(
@@ -607,6 +611,7 @@ class VersionedTable:
         Partitions whose current pin points at the batch's data are re-pointed
         to the pins they had before that batch; a pins-only ``revert`` commit.
         """
+        self.refresh()
         created = self._creation()
         bad = {v for v, r in created.items() if r.batch_id == batch_id and r.operation != "revert"}
         if not bad:
@@ -684,6 +689,7 @@ class VersionedTable:
         Returns the executed plan (partitions deleted).  The commit log is kept
         as history; expired versions disappear from ``snapshots``.
         """
+        self.refresh()
         expire, plan = self.expire_plan(older_than, retain_last)
         if not expire:
             return plan.limit(0)

@@ -181,3 +181,14 @@ def test_recent_orphans_survive_the_safety_window(spark, table):
      .write.mode("append").partitionBy("_version", "year", "month").parquet(t.data_path))
     assert t.remove_orphans(older_than=dt.datetime(2000, 1, 1)) == []  # written just now: kept
     assert [r.data_version for r in t.orphans().collect()] == [crashed]
+
+
+def test_two_instances_never_reuse_a_commit_number(spark, table):
+    t = table
+    other = VersionedTable(spark, t.root)
+    assert other.current_version() == 1  # other caches the log now
+    t.write(rows(spark, [(2024, 1)], "a"), committed_at=at(1))
+    v = other.write(rows(spark, [(2024, 2)], "b"), committed_at=at(2))  # stale instance writes next
+    log = [(r.seq, r.version, r.parent) for r in VersionedTable(spark, t.root).history().collect()]
+    assert log == [(1, 1, None), (2, 2, 1), (3, v, 2)]
+    assert VersionedTable(spark, t.root).read().count() == 6  # month 1 from "a" kept, month 2 added
