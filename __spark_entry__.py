@@ -14,6 +14,7 @@ depends on file names, clocks or plans have no oracle (rows-only check).
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -279,7 +280,7 @@ def q_partition_prune(spark, sf):
 def _plain_twice(spark, sf, mode):
     b = _layers(spark, sf)
     b.landing()
-    path = f"{b.layout.root}/plain/{mode}"
+    path = f"{b.layout.root}/plain/{mode}-{uuid.uuid4().hex[:8]}"  # fresh per call: reruns stay comparable
     for batch in (build.RUN_1, build.RUN_2):
         bronze_ops.write_plain(bronze_ops.enriched_landing(spark, b.landing_layout(), batch), path, mode)
     return bronze_ops.read_plain(spark, path)
@@ -298,7 +299,7 @@ def q_append_twice(spark, sf):
 def q_file_count(spark, sf):
     b = _layers(spark, sf)
     b.landing()
-    path = f"{b.layout.root}/plain/two_files"
+    path = f"{b.layout.root}/plain/two_files-{uuid.uuid4().hex[:8]}"
     bronze_ops.write_plain(bronze_ops.enriched_landing(spark, b.landing_layout(), build.RUN_1), path, "overwrite",
                            files_per_partition=2)
     from strata.layout import list_files
@@ -313,7 +314,7 @@ def q_schema_evolve(spark, sf):
     b = _layers(spark, sf)
     b.landing()
     from strata.layout import Layout
-    evo = Layout(f"{b.layout.root}/evolve")
+    evo = Layout(f"{b.layout.root}/evolve-{uuid.uuid4().hex[:8]}")  # fresh per call
     src = spark.read.parquet(*[b.layout.unit_path(y, m) for y, m in b.months()])
     src = src.withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
     old = src.where(F.year("o_orderdate") < 1998)
