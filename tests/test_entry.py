@@ -48,3 +48,10 @@ def test_oracle_matches(spark, duck, key):
     idx = [dcols.index(c) for c in order]
     d = collections.Counter(tuple(r[i] for i in idx) for r in cur.fetchall())
     assert s == d, key
+
+
+@pytest.mark.parametrize("key", ["append_twice", "overwrite_twice", "schema_evolve"])
+def test_writing_keys_are_stable_across_calls(spark, key):
+    first = sorted(E.queries()[key](spark, SF_SMALL).collect())
+    second = sorted(E.queries()[key](spark, SF_SMALL).collect())
+    assert first == second
