@@ -23,6 +23,7 @@ def get_session(
     shuffle_partitions: int | None = None,
     driver_memory: str = "8g",
     event_log_dir: str | None = None,
+    warehouse_dir: str | None = None,
 ) -> SparkSession:
     """Build (or return the active) session with the settings every run shares.
 
@@ -50,6 +51,8 @@ def get_session(
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     if event_log_dir:
         builder = builder.config("spark.eventLog.enabled", "true").config(
             "spark.eventLog.dir", event_log_dir

@@ -26,6 +26,7 @@ def spark() -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-warehouse-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
