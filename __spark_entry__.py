@@ -134,9 +134,11 @@ def q_gold_hourly_demand(spark, sf):
 
 
 def q_key_skew(spark, sf):
-    return skew.key_skew(_skewed_trips(spark, sf), "zone_key").withColumn(
-        "hot_keys", F.array_join(F.transform("hot_keys", lambda x: x.cast("string")), ",")
-    )
+    return skew.key_skew(_skewed_trips(spark, sf), "zone_key", hot_factor=5.0)
+
+
+def q_hot_keys(spark, sf):
+    return skew.hot_keys(_skewed_trips(spark, sf), "zone_key", hot_factor=5.0)
 
 
 def q_task_skew(spark, sf):
@@ -758,9 +760,10 @@ FROM events GROUP BY ALL""",
                    quantile_disc(rows, 0.5) AS median_rows FROM kc)
 SELECT keys, CAST(total_rows AS BIGINT) AS total_rows, max_rows, median_rows,
        CAST(max_rows AS DOUBLE) / CAST(median_rows AS DOUBLE) AS skew_ratio,
-       (SELECT coalesce(string_agg(CAST(zone_key AS VARCHAR), ',' ORDER BY zone_key), '') FROM kc
-        WHERE rows > (SELECT median_rows FROM st) * 10.0) AS hot_keys
+       (SELECT count(*) FROM kc WHERE rows > (SELECT median_rows FROM st) * 5.0) AS hot_keys
 FROM st"""),
+    "hot_keys": _with(_SKEW, """SELECT zone_key, rows FROM kc
+WHERE rows > (SELECT quantile_disc(rows, 0.5) FROM kc) * 5.0"""),
     "salted_agg": _with(_SKEW, f"""SELECT zone_key, count(*) AS rows, {_dec("fare_amount")} AS total,
        min(fare_amount) AS min_value, max(fare_amount) AS max_value FROM skewed GROUP BY zone_key"""),
     "drift_profile": _with(_CONF_NOBATCH, f"""SELECT src_year, src_month, count(*) AS rows, {_dec("fare_amount")} AS fare_sum,

@@ -1,7 +1,8 @@
 """Key skew: measure it, and aggregate through it.
 
-``key_skew`` summarises the per-key row counts (max, median, ratio, hot keys)
-from one grouped aggregate; the per-key counts never leave the cluster.
+``key_skew`` summarises the per-key row counts (max, median, ratio, number of
+hot keys) from one grouped aggregate; ``hot_keys`` lists them as rows.  The
+per-key counts never leave the cluster.
 
 ``salted_agg`` is the two-stage aggregate for a hot key: stage 1 groups by
 ``(key, salt)`` with a deterministic salt, so one key's rows are combined by
@@ -16,7 +17,7 @@ skew-splitting explicit when AQE is off.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from strata.functions import exact_sum
@@ -26,25 +27,27 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _median_rows(c: DataFrame, accuracy: int) -> Row:
+    return c.agg(
+        F.count(F.lit(1)).alias("keys"),
+        F.sum("rows").alias("total_rows"),
+        F.max("rows").alias("max_rows"),
+        F.percentile_approx("rows", 0.5, accuracy).alias("median_rows"),
+    ).collect()[0]  # one aggregated row
+
+
 def key_skew(df: DataFrame, key: str, hot_factor: float = 10.0, accuracy: int = 100_000) -> DataFrame:
-    """One row: keys, total rows, max, median, max/median and the hot keys.
+    """One row: keys, total rows, max, median, max/median and how many keys are hot.
 
     The median is ``percentile_approx`` (exact while there are fewer distinct
     counts than ``accuracy``) so it stays a bounded-memory aggregate when the
     number of keys grows.  Hot keys are those above ``hot_factor`` x median;
-    they are collected sorted, and there are few by definition of hot.
+    :func:`hot_keys` returns them as rows.
     """
     c = key_counts(df, key)
-    stats = c.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.sum("rows").alias("total_rows"),
-        F.max("rows").alias("max_rows"),
-        F.percentile_approx("rows", 0.5, accuracy).alias("median_rows"),
-    ).collect()[0]  # one aggregated row
+    stats = _median_rows(c, accuracy)
     median = stats.median_rows or 0
-    hot = c.where(F.col("rows") > F.lit(median * hot_factor)).agg(
-        F.sort_array(F.collect_list(F.col(key))).alias("hot_keys")
-    )
+    hot = c.where(F.col("rows") > F.lit(median * hot_factor)).agg(F.count(F.lit(1)).alias("hot_keys"))
     return hot.select(
         F.lit(stats.keys).cast("bigint").alias("keys"),
         F.lit(stats.total_rows).cast("bigint").alias("total_rows"),
@@ -55,6 +58,13 @@ def key_skew(df: DataFrame, key: str, hot_factor: float = 10.0, accuracy: int =
     )
 
 
+def hot_keys(df: DataFrame, key: str, hot_factor: float = 10.0, accuracy: int = 100_000) -> DataFrame:
+    """The hot keys as rows (``key, rows``): more than ``hot_factor`` x the median rows per key."""
+    c = key_counts(df, key)
+    median = _median_rows(c, accuracy).median_rows or 0
+    return c.where(F.col("rows") > F.lit(median * hot_factor))
+
+
 def salted_agg(df: DataFrame, key: str, value: str, salts: int = 16, salt_cols: list[str] | None = None) -> DataFrame:
     """Two-stage ``count / sum / min / max`` of ``value`` per ``key``.
 
