@@ -13,6 +13,7 @@ depends on file names, clocks or plans have no oracle (rows-only check).
 
 from __future__ import annotations
 
+import importlib
 import sys
 import uuid
 from collections.abc import Callable
@@ -622,8 +623,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_gold_lineage(spark, SF_SMOKE)
 
 
+def _corpus() -> list:
+    """The modules with the training-data queries; none where that part was taken out."""
+    found = []
+    for name in ("strata.llm.queries", "corpus_pipeline"):
+        try:
+            found.append(importlib.import_module(name))
+        except ImportError:
+            continue
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | {k: f for m in _corpus() for k, f in m.queries().items()}
 
 
 # ============================================================================= oracle SQL
@@ -985,4 +997,4 @@ for _k in ("affected_periods",):
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    return {k: v for k, v in ORACLE.items() if k in QUERIES} | {k: v for m in _corpus() for k, v in m.oracle_sql().items()}
