@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import mixing
+from strata.llm import bpe, mixing
 from strata.llm.common import ship
 
 
@@ -17,6 +18,11 @@ def op1_mix_sources(spark, sf_dir):
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op2_bpe_round_trip(spark, sf_dir):
+    out = bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 OP1_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source IS NULL AS snull, coalesce(source, '') AS sname,
