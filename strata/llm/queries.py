@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, mixing, tokens
+from strata.llm import bpe, mixing, substring, tokens
 from strata.llm.common import ship
 
 
@@ -23,6 +23,11 @@ def op2_bpe_round_trip(spark, sf_dir):
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op4_substring_dedup(spark, sf_dir):
+    out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark, sf_dir):
     out = tokens.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
