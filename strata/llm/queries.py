@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, mixing, substring, tokens
+from strata.llm import bpe, mixing, rules, substring, tokens
 from strata.llm.common import ship
 
 
@@ -23,6 +23,12 @@ def op2_bpe_round_trip(spark, sf_dir):
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op3_quality_rules(spark, sf_dir):
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    out = rules.apply_rules(_table(spark, sf_dir, "documents"), good)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 def op4_substring_dedup(spark, sf_dir):
     out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

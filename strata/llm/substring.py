@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import mix64, slices
+from strata.llm.common import coded_words, mix64, slices
 
 K = 20
 #: Words of a minimiser.
@@ -72,19 +72,6 @@ def run_hashes(hashes: np.ndarray, m: int) -> np.ndarray:
     return out
 
 
-def _coded(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Texts -> distinct words, the code of every word, and where each text starts."""
-    codes: dict[bytes, int] = {}
-    parts, starts = [], np.zeros(len(texts) + 1, np.int64)
-    for i, t in enumerate(texts):
-        words = (t or b"").split()
-        for w in set(words).difference(codes):
-            codes[w] = len(codes)
-        parts.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
-        starts[i + 1] = starts[i] + len(words)
-    return list(codes), np.concatenate(parts) if parts else np.zeros(0, np.int32), starts
-
-
 def _minimum_over(values: np.ndarray, width: int) -> np.ndarray:
     """Position of the leftmost smallest value in each window of ``width`` values."""
     n = len(values) - width + 1
@@ -140,7 +127,7 @@ def hot_runs(docs: DataFrame, text_col: str = "text", hot: int = HOT, k: int = K
         for b in batches:
             texts = b.column(0).cast(pa.binary()).to_pylist()
             for i, j in slices(texts):
-                words, codes, starts = _coded(texts[i:j])
+                words, codes, starts = coded_words(texts[i:j])
                 hashes = word_hashes(words)[codes]
                 for a, z in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                     seen.append(run_hashes(hashes[a:z], m))
@@ -216,7 +203,7 @@ def _grouped(bucket: np.ndarray):
 
 def _send(doc, version, texts, hot, buckets: int, k: int, m: int) -> Iterator[tuple]:
     """(bucket, packed super-k-mers or None, removed ranges or None) of a run of documents."""
-    words, codes, starts = _coded(texts)
+    words, codes, starts = coded_words(texts)
     hashes = word_hashes(words)[codes]
     found = []
     for row, (a, z) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
