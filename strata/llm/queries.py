@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, mixing, rules, substring, tokens
-from strata.llm.common import ship
+from strata.llm import bpe, langid, mixing, rules, substring, tokens
+from strata.llm.common import held_out, ship
 
 
 def _table(spark, sf_dir: str, name: str):
@@ -34,6 +34,12 @@ def op4_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(~held_out()))
+    return langid.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_token_counts(spark, sf_dir):
     out = tokens.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
