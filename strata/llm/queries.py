@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, langid, mixing, rules, substring, tokens
+from strata.llm import bpe, langid, mixing, rules, substring, tokens, toxicity
 from strata.llm.common import held_out, ship
 
 
@@ -34,6 +34,12 @@ def op4_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels").where(~held_out()))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = langid.learn(docs.where(~held_out()))
