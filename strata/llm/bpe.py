@@ -21,9 +21,9 @@ one is replaced.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
@@ -261,7 +261,7 @@ def fit_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", size: i
     words = words_for(tokenizer)
     entries = sorted(r.word.encode() for r in top.select("word").collect())
     flat = compile_words(entries, [words.merged(w.decode()) for w in entries])
-    name = f"lexicon-{hashlib.sha256(flat.tobytes()).hexdigest()[:16]}.npy"
+    name = f"lexicon-{uuid.uuid4().hex}.npy"
     file = Path(tempfile.mkdtemp()) / name
     np.save(file, flat)
     spark.sparkContext.addFile(str(file))
