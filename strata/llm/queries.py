@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, langid, mixing, rules, substring, tokens, toxicity
+from strata.llm import bpe, langid, mixing, quality, rules, substring, tokens, toxicity
 from strata.llm.common import held_out, ship
 
 
@@ -40,6 +40,12 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_quality_classifier(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    weights = quality.learn(docs, _table(spark, sf_dir, "labels").where(~held_out()))
+    return quality.score(docs, weights).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = langid.learn(docs.where(~held_out()))

@@ -39,8 +39,9 @@ SAMPLE = 20_000
 #: Lexicon entries, and lexicon voters they are dealt to.
 ENTRIES = 3_000
 LEXICONS = 8
-#: An entry stands in that share of the sample's toxic documents at least, with that log odds ratio.
+#: An entry stands in that share of the sample's toxic documents at least (and in that many), with that log odds ratio.
 SUPPORT = 0.02
+SUPPORT_LEAST = 6
 LOG_ODDS = 2.5
 #: Lengths of the word beginnings that may become entries.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
@@ -88,7 +89,7 @@ def mine_lexicon(sample: DataFrame, entries: int = ENTRIES) -> list[str]:
     counts = counts.groupBy("unit").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     n = sample.agg(F.count(F.when(F.col("label") == 0, 1)).alias("clean"), F.count(F.when(F.col("label") == 1, 1)).alias("toxic")).first()
     odds = F.log((F.col("toxic") + 0.5) / (n.toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n.clean + 1.0))
-    strong = counts.withColumn("odds", odds).where((F.col("odds") >= LOG_ODDS) & (F.col("toxic") >= max(2, SUPPORT * n.toxic)))
+    strong = counts.withColumn("odds", odds).where((F.col("odds") >= LOG_ODDS) & (F.col("toxic") >= max(SUPPORT_LEAST, SUPPORT * n.toxic)))
     return [r.unit for r in strong.orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "unit").limit(entries).collect()]
 
 

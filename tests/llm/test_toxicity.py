@@ -35,13 +35,13 @@ def test_hits_by_hand():
 
 @pytest.fixture(scope="module")
 def model(spark):
-    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    return d, tox.learn(d, spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where(~held_out()))
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    return d, tox.learn(d, spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where(~held_out()))
 
 
 def test_held_out_documents(spark, model):
     d, m = model
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where(held_out())
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where(held_out())
     rows = tox.score(d, m).join(labels, "doc_id").collect()
     assert len(rows) > 40
     caught = [r.predicted for r in rows if r.toxic == 1]
