@@ -5,11 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word: a run of characters that are not ASCII white space.  On UTF-8 bytes
 #: this is exactly what ``bytes.split()`` yields.
@@ -65,11 +68,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(counts: DataFrame, size: int, n: str = "n") -> DataFrame:
+    """The most frequent rows of a stored table of counts, ``size`` at most.
+
+    A histogram of frequency classes (a sixteenth of a doubling) gives the least
+    class that still fits; a class is in or out as a whole.  A sorted limit would send
+    ``size`` rows of every task to the driver instead.
+    """
+    frequency = F.floor(F.log2(n) * 16).cast("int")
+    least = 1 << 30
+    for r in counts.groupBy(frequency.alias("class")).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("class")).collect():
+        size -= r.rows
+        if size < 0:
+            break
+        least = r["class"]
+    return counts.where(frequency >= least)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, mod 5, is 0.  A NULL id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+#: What a value that is no text counts in a run of rows.
+TYPICAL = 4_000
+
+
 def slices(texts: list, max_chars: int = 2_000_000):
     """Cut a batch of texts into runs of about ``max_chars`` characters, in order.
 
@@ -77,7 +101,7 @@ def slices(texts: list, max_chars: int = 2_000_000):
     """
     start, size = 0, 0
     for i, t in enumerate(texts):
-        n = len(t) if t else 0
+        n = len(t) if isinstance(t, (str, bytes)) else TYPICAL
         if i > start and size + n > max_chars:
             yield start, i
             start, size = i, 0
@@ -99,6 +123,29 @@ def coded_words(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.
     return list(codes), np.concatenate(parts) if parts else np.zeros(0, np.int32), starts
 
 
+def add_columns(df: DataFrame, read: str, added: dict[str, T.DataType], make: Callable, keep: list[str] | None = None, as_bytes: bool = False) -> DataFrame:
+    """``df`` (its columns ``keep``, all by default) plus columns made of column ``read``, in runs of rows.
+
+    ``make()`` is called once per task and gives a function from the values of a run to the
+    arrays of ``added``; ``as_bytes`` hands strings over as UTF-8.  A column named as an
+    added one is replaced.  Columns travel under numbers, so that any names will do.
+    """
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in added]
+    at = keep.index(read) if read in keep else len(keep)
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep + [read] * (at == len(keep)))])
+    schema = T.StructType([rows.schema[i] for i in range(len(keep))] + [T.StructField(k, v) for k, v in added.items()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for b in batches:
+            values = b.column(at)
+            values = (values.cast(pa.binary()) if as_bytes else values).to_pylist()
+            for i, j in slices(values):
+                yield pa.RecordBatch.from_arrays([b.column(k).slice(i, j - i) for k in range(len(keep))] + work(values[i:j]), schema.fieldNames())
+
+    return rows.mapInArrow(run, schema).toDF(*keep, *added)
+
+
 # ------------------------------------------------------------------ hashing
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)

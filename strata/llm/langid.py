@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import mix64, slices, stored
+from strata.llm.common import add_columns, mix64, slices, stored
 
 SLOTS = 1 << 20
 HASHES = 3
@@ -150,32 +150,25 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", slots
     return langs, masks, fill**hashes
 
 
-def predict(docs: DataFrame, model, text_col: str = "text", hashes: int = HASHES) -> DataFrame:
+def predict(docs: DataFrame, model, text_col: str = "text", hashes: int = HASHES, keep: list[str] | None = None) -> DataFrame:
     """``docs`` plus ``lang_pred`` and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c.lower() not in ADDED]
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").alias("text"))
-    schema = T.StructType([rows.schema[i] for i in range(len(keep))] + [T.StructField(k, v) for k, v in ADDED.items()])
-    at = len(keep)
 
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def decide(texts: list[str | None]) -> list[pa.Array]:
         langs, masks, false = shared.value
-        for b in batches:
-            texts = b.column(at).to_pylist()
-            for i, j in slices(texts):
-                words, codes, row = coded_runs(texts[i:j])
-                counts, total = np.zeros((j - i, len(langs))), np.zeros(j - i)
-                if words and langs:
-                    names, owner = ngrams(words)
-                    found = np.bitwise_and.reduce(masks[slot_numbers(names, len(masks), hashes)], axis=0)
-                    total = np.bincount(row, np.bincount(owner, minlength=len(words))[codes], j - i)
-                    for k in range(len(langs)):
-                        bits = ((found[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).astype(float)
-                        counts[:, k] = np.bincount(row, np.bincount(owner, bits, len(words))[codes], j - i)
-                true = np.maximum(0, (counts - total[:, None] * false) / (1 - np.minimum(false, 0.999))) if len(langs) else counts
-                lettered = [bool(langs) and bool(t) and _HAS_LETTER.search(t) is not None for t in texts[i:j]]
-                named = [langs[int(c.argmax())] if ok else "und" for ok, c in zip(lettered, true, strict=True)]
-                scores = [float(c.max() / c.sum()) if ok and c.sum() else 0.0 for ok, c in zip(lettered, true, strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(c).slice(i, j - i) for c in range(at)] + [pa.array(named, pa.string()), pa.array(scores, pa.float64())], schema.fieldNames())
-
-    return rows.mapInArrow(decide, schema).toDF(*keep, *ADDED)
+        words, codes, row = coded_runs(texts)
+        counts, total = np.zeros((len(texts), len(langs))), np.zeros(len(texts))
+        if words and langs:
+            names, owner = ngrams(words)
+            found = np.bitwise_and.reduce(masks[slot_numbers(names, len(masks), hashes)], axis=0)
+            total = np.bincount(row, np.bincount(owner, minlength=len(words))[codes], len(texts))
+            for k in range(len(langs)):
+                bits = ((found[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).astype(float)
+                counts[:, k] = np.bincount(row, np.bincount(owner, bits, len(words))[codes], len(texts))
+        true = np.maximum(0, (counts - total[:, None] * false) / (1 - np.minimum(false, 0.999)))
+        lettered = [bool(langs) and bool(t) and _HAS_LETTER.search(t) is not None for t in texts]
+        named = [langs[int(c.argmax())] if ok else "und" for ok, c in zip(lettered, true, strict=True)]
+        scores = [float(c.max() / c.sum()) if ok and c.sum() else 0.0 for ok, c in zip(lettered, true, strict=True)]
+        return [pa.array(named, pa.string()), pa.array(scores, pa.float64())]
+
+    return add_columns(docs, text_col, ADDED, lambda: decide, keep)

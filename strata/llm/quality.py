@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import mix64, slices
+from strata.llm.common import add_columns, mix64, slices
 
 #: Bound of the labelled sample, in documents.
 SAMPLE = 6_000
@@ -38,7 +38,7 @@ GRAMS = 192
 STATS = 12
 HIDDEN = 32
 ATTENTION = 16
-EPOCHS = 12
+STEPS = 1_100
 BATCH = 64
 SEED = 7
 ADDED = {"score": T.DoubleType(), "predicted": T.IntegerType()}
@@ -129,22 +129,21 @@ class Network:
         g["W"], g["b"] = x.T @ d, d.sum(axis=0)
         return g
 
-    def fit(self, bags: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, rate: float = 3e-3, decay: float = 1e-4) -> Network:
+    def fit(self, bags: list[np.ndarray], y: np.ndarray, steps: int = STEPS, rate: float = 3e-3, decay: float = 1e-4) -> Network:
         rng = np.random.default_rng(SEED)
         m = {k: np.zeros(s) for k, s in self.SHAPES.items()}
         v = {k: np.zeros(s) for k, s in self.SHAPES.items()}
-        t = 0
-        for _ in range(epochs):
-            order = rng.permutation(len(bags))
-            for i in range(0, len(order), BATCH):
-                some = order[i : i + BATCH]
-                t += 1
-                g = self.gradients(np.concatenate([bags[k] for k in some]).astype(np.float64), np.repeat(np.arange(len(some)), [len(bags[k]) for k in some]), y[some])
-                for k in self.p:
-                    g[k] += decay * self.p[k]
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
-                    self.p[k] -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+        order = np.zeros(0, np.int64)
+        for t in range(1, steps + 1):
+            if not len(order):
+                order = rng.permutation(len(bags))
+            some, order = order[:BATCH], order[BATCH:]
+            g = self.gradients(np.concatenate([bags[k] for k in some]).astype(np.float64), np.repeat(np.arange(len(some)), [len(bags[k]) for k in some]), y[some])
+            for k in self.p:
+                g[k] += decay * self.p[k]
+                m[k] = 0.9 * m[k] + 0.1 * g[k]
+                v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
+                self.p[k] -= rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
         return self
 
 
@@ -169,29 +168,25 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     return Network().fit([np.frombuffer(x, np.float16).reshape(-1, GRAMS + STATS) for x in found["bag"]], found["label"].to_numpy(float)).p
 
 
-def score(docs: DataFrame, weights: dict[str, np.ndarray] | None, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+def score(docs: DataFrame, weights: dict[str, np.ndarray] | None, text_col: str = "text", threshold: float = 0.3, keep: list[str] | None = None) -> DataFrame:
     """``docs`` plus ``score`` and ``predicted`` (1: good)."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    keep = [c for c in docs.columns if c.lower() not in ADDED]
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").alias("text"))
-    schema = T.StructType([rows.schema[i] for i in range(len(keep))] + [T.StructField(k, v) for k, v in ADDED.items()])
-    at = len(keep)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         network = Network()
         if shared.value is not None:
             network.p = shared.value
-        for b in batches:
-            texts = b.column(at).cast(pa.binary()).to_pylist()
-            for i, j in slices(texts):
-                scores = np.full(j - i, 0.5)
-                if shared.value is not None:
-                    x, owner = describe(texts[i:j])
-                    scores = np.round(network.forward(x.astype(np.float64), owner, j - i)["y"], 6)
-                columns = [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([b.column(c).slice(i, j - i) for c in range(at)] + columns, schema.fieldNames())
-
-    return rows.mapInArrow(run, schema).toDF(*keep, *ADDED)
+
+        def work(texts: list[bytes | None]) -> list[pa.Array]:
+            scores = np.full(len(texts), 0.5)
+            if shared.value is not None:
+                x, owner = describe(texts)
+                scores = np.round(network.forward(x.astype(np.float64), owner, len(texts))["y"], 6)
+            return [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
+
+        return work
+
+    return add_columns(docs, text_col, ADDED, make, keep, as_bytes=True)
 
 
 def keep_good(docs: DataFrame, weights, **options) -> DataFrame:

@@ -28,11 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import slices
+from strata.llm.common import add_columns, slices
 
 #: Bound of the labelled sample (documents), taken in the order of a hash of the id.
 SAMPLE = 20_000
@@ -226,6 +226,10 @@ def densities(hits: tuple[list[int], int, int, int]) -> list[float]:
     return [np.log1p(len(entries)), np.log1p(distinct), np.log1p(densest), min(1.0, 10 * distinct / max(n, 1)), float(distinct >= 2), np.log1p(n) / 10]
 
 
+def _sigmoid(z):
+    return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+
+
 def train(rows: list[list[int]], dense: np.ndarray, target: np.ndarray, entries: int, rounds: int = 300, decay: float = 1e-3) -> np.ndarray:
     """Logistic regression on soft labels by full-batch Adam: weights of entries, densities and the constant."""
     indices = np.fromiter((k for r in rows for k in r), np.int64)
@@ -234,7 +238,7 @@ def train(rows: list[list[int]], dense: np.ndarray, target: np.ndarray, entries:
     first, second = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
         z = np.bincount(owner, w[indices], len(rows)) + dense @ w[entries:-1] + w[-1]
-        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - target) / max(1, len(rows))
+        error = (_sigmoid(z) - target) / max(1, len(rows))
         g = np.concatenate([np.bincount(indices, error[owner], entries), error @ dense, [error.sum()]])
         g[:entries] += decay * w[:entries] / 10
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
@@ -265,24 +269,23 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     return lexicon, train([list(e) for e in rows["entries"]], np.array(rows["dense"].tolist()).reshape(-1, DENSITIES), posterior, len(lexicon))
 
 
-def score(docs: DataFrame, model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model, text_col: str = "text", threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
     """``docs`` plus ``score`` and ``predicted``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c.lower() not in ADDED]
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").alias("text"))
-    schema = T.StructType([rows.schema[i] for i in range(len(keep))] + [T.StructField(k, v) for k, v in ADDED.items()])
-    at = len(keep)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         lexicon, w = shared.value
         hits = Hits(lexicon)
-        for b in batches:
-            out = []
-            for t in b.column(at):
-                found = hits.of(t.as_py())
-                z = w[found[0]].sum() + np.dot(densities(found), w[len(lexicon) : -1]) + w[-1] if lexicon else -np.inf
-                out.append(round(float(1 / (1 + np.exp(-max(z, -500.0)))), 9) if lexicon else 0.0)
-            columns = [pa.array(out, pa.float64()), pa.array([int(s >= threshold) for s in out], pa.int32())]
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in range(at)] + columns, schema.fieldNames())
-
-    return rows.mapInArrow(run, schema).toDF(*keep, *ADDED)
+
+        def chance(text: str | None) -> float:
+            found = hits.of(text)
+            z = w[found[0]].sum() + np.dot(densities(found), w[len(lexicon) : -1]) + w[-1]
+            return round(float(_sigmoid(z)), 9)
+
+        def work(texts: list[str | None]) -> list[pa.Array]:
+            scores = [chance(t) if lexicon else 0.0 for t in texts]
+            return [pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())]
+
+        return work
+
+    return add_columns(docs, text_col, ADDED, make, keep)
