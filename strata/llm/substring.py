@@ -7,7 +7,8 @@ id, or further up in the same one.  All windows of the input are judged.
 Every window has a minimiser: among its runs of ``M`` words, the one with the
 smallest hash.  Consecutive windows with the same minimiser share most of their
 words, so they travel together as one packed string to the bucket that
-the minimiser names, and equal windows always meet there.  In a
+the minimiser names, and equal windows always meet there.  (Its words are written as
+numbers: of a broadcast list of frequent words, or of a list packed with it.)  In a
 bucket the windows are sorted and equal neighbours compared word by word; all
 but the first of equal windows are reported as removed ranges of words.
 
@@ -27,17 +28,18 @@ Extra columns pass through, one named like an added one is replaced.
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import coded_words, mix64, slices
+from strata.llm.common import add_columns, coded_words, mix64, most_frequent, slices, stored
 
 K = 20
 #: Words of a minimiser.
@@ -45,10 +47,12 @@ M = 3
 #: A run of words is hot when it makes up 1 / HOT of the runs of a task, or of all.
 HOT = 4_096
 #: Windows a bucket holds on average; the number of buckets follows from it.
-WINDOWS_PER_BUCKET = 300_000
+WINDOWS_PER_BUCKET = 600_000
 MIN_BUCKETS = 256
 #: Characters of the texts that a task cuts into super-k-mers together.
 SLICE = 24_000_000
+#: Frequent words that every worker knows by number (about 2 MB).
+FREQUENT = 65_536
 #: Columns that remove_repeats adds.
 ADDED = ("n_words", "n_removed", "kept")
 
@@ -106,28 +110,35 @@ def _place(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_LAST)).alias("doc"), version.alias("version")]
 
 
-def hot_runs(docs: DataFrame, text_col: str = "text", hot: int = HOT, k: int = K, m: int = M) -> tuple[np.ndarray, int]:
-    """Hashes of the hot runs, sorted, and the number of windows of all texts.
+def _frequent(names: np.ndarray, numbers: np.ndarray, seen: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Counted values with those newly seen, without what stays below ``least``."""
+    values, at = np.unique(np.concatenate([names, *seen]), return_inverse=True)
+    counts = np.bincount(at[len(names) :], minlength=len(values)).astype(np.int64)
+    counts[at[: len(names)]] += numbers
+    return values[counts >= least], counts[counts >= least]
+
+
+def corpus_statistics(docs: DataFrame, text_col: str = "text", hot: int = HOT, size: int = FREQUENT, k: int = K, m: int = M) -> tuple[np.ndarray, list[bytes], int]:
+    """Hashes of the hot runs, sorted; frequent words, the most frequent first; the number of windows.
 
     A run with a share of 1 / hot of all runs has that share in at least one task, so
-    each task passes on only the few runs that have half of it there.
+    each task passes on only the few runs that have half of it there, and
+    of the words a Misra-Gries summary of ``size / 2`` counters.  Both lists only
+    decide how things travel.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, numbers, seen = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
         held = total = windows = 0
-
-        def frequent():
-            values, at = np.unique(np.concatenate([names, *seen]), return_inverse=True)
-            counts = np.bincount(at[len(names) :], minlength=len(values)).astype(np.int64)
-            counts[at[: len(names)]] += numbers
-            keep = counts * (2 * hot) >= max(total, 1)
-            return values[keep], counts[keep]
-
+        often: Counter[bytes] = Counter()
         for b in batches:
             texts = b.column(0).cast(pa.binary()).to_pylist()
-            for i, j in slices(texts):
+            for i, j in slices(texts, SLICE // 3):
                 words, codes, starts = coded_words(texts[i:j])
+                often.update(dict(zip(words, np.bincount(codes, minlength=len(words)).tolist(), strict=True)))
+                if len(often) > size // 2:
+                    floor = np.partition(np.fromiter(often.values(), np.int64, len(often)), -(size // 2) - 1)[-(size // 2) - 1]
+                    often = Counter({w: n - int(floor) for w, n in often.items() if n > floor})
                 hashes = word_hashes(words)[codes]
                 for a, z in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                     seen.append(run_hashes(hashes[a:z], m))
@@ -135,21 +146,20 @@ def hot_runs(docs: DataFrame, text_col: str = "text", hot: int = HOT, k: int = K
                     total += len(seen[-1])
                     windows += max(0, z - a - k + 1)
                 if held > 2_000_000:
-                    names, numbers = frequent()
+                    names, numbers = _frequent(names, numbers, seen, total / (2 * hot))
                     seen, held = [], 0
-        names, numbers = frequent()
-        runs = pa.concat_arrays([pa.array(names.view(np.int64)), pa.nulls(1, pa.int64())])
-        yield pa.RecordBatch.from_arrays(
-            [runs, pa.array(np.append(numbers, total)), pa.array(np.append(np.zeros(len(names), np.int64), windows))], ["run", "n", "windows"]
-        )
+        names, numbers = _frequent(names, numbers, seen, max(1, total / (2 * hot)))
+        rows = [(None, None, total, windows), *((r, None, n, 0) for r, n in zip(names.view(np.int64).tolist(), numbers.tolist(), strict=True)), *((None, w, n, 0) for w, n in often.items())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)], ["run", "word", "n", "windows"])
 
-    per_task = docs.select(text_col).mapInArrow(count, "run long, n long, windows long")
-    summed = per_task.groupBy("run").agg(F.sum("n").alias("n"), F.sum("windows").alias("windows"))
-    top = summed.orderBy(F.col("run").isNotNull(), F.desc("n"), "run").limit(hot + 1).collect()  # the totals come first
-    if not top:
-        return np.zeros(0, np.uint64), 0
-    found = np.array([r.run for r in top[1:] if r.n * hot >= top[0].n], np.int64)
-    return np.sort(found.view(np.uint64)), top[0].windows
+    per_task = docs.select(F.col(f"`{text_col}`")).mapInArrow(count, "run long, word binary, n long, windows long")
+    summed = stored(per_task.groupBy("run", "word").agg(F.sum("n").alias("n"), F.sum("windows").alias("windows")), "substring-statistics")
+    totals = summed.where("run IS NULL AND word IS NULL").first()
+    if totals is None:
+        return np.zeros(0, np.uint64), [], 0
+    runs = summed.where(F.col("run").isNotNull() & (F.col("n") * hot >= totals.n)).select("run").collect()  # `hot` rows at most
+    words = most_frequent(summed.where("word IS NOT NULL"), size).select("word", "n").collect()
+    return np.sort(np.array([r.run for r in runs], np.int64).view(np.uint64)), [bytes(r.word) for r in sorted(words, key=lambda r: (-r.n, r.word))], totals.windows
 
 
 # Substring hashes: a polynomial modulo 2^64, read off prefix sums.
@@ -169,24 +179,39 @@ def substring_hashes(values: np.ndarray, at: np.ndarray, size) -> np.ndarray:
     return (sums[at + size] - sums[at]) * _powers(len(values) + 1, _INVERSE)[at]
 
 
-def _pack(doc, version, start, size, codes, words) -> bytes:
-    """Super-k-mers of one bucket and task: their places, and their words as codes of a list of their own."""
-    used, local = np.unique(codes, return_inverse=True)
-    kind = np.uint16 if len(used) <= 65_536 else np.uint32
-    text = b" ".join([words[c] for c in used])
-    parts = [np.array([len(doc), len(codes), len(text), kind().itemsize], np.int64), np.asarray(doc, np.int64), np.asarray(version, np.int64)]
-    parts += [np.asarray(start, np.int32), np.asarray(size, np.int32), local.astype(kind)]
-    return zlib.compress(b"".join([p.tobytes() for p in parts]) + text, 1)
+def _planes(values: np.ndarray) -> bytes:
+    """All first bytes, then all second bytes, and so on: alike bytes stand together and compress well."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _pack(doc, version, start, size, codes, words, own) -> bytes:
+    """Super-k-mers of one bucket and task: their places, and their words as codes.
+
+    ``codes`` below ``own`` name frequent words; the others name ``words[code - own]``, and
+    are coded anew by the list of those that occur here.
+    """
+    used, local, times = np.unique(codes[codes >= own], return_inverse=True, return_counts=True)
+    by = np.argsort(-times, kind="stable")
+    rank = np.empty(len(by), np.uint32)
+    rank[by] = np.arange(len(by), dtype=np.uint32)
+    codes = codes.astype(np.uint32)
+    codes[codes >= own] = own + rank[local]
+    text = b" ".join([words[c - own] for c in used[by].tolist()])
+    parts = [np.asarray(doc, np.int64), np.asarray(version, np.int64), np.asarray(start, np.int32), np.asarray(size, np.int32), codes]
+    head = np.array([len(doc), len(codes), len(text)], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(map(_planes, parts)) + text)
 
 
 def _unpack(packed: bytes):
-    raw = zlib.decompress(packed)
-    n, n_codes, n_text, width = np.frombuffer(raw, np.int64, 4).tolist()
-    out, at = [], 32
-    for kind, length in ((np.int64, n), (np.int64, n), (np.int32, n), (np.int32, n), (np.uint16 if width == 2 else np.uint32, n_codes)):
-        out.append(np.frombuffer(raw, kind, length, at))
-        at += out[-1].nbytes
-    return *out, raw[at : at + n_text].split(b" ")
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    n, n_codes, n_text = np.frombuffer(raw, np.int64, 3).tolist()
+    out, at = [], 24
+    for kind, length in ((np.int64, n), (np.int64, n), (np.int32, n), (np.int32, n), (np.uint32, n_codes)):
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, length * width, at).reshape(width, length)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += length * width
+    return *out, raw[at : at + n_text].split()
 
 
 _SENT = "bucket long, packed binary, gone binary"
@@ -201,7 +226,7 @@ def _grouped(bucket: np.ndarray):
         yield int(bucket[by[a]]), by[a:z]
 
 
-def _send(doc, version, texts, hot, buckets: int, k: int, m: int) -> Iterator[tuple]:
+def _send(doc, version, texts, hot, frequent: dict[bytes, int], buckets: int, k: int, m: int) -> Iterator[tuple]:
     """(bucket, packed super-k-mers or None, removed ranges or None) of a run of documents."""
     words, codes, starts = coded_words(texts)
     hashes = word_hashes(words)[codes]
@@ -228,22 +253,28 @@ def _send(doc, version, texts, hot, buckets: int, k: int, m: int) -> Iterator[tu
             gone[i] = place[i] != place[lead]  # the same place in a repeated row is no earlier start
     for bucket, rows in _grouped((mix64(place["doc"][gone].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)) if gone.any() else ():
         yield bucket, None, place[gone][rows].tobytes()
+    named = np.array([frequent.get(w, -1) for w in words], np.int64)
+    named = np.where(named < 0, len(frequent) + np.arange(len(words)), named)[codes]
     kept = np.flatnonzero(sent)
+    kept = kept[np.lexsort((first[kept], doc[row[kept]]))]
     for bucket, rows in _grouped((mix64(minimiser[kept]) % np.uint64(buckets)).astype(np.int64)):
         r = kept[rows]
         took = np.repeat(at[r] - np.cumsum(size[r]) + size[r], size[r]) + np.arange(int(size[r].sum()))
-        yield bucket, _pack(doc[row[r]], version[row[r]], first[r], size[r], codes[took], words), None
+        yield bucket, _pack(doc[row[r]], version[row[r]], first[r], size[r], named[took], words, len(frequent)), None
 
 
-def _removed(packed: list[bytes], k: int) -> np.ndarray:
+def _removed(packed: list[bytes], own: int, k: int) -> np.ndarray:
     """Sort all windows of a bucket; the ranges covered by those that start earlier, too."""
-    known: dict[bytes, int] = {}
+    known: dict[bytes, int] = {}  # the words that are not frequent, by their code in this bucket
     parts = []
     for p in packed:
         doc, version, start, size, codes, words = _unpack(p)
         for w in words:
-            known.setdefault(w, len(known))
-        parts.append((doc, version, start, size, np.fromiter(map(known.__getitem__, words), np.int64, len(words))[codes]))
+            known.setdefault(w, own + len(known))
+        here = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        codes = codes.astype(np.int64)
+        codes[codes >= own] = here[codes[codes >= own] - own]
+        parts.append((doc, version, start, size, codes))
     doc, version, start, size, codes = (np.concatenate(x) for x in zip(*parts, strict=True))
     ends = np.cumsum(size)
     n = size - k + 1
@@ -289,23 +320,25 @@ def _joined(ranges: np.ndarray) -> np.ndarray:
 
 def removed_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, m: int = M, hot: int = HOT, per_bucket: int = WINDOWS_PER_BUCKET) -> DataFrame:
     """(doc, version, ranges): the removed words of each document, as ranges [first, last)."""
-    frequent, windows = hot_runs(docs, text_col, hot, k, m)
-    buckets = max(MIN_BUCKETS, windows // per_bucket)
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    runs, frequent, windows = corpus_statistics(docs, text_col, hot, k=k, m=m)
+    buckets, own = max(MIN_BUCKETS, windows // per_bucket), len(frequent)
+    shared = docs.sparkSession.sparkContext.broadcast((runs, frequent))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs, frequent = shared.value
+        code = {w: i for i, w in enumerate(frequent)}
         for b in batches:
             texts = b.column(2).cast(pa.binary()).to_pylist()
             doc, version = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             for i, j in slices(texts, SLICE):
-                rows = list(_send(doc[i:j], version[i:j], texts[i:j], shared.value, buckets, k, m))
+                rows = list(_send(doc[i:j], version[i:j], texts[i:j], runs, code, buckets, k, m))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["bucket", "packed", "gone"])
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
         packed = [p for p in rows["packed"] if p is not None]
         found = [np.frombuffer(g, _RANGE) for g in rows["gone"] if g is not None]
-        out = _joined(np.concatenate([np.empty(0, _RANGE), *found] + ([_removed(packed, k)] if packed else [])))
+        out = _joined(np.concatenate([np.empty(0, _RANGE), *found] + ([_removed(packed, own, k)] if packed else [])))
         return pd.DataFrame({c: out[c] for c in _RANGE.names})
 
     sent = docs.select(*_place(id_col, text_col), F.col(f"`{text_col}`").alias("text")).mapInArrow(send, _SENT)
@@ -313,30 +346,38 @@ def removed_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return ranges.groupBy("doc", "version").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` plus ``n_words``, ``n_removed`` and ``kept`` (kept words joined by one space)."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
+    """``docs`` (its columns ``keep``, all by default) plus ``n_words``, ``n_removed`` and ``kept`` (kept words joined by one space)."""
     ranges = removed_ranges(docs, id_col, text_col, **options)
-    keep = [c for c in docs.columns if c.lower() not in ADDED]
-    rows = docs.select(*_place(id_col, text_col), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text_col}`").alias("text"))
-    joined = rows.join(ranges, ["doc", "version"], "left").select(*[f"c{i}" for i in range(len(keep))], "text", "ranges")
-    schema = T.StructType([joined.schema[i] for i in range(len(keep))] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
-    at = len(keep)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(at).cast(pa.binary()).to_pylist()
-            gone = b.column(at + 1).to_pylist()
-            for i, j in slices(texts):
-                n_words, n_removed, kept = [], [], []
-                for t, ranges in zip(texts[i:j], gone[i:j], strict=True):
-                    words = (t or b"").split()
-                    n_words.append(len(words))
-                    for r in sorted(ranges or [], key=lambda r: -r["first"]):
-                        words[r["first"] : r["last"]] = [None] * (r["last"] - r["first"])
-                    words = [w for w in words if w is not None] if ranges else words
-                    n_removed.append(n_words[-1] - len(words))
-                    kept.append(b" ".join(words))
-                added = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
-                yield pa.RecordBatch.from_arrays([b.column(c).slice(i, j - i) for c in range(at)] + added, schema.fieldNames())
-
-    return joined.mapInArrow(cut, schema).toDF(*keep, *ADDED)
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ADDED]
+    others = [c for c in keep if c != text_col]
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], *_place(id_col, text_col), F.col(f"`{text_col}`").alias("text"))
+    squeezed = add_columns(rows, "text", {"squeezed": T.BinaryType()}, _squeeze, rows.columns[:-1], as_bytes=True)  # the only text that is shuffled
+    joined = squeezed.join(ranges, ["doc", "version"], "left").select(*rows.columns[: len(others)], F.struct("squeezed", "ranges").alias("cut"))
+    out = add_columns(joined, "cut", {"text": T.StringType(), "n_words": T.LongType(), "n_removed": T.LongType(), "kept": T.StringType()}, _cut, rows.columns[: len(others)])
+    return out.toDF(*others, text_col, *ADDED).select(*[F.col(f"`{c}`") for c in [*keep, *ADDED]])
+
+
+def _squeeze():
+    pack = zstandard.ZstdCompressor(level=1).compress
+    return lambda texts: [pa.array([None if t is None else pack(t) for t in texts], pa.binary())]
+
+
+def _cut():
+    unpack = zstandard.ZstdDecompressor().decompress
+
+    def cut(rows: list[dict]) -> list[pa.Array]:
+        texts, n_words, n_removed, kept = [], [], [], []
+        for row in rows:
+            texts.append(None if row["squeezed"] is None else unpack(row["squeezed"]))
+            words = (texts[-1] or b"").split()
+            n_words.append(len(words))
+            for r in row["ranges"] or ():
+                words[r["first"] : r["last"]] = [None] * (r["last"] - r["first"])
+            words = [w for w in words if w is not None] if row["ranges"] else words
+            n_removed.append(n_words[-1] - len(words))
+            kept.append(b" ".join(words))
+        strings = (pa.array(x, pa.binary()).cast(pa.string()) for x in (texts, kept))
+        return [next(strings), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), next(strings)]
+
+    return cut

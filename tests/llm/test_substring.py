@@ -85,8 +85,8 @@ def test_odd_rows(spark):
 def test_equal_hashes_are_told_apart(monkeypatch):
     monkeypatch.setattr(substring, "substring_hashes", lambda values, at, size: np.zeros(len(at), np.uint64))
     texts = [b"a b c d e f", b"x b c d y z", b"b c d"]
-    sent = list(substring._send(np.arange(3), np.zeros(3, np.int64), texts, np.zeros(0, np.uint64), 1, 3, 2))
+    sent = list(substring._send(np.arange(3), np.zeros(3, np.int64), texts, np.zeros(0, np.uint64), {b"c": 0}, 1, 3, 2))
     packed = [p for _, p, _ in sent if p is not None]
-    ranges = [np.frombuffer(g, substring._RANGE) for _, _, g in sent if g is not None] + [substring._removed(packed, 3)]
+    ranges = [np.frombuffer(g, substring._RANGE) for _, _, g in sent if g is not None] + [substring._removed(packed, 1, 3)]
     got = {(int(r["doc"]), int(r["first"]), int(r["last"])) for r in substring._joined(np.concatenate(ranges))}
     assert got == {(1, 1, 4), (2, 0, 3)}
