@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -37,12 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from strata.llm.common import slices
+from strata.llm.common import add_columns, most_frequent, stored
 
 #: Words in the lexicon: bounds the automaton (about 10 MB) and what the driver collects.
 LEXICON = 131_072
 #: Distinct chunks a worker remembers, and counts before it passes them on.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
+COUNTED = 600_000
 #: Words longer than that (bytes) are merged rather than looked up.
 LONGEST = 48
 #: Below this code point the pattern's classes are the same in every Unicode version
@@ -66,9 +68,9 @@ def byte_chars() -> list[str]:
 _BYTE_CHARS = byte_chars()
 
 
-def spelled(word: str) -> str:
+def spelled(word: bytes) -> str:
     """A word in the vocabulary's byte characters."""
-    return word if word.isascii() and word.isalnum() else "".join(_BYTE_CHARS[b] for b in word.encode())
+    return word.decode() if word.isalnum() else "".join([_BYTE_CHARS[b] for b in word])
 
 
 # -------------------------------------------------------------- the automaton
@@ -122,8 +124,8 @@ def compile_words(words: list[bytes], outputs: list[list[int]]) -> np.ndarray:
         below[state] = n
     starts = np.zeros(len(words) + 1, np.int64)
     np.cumsum([len(o) for o in outputs], out=starts[1:])
-    parts = [keys, targets, skips, [f for f, _ in frozen], starts, [i for o in outputs for i in o]]
-    flat = [np.asarray(p, np.int64) for p in parts]
+    ids = np.array([i for o in outputs for i in o] + [0] * (int(starts[-1]) % 2), "<u4").view(np.int64)  # two to a cell
+    flat = [np.asarray(p, np.int64) for p in (keys, targets, skips, [f for f, _ in frozen], starts, ids)]
     return np.concatenate([[len(p) for p in flat], [root], *flat]).astype(np.int64)
 
 
@@ -133,9 +135,10 @@ class Lexicon:
     def __init__(self, flat: np.ndarray):
         sizes, self.root = flat[:6], int(flat[6])
         ends = 7 + np.cumsum(sizes)
-        self.keys, self.targets, self.skips, self.finals, self.starts, self.ids = (
-            flat[e - n : e] for e, n in zip(ends, sizes, strict=True)
+        self.keys, self.targets, self.skips, self.finals, self.starts, ids = (
+            np.asarray(flat[e - n : e]) for e, n in zip(ends, sizes, strict=True)
         )
+        self.ids = memoryview(ids).cast("B")
 
     @classmethod
     def open(cls, path: str) -> Lexicon:
@@ -167,9 +170,13 @@ class Lexicon:
         out[rows[ok]] = number[ok]
         return out
 
-    def packed(self, number: int) -> bytes:
-        """A word's ids as little-endian unsigned 32-bit integers."""
-        return self.ids[self.starts[number] : self.starts[number + 1]].astype("<u4").tobytes()
+    def look_up(self, words: list[bytes]) -> list[bytes | None]:
+        """Each word's ids as little-endian unsigned 32-bit integers, None where it is not in the lexicon."""
+        numbers = self.numbers(words)
+        ids, starts = self.ids, self.starts
+        ends = (4 * starts[numbers + 1]).tolist()
+        begins = (4 * starts[numbers]).tolist()
+        return [bytes(ids[a:z]) if n >= 0 else None for n, a, z in zip(numbers.tolist(), begins, ends, strict=True)]
 
 
 # ---------------------------------------------------------------- the words
@@ -191,24 +198,29 @@ class Words:
         """The words of a text without special tokens."""
         if text.isascii():
             text = text.lower()
-            if text.isalpha():
-                return [text]
+        elif max(text) < SETTLED and "Σ" not in text:  # the library writes no final sigma
+            text = unicodedata.normalize("NFC", text).lower()
         else:
             text = self.normalize(text)
         if not text or max(text) < SETTLED:
             return PATTERN.findall(text)
         return [text[a:b] for _, (a, b) in self.pre(text)]
 
-    def of(self, chunk: str) -> list[str | int]:
+    def of(self, chunk: bytes) -> list[bytes | int]:
         """The words of a chunk; a special token is its id."""
-        if self.cut is None or not any(m in chunk for m in self.marks) or not self.cut.search(chunk):
-            return self.plain(chunk)
-        out: list[str | int] = []
-        for part in self.cut.split(chunk):
-            out += [self.special[part]] if part in self.special else self.plain(part)
+        if chunk.isalpha():  # bytes: letters of ASCII only
+            return [chunk.lower()]
+        if chunk[-1:] in (b",", b".") and chunk[:-1].isalpha():
+            return [chunk[:-1].lower(), chunk[-1:]]
+        text = chunk.decode()
+        if self.cut is None or self.marks.isdisjoint(text) or not self.cut.search(text):
+            return [w.encode() for w in self.plain(text)]
+        out: list[bytes | int] = []
+        for part in self.cut.split(text):
+            out += [self.special[part]] if part in self.special else [w.encode() for w in self.plain(part)]
         return out
 
-    def merged(self, word: str) -> list[int]:
+    def merged(self, word: bytes) -> list[int]:
         return [t.id for t in self.merge(spelled(word))]
 
 
@@ -235,19 +247,19 @@ def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
         def flush():
             out = Counter()
             for chunk, n in seen.items():
-                for w in words.of(chunk.decode()):
-                    if isinstance(w, str):
+                for w in words.of(chunk):
+                    if isinstance(w, bytes):
                         out[w] += n
             seen.clear()
             names = list(out)
             for i in range(0, len(names), 50_000):
                 part = names[i : i + 50_000]
-                yield pa.record_batch([pa.array(part, pa.string()), pa.array([out[w] for w in part], pa.int64())], ["word", "n"])
+                yield pa.record_batch([pa.array(part, pa.binary()).cast(pa.string()), pa.array([out[w] for w in part], pa.int64())], ["word", "n"])
 
         for b in batches:
             for text in b.column(0).cast(pa.binary()):
                 seen.update(chunks(text.as_py()))
-                if len(seen) > REMEMBERED:
+                if len(seen) > COUNTED:
                     yield from flush()
         yield from flush()
 
@@ -255,12 +267,12 @@ def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
 
 
 def fit_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", size: int = LEXICON) -> str:
-    """Compile the ``size`` most frequent words; returns the name executors find the file by."""
+    """Compile at most ``size`` of the most frequent words; returns the name executors find the file by."""
     spark = docs.sparkSession
-    top = word_counts(docs, tokenizer, text_col).where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(size)
+    counts = stored(word_counts(docs, tokenizer, text_col).where(F.octet_length("word") <= LONGEST), "words")
     words = words_for(tokenizer)
-    entries = sorted(r.word.encode() for r in top.select("word").collect())
-    flat = compile_words(entries, [words.merged(w.decode()) for w in entries])
+    entries = sorted(r.word.encode() for r in most_frequent(counts, size).select("word").collect())
+    flat = compile_words(entries, [words.merged(w) for w in entries])
     name = f"lexicon-{uuid.uuid4().hex}.npy"
     file = Path(tempfile.mkdtemp()) / name
     np.save(file, flat)
@@ -273,19 +285,18 @@ class Encoder:
 
     def __init__(self, tokenizer: str, lexicon: str):
         self.words, self.lexicon = words_for(tokenizer), Lexicon.open(SparkFiles.get(lexicon))
+        self.special = {i: np.array([i], "<u4").tobytes() for i in self.words.special.values()}
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, new: list[bytes]) -> None:
-        parts = [self.words.of(c.decode()) for c in new]
-        distinct = list({w for p in parts for w in p if isinstance(w, str)})
-        numbers = self.lexicon.numbers([w.encode() for w in distinct])
-        packed: dict[str | int, bytes] = {}
-        for w, n in zip(distinct, numbers.tolist(), strict=True):
-            packed[w] = self.lexicon.packed(n) if n >= 0 else np.array(self.words.merged(w), "<u4").tobytes()
-        for i in self.words.special.values():
-            packed[i] = np.array([i], "<u4").tobytes()
+        parts = [self.words.of(c) for c in new]
+        distinct = list(set().union(*parts).difference(self.special))
+        packed: dict[bytes | int, bytes] = dict(self.special)
+        packed.update(zip(distinct, self.lexicon.look_up(distinct), strict=True))
+        for w in [w for w in distinct if packed[w] is None]:
+            packed[w] = np.array(self.words.merged(w), "<u4").tobytes()
         for c, p in zip(new, parts, strict=True):
-            self.known[c] = b"".join([packed[w] for w in p])
+            self.known[c] = packed[p[0]] if len(p) == 1 else b"".join([packed[w] for w in p])
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """UTF-8 texts to their packed ids."""
@@ -318,35 +329,7 @@ def decode_ids(packed: bytes, table: np.ndarray) -> str:
     return " ".join(table[np.frombuffer(packed, "<u4")])
 
 
-def _with_columns(df: DataFrame, added: dict[str, T.DataType], make) -> DataFrame:
-    """``df`` plus columns made per run of rows; ``make(batch) -> list of arrays``."""
-    keep = [c for c in df.columns if c.lower() not in added]
-    kept = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], *[F.col(f"`{c}`").alias(f"in_{c}") for c in make.reads])
-    schema = T.StructType([T.StructField(f"c{i}", kept.schema[i].dataType) for i in range(len(keep))] + [T.StructField(k, v) for k, v in added.items()])
-    first = len(keep)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
-        for b in batches:
-            values = b.column(first).cast(pa.binary()).to_pylist()
-            for i, j in slices(values):
-                columns = [b.column(k).slice(i, j - i) for k in range(first)] + work(values[i:j])
-                yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
-
-    return kept.mapInArrow(run, schema).toDF(*keep, *added)
-
-
-class _Make:
-    """What a task builds once: a function from a run of values to arrays."""
-
-    def __init__(self, reads: list[str], build):
-        self.reads, self.build = reads, build
-
-    def __call__(self):
-        return self.build()
-
-
-def encode(df: DataFrame, tokenizer: str, lexicon: str, text_col: str = "text", decode: bool = False) -> DataFrame:
+def encode(df: DataFrame, tokenizer: str, lexicon: str, text_col: str = "text", decode: bool = False, keep: list[str] | None = None) -> DataFrame:
     """``df`` plus ``ids`` (packed little-endian uint32), ``n_tokens`` and, if asked, ``decoded``."""
 
     def build():
@@ -361,7 +344,7 @@ def encode(df: DataFrame, tokenizer: str, lexicon: str, text_col: str = "text",
         return work
 
     added = {"ids": T.BinaryType(), "n_tokens": T.LongType()} | ({"decoded": T.StringType()} if decode else {})
-    return _with_columns(df, added, _Make([text_col], build))
+    return add_columns(df, text_col, added, build, keep, as_bytes=True)
 
 
 def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
@@ -371,9 +354,9 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
         table = _token_table(tokenizer)
         return lambda packed: [pa.array([decode_ids(x or b"", table) for x in packed], pa.string())]
 
-    return _with_columns(df, {"decoded": T.StringType()}, _Make([ids_col], build))
+    return add_columns(df, ids_col, {"decoded": T.StringType()}, build)
 
 
-def round_trip(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Fit the lexicon on ``docs``, encode every text and decode its ids, in one pass after the count."""
-    return encode(docs, tokenizer, fit_lexicon(docs, tokenizer, text_col), text_col, decode=True)
+    return encode(docs, tokenizer, fit_lexicon(docs, tokenizer, text_col), text_col, True, keep)

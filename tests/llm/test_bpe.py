@@ -67,7 +67,7 @@ def test_automaton_is_minimal_and_numbers_words():
     flat = bpe.compile_words(words, outputs)
     lex = bpe.Lexicon(flat)
     assert lex.numbers(words).tolist() == list(range(len(words)))
-    assert [lex.packed(i) for i in range(len(words))] == [np.array(o, "<u4").tobytes() for o in outputs]
+    assert lex.look_up(words) == [np.array(o, "<u4").tobytes() for o in outputs]
     others = [w for w in (b"", b"x", b"ab" * 40, b"cccccccc", b"aaab\x00") if w not in words]
     assert set(lex.numbers(others).tolist()) == {-1}
     # minimal: as many states as there are different sets of endings
@@ -78,7 +78,7 @@ def test_automaton_is_minimal_and_numbers_words():
 
 def test_automaton_of_nothing():
     lex = bpe.Lexicon(bpe.compile_words([], []))
-    assert lex.numbers([b"a", b""]).tolist() == [-1, -1]
+    assert lex.look_up([b"a", b""]) == [None, None]
 
 
 def test_extra_columns_empty_table_and_decode(spark, library):
