@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, langid, mixing, quality, rules, substring, tokens, toxicity
+from strata.llm import bpe, langid, minhash, mixing, quality, rules, substring, tokens, topk, toxicity
 from strata.llm.common import held_out, ship
 
 
@@ -19,37 +19,46 @@ def op1_mix_sources(spark, sf_dir):
 
 
 def op2_bpe_round_trip(spark, sf_dir):
-    out = bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    out = bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op3_quality_rules(spark, sf_dir):
     good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    out = rules.apply_rules(_table(spark, sf_dir, "documents"), good)
+    out = rules.apply_rules(_table(spark, sf_dir, "documents"), good, keep=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
 def op4_substring_dedup(spark, sf_dir):
-    out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
+    out = substring.remove_repeats(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_exact_top_k(spark, sf_dir):
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+def op6_near_duplicates(spark, sf_dir):
+    out = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("doc").alias("doc_id"), F.col("class").alias("class_id"))
+
+
 def op7_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, _table(spark, sf_dir, "labels").where(~held_out()))
-    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def op8_quality_classifier(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     weights = quality.learn(docs, _table(spark, sf_dir, "labels").where(~held_out()))
-    return quality.score(docs, weights).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    return quality.score(docs, weights, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def op9_language_id(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = langid.learn(docs.where(~held_out()))
-    return langid.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return langid.predict(docs, model, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op10_token_counts(spark, sf_dir):
