@@ -62,11 +62,8 @@ EXPIRED_SCHEMA = "version int, expired_at timestamp_ntz"
 # only move the pointer.
 VERSIONING_OPS = ("create", "overwrite", "append", "replace", "compact", "revert")
 
-# Up to this many pins a read lists exactly the pinned folders (Spark lists
-# many paths in parallel); above it, the root is scanned and semi-joined.
-LITERAL_PIN_LIMIT = 50_000
-# A pin table is broadcast only below this many rows (it is counted first).
-BROADCAST_PIN_LIMIT = 1_000_000
+# Types whose values are spelled the same in a folder name and in a pin.
+PARTITION_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.StringType, T.BooleanType)
 
 
 class HistoryError(Exception):
@@ -111,6 +108,8 @@ def _fmt_value(v) -> str:
     """A partition value as Spark spells it in a folder name."""
     if v is None or v == "":
         return _NULL_PARTITION
+    if isinstance(v, bool):
+        v = str(v).lower()
     if isinstance(v, dt.datetime):
         v = v.isoformat(sep=" ")
     elif isinstance(v, dt.date):
@@ -156,6 +155,9 @@ class VersionedTable:
         missing = [c for c in partition_cols if c not in schema.fieldNames()]
         if missing:
             raise HistoryError(f"partition columns not in schema: {missing}")
+        odd = [c for c in partition_cols if not isinstance(schema[c].dataType, PARTITION_TYPES)]
+        if odd:
+            raise HistoryError(f"columns of these types cannot partition a table: {odd}")
         t = cls(spark, root)
         if path_exists(spark, t.commits_path):
             raise HistoryError(f"table already exists at {root}")
@@ -224,14 +226,27 @@ class VersionedTable:
         raise HistoryError(f"no table at {self.root}")
 
     def schema(self, version: int | None = None) -> T.StructType:
-        """Table schema as of a version (the latest declared one by default)."""
-        rows = [r for r in self._commit_rows() if r.schema_json is not None]
-        if version is not None:
-            rows = [r for r in rows if r.version <= version] or rows[:1]
-        return T.StructType.fromJson(json.loads(rows[-1].schema_json))
+        """Table schema of a version (the current one by default).
+
+        The nearest one declared on the version's own chain of parents: columns that
+        another branch or a later commit added are not part of it.
+        """
+        created = self._creation()
+        chain = [created[v] for v in self.ancestors(version)] or list(created.values())[:1]
+        for r in chain:
+            if r.schema_json is not None:
+                return T.StructType.fromJson(json.loads(r.schema_json))
+        raise HistoryError(f"no schema for version {version} at {self.root}")
+
+    def declared_schema(self) -> T.StructType:
+        """The schema the table was created with: its contract columns."""
+        for r in self._commit_rows():
+            if r.operation == "create":
+                return T.StructType.fromJson(json.loads(r.schema_json))
+        raise HistoryError(f"no table at {self.root}")
 
     def _pins_schema(self) -> T.StructType:
-        schema = self.schema()
+        schema = self.declared_schema()
         fields = [schema[c] for c in self.partition_cols]
         return T.StructType(
             [T.StructField("version", T.IntegerType())]
@@ -250,7 +265,7 @@ class VersionedTable:
             created = self._creation().get(version)
             rows: list[Row] = []
             if created is not None:
-                schema = self.schema()
+                schema = self.declared_schema()
                 parts = self.partition_cols
                 rows = (
                     self.spark.read.schema(COMMITS_SCHEMA)
@@ -315,49 +330,27 @@ class VersionedTable:
         data = [f for f in schema.fields if f.name not in parts]
         return T.StructType(data + [T.StructField("_version", T.IntegerType())] + [schema[c] for c in parts])
 
-    def _literal_paths_ok(self) -> bool:
-        ok = (T.IntegerType, T.LongType, T.ShortType, T.DateType)
-        schema = self.schema()
-        return all(isinstance(schema[c].dataType, ok) for c in self.partition_cols)
-
     def _pin_paths(self, pins: Sequence[Row]) -> list[str]:
         parts = self.partition_cols
-        keys = sorted({(r.data_version, *[r[c] for c in parts]) for r in pins})
-        return [
-            f"{self.data_path}/_version={k[0]}/" + "/".join(f"{c}={_fmt_value(v)}" for c, v in zip(parts, k[1:]))
-            for k in keys
-        ]
+        keys = {(r.data_version, *[_fmt_value(r[c]) for c in parts]) for r in pins}
+        return [f"{self.data_path}/_version={v}/" + "/".join(f"{c}={x}" for c, x in zip(parts, k)) for v, *k in sorted(keys)]
 
-    def scan_pins(self, pins: Sequence[Row], *, metadata: bool = False) -> DataFrame:
-        """Rows of the given pins.
+    def scan_pins(self, pins: Sequence[Row], *, metadata: bool = False, schema: T.StructType | None = None) -> DataFrame:
+        """Rows of the given pins, with the columns of ``schema`` (the current one by default).
 
-        Few pins: read exactly their folders (nothing else is even listed).
-        Many pins: scan the dataset and semi-join the pin table, broadcast only
-        below ``BROADCAST_PIN_LIMIT`` rows (its size is known: it is metadata).
+        Reads exactly the pinned folders, nothing else is even listed; a NULL partition
+        value is a folder like any other.  Columns a file lacks are NULL.
         """
-        parts = self.partition_cols
-        schema = self.schema()
-        if not pins:
-            df = self.spark.createDataFrame([], schema)
-            if metadata:
-                df = df.withColumns({"_metadata_file": F.lit(None).cast("string"),
-                                     "_metadata_size": F.lit(None).cast("bigint")})
-            return df
-        reader = self.spark.read.schema(self._data_schema()).option("basePath", self.data_path)
-        if len(pins) <= LITERAL_PIN_LIMIT and self._literal_paths_ok():
+        schema = schema or self.schema()
+        if pins:
+            reader = self.spark.read.schema(self._data_schema(schema)).option("basePath", self.data_path)
             df = reader.parquet(*self._pin_paths(pins))
         else:
-            key = (
-                self.spark.createDataFrame(list(pins), self._pins_schema_nov())
-                .select(F.col("data_version").alias("_version"), *parts)
-                .distinct()
-            )
-            if len(pins) <= BROADCAST_PIN_LIMIT:
-                key = F.broadcast(key)
-            df = reader.parquet(self.data_path).join(key, ["_version", *parts], "left_semi")
+            df = self.spark.createDataFrame([], schema)
         if metadata:
-            df = df.withColumns({"_metadata_file": F.col("_metadata.file_path"),
-                                 "_metadata_size": F.col("_metadata.file_size")})
+            file = {"_metadata_file": "_metadata.file_path", "_metadata_size": "_metadata.file_size"}
+            kinds = {"_metadata_file": "string", "_metadata_size": "bigint"}
+            df = df.withColumns({k: F.col(v) if pins else F.lit(None).cast(kinds[k]) for k, v in file.items()})
         cols = schema.fieldNames() + (["_metadata_file", "_metadata_size"] if metadata else [])
         return df.select(*cols)
 
@@ -383,7 +376,7 @@ class VersionedTable:
             raise HistoryError(f"version {version} has been expired")
         elif version not in self._creation():
             raise HistoryError(f"unknown version {version}")
-        return self.scan_pins(self.pin_rows(version))
+        return self.scan_pins(self.pin_rows(version), schema=self.schema(version))
 
     # ------------------------------------------------------------------- write
     def write(
@@ -395,6 +388,7 @@ class VersionedTable:
         committed_at: dt.datetime | None = None,
         scope: DataFrame | Sequence[tuple] | None = None,
         operation: str | None = None,
+        parent: int | None = None,
     ) -> int:
         """Commit ``df`` as a new version; returns its number.
 
@@ -404,6 +398,11 @@ class VersionedTable:
         * ``append`` (C1): rows are added next to the existing ones.
         * ``overwrite``: the whole table becomes ``df``.
 
+        Columns that an earlier commit added and ``df`` lacks are NULL (an older
+        shape landed again); a missing contract column, or a column of another type
+        than the table's, fails before anything is written.  With ``parent`` the
+        commit fails if the table has moved on from that version.
+
         One job writes the data; one metadata scan of the new folder counts
         records per partition; pins and the commit row are tiny writes.
         """
@@ -413,15 +412,25 @@ class VersionedTable:
         parts = self.partition_cols
         schema = self.schema()
         extra = [c for c in df.columns if c not in schema.fieldNames()]
-        missing = [c for c in schema.fieldNames() if c not in df.columns]
+        missing = [c for c in self.declared_schema().fieldNames() if c not in df.columns]
         if missing:
             raise HistoryError(f"input lacks table columns {missing}")
+        df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in df.columns})
+        odd = [
+            f"{f.name}: {df.schema[f.name].dataType.simpleString()} for {f.dataType.simpleString()}"
+            for f in schema.fields if df.schema[f.name].dataType.simpleString() != f.dataType.simpleString()
+        ]
+        if odd:
+            raise HistoryError(f"input has other types than the table: {odd}")
         new_schema = None
         if extra:  # additive evolution (E7): accepted, recorded with this commit
             new_schema = T.StructType(schema.fields + [df.schema[c] for c in extra])
             schema = new_schema
         data_cols = [c for c in schema.fieldNames() if c not in parts]
-        parent = self._head().version
+        head = self._head().version
+        if parent is not None and parent != head:
+            raise HistoryError(f"the table moved from version {parent} to {head}")
+        parent = head
         v = self.next_version()
 
         # 1. data: a new _version folder; no existing file is touched.  Task
@@ -591,6 +600,7 @@ class VersionedTable:
 
     def set_current(self, version: int, *, committed_at: dt.datetime | None = None) -> None:
         """Point the table at any retained version, e.g. forward again."""
+        self.refresh()
         if version not in self._creation():
             raise HistoryError(f"unknown version {version}")
         self._move(version, "set_current", committed_at)
@@ -608,8 +618,9 @@ class VersionedTable:
     def undo_batch(self, batch_id: str, *, committed_at: dt.datetime | None = None) -> int:
         """Revert what one run wrote (J12), keeping later good partitions.
 
-        Partitions whose current pin points at the batch's data are re-pointed
-        to the pins they had before that batch; a pins-only ``revert`` commit.
+        A partition that holds the batch's data gets the pins of the newest
+        earlier version in which it held none, besides later good ones; a
+        pins-only ``revert`` commit.  Fails when that version has been expired.
         """
         self.refresh()
         created = self._creation()
@@ -620,15 +631,22 @@ class VersionedTable:
         key = lambda r: tuple(r[c] for c in parts)
         cur = self.current_version()
         pins = self.pin_rows(cur)
-        affected = {key(r) for r in pins if r.data_version in bad}
-        keep = [r for r in pins if r.data_version not in bad]
-        have = {(key(r), r.data_version) for r in keep}
-        for v in sorted(bad):
-            parent = created[v].parent
-            for r in self.pin_rows(parent):
-                if key(r) in affected and r.data_version not in bad and (key(r), r.data_version) not in have:
-                    keep.append(r)
-                    have.add((key(r), r.data_version))
+        keep = {(key(r), r.data_version): r for r in pins if r.data_version not in bad}
+        lost = {key(r) for r in pins if r.data_version in bad}
+        for v in self.ancestors(cur)[1:]:  # newest first
+            if not lost:
+                break
+            if v in self._expired_versions():
+                raise HistoryError(f"cannot undo batch {batch_id}: version {v}, which it replaced, has been expired")
+            then: dict[tuple, list[Row]] = {k: [] for k in lost}
+            for r in self.pin_rows(v):
+                if key(r) in then:
+                    then[key(r)].append(r)
+            for k, rows in then.items():
+                if not any(r.data_version in bad for r in rows):  # the partition as it was before the batch came
+                    keep.update({(k, r.data_version): r for r in rows})
+                    lost.discard(k)
+        keep = list(keep.values())
         v_new = self.next_version()
         rows = [(*key(r), r.data_version, r.records) for r in keep]
         self._commit_pins(v_new, cur, rows, operation="revert", batch_id=batch_id, committed_at=committed_at)
@@ -649,8 +667,10 @@ class VersionedTable:
             return out
         sa, sb = pinsets(a), pinsets(b)
         differing = {k for k in set(sa) | set(sb) if sa.get(k) != sb.get(k)}
-        ra = self.scan_pins([r for r in self.pin_rows(a) if key(r) in differing])
-        rb = self.scan_pins([r for r in self.pin_rows(b) if key(r) in differing])
+        both = self.schema(a)
+        both = T.StructType(both.fields + [f for f in self.schema(b).fields if f.name not in both.fieldNames()])
+        ra = self.scan_pins([r for r in self.pin_rows(a) if key(r) in differing], schema=both)
+        rb = self.scan_pins([r for r in self.pin_rows(b) if key(r) in differing], schema=both)
         if columns is not None:
             ra, rb = ra.select(*columns), rb.select(*columns)
         return ra.exceptAll(rb).withColumn("_change", F.lit("removed")).unionByName(
@@ -745,8 +765,10 @@ class VersionedTable:
         ``sort_by`` clusters rows inside each file, so Parquet min/max statistics
         let pushed-down filters on those columns skip row groups.
         """
+        self.refresh()  # the version that is rewritten is the one that is replaced
+        parent = self.current_version()
         parts = self.partition_cols
-        pins = self.pin_rows(self.current_version())
+        pins = self.pin_rows(parent)
         per_part: dict = {}
         for r in pins:
             k = tuple(r[c] for c in parts)
@@ -755,11 +777,10 @@ class VersionedTable:
             [(*k, max(1, math.ceil(n / rows_per_file))) for k, n in per_part.items()],
             T.StructType([self.schema()[c] for c in parts] + [T.StructField("_k", T.LongType())]),
         )
-        if len(per_part) <= BROADCAST_PIN_LIMIT:
-            sizes = F.broadcast(sizes)
-        rows = self.read()
+        rows = self.read(parent)
         total = max(1, sum(math.ceil(n / rows_per_file) for n in per_part.values()))
-        salted = rows.join(sizes, parts, "left").withColumn(
+        same = [rows[c].eqNullSafe(sizes[c]) for c in parts]
+        salted = rows.join(sizes, same, "left").select(*[rows[c] for c in rows.columns], "_k").withColumn(
             "_salt", F.pmod(F.xxhash64(*rows.columns), F.col("_k"))
         )
         out = salted.repartition(total, *parts, "_salt").drop("_k", "_salt")
@@ -767,5 +788,5 @@ class VersionedTable:
             out = out.sortWithinPartitions(*parts, *sort_by)
         return self.write(
             out, "replace", batch_id=batch_id, committed_at=committed_at, operation="compact",
-            scope=list(per_part),
+            scope=list(per_part), parent=parent,
         )

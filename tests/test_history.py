@@ -129,21 +129,78 @@ def test_expire_keeps_data_a_retained_version_needs(spark, table):
     assert {(r.data_version, r.month) for r in plan.collect()} == {(v2, 2)}
 
 
-def test_many_pins_path_matches_literal_paths(spark, table, monkeypatch):
-    """Above the literal-path limit a read scans the root and semi-joins the pins."""
-    import strata.operators.history as H
+@pytest.mark.parametrize("kind", ["int", "string", "date", "boolean"])
+def test_null_partition_values_are_read(spark, layout, kind):
+    df = spark.range(6)
+    value = {"int": "id", "string": "concat('a ', id)", "date": "date_add(DATE'2024-01-01', CAST(id AS INT))", "boolean": "id > 2"}[kind]
+    df = df.selectExpr("id", f"CAST(IF(id % 3 = 0, NULL, {value}) AS {kind}) AS p")
+    t = VersionedTable.create(spark, f"{layout.root}/n-{kind}", df.schema, ["p"], committed_at=at(0))
+    t.write(df, committed_at=at(1))
+    want = sorted(map(str, df.collect()))
+    assert sorted(map(str, VersionedTable(spark, t.root).read().collect())) == want
+    t.write(df.where("p IS NULL").selectExpr("id + 100 AS id", "p"), committed_at=at(2))
+    assert sorted(r.id for r in t.read().where("p IS NULL").collect()) == [100, 103]
+    assert t.read().count() == 6
+    t.compact(rows_per_file=1, committed_at=at(3))
+    assert sorted(r.id for r in t.read().collect()) == [1, 2, 4, 5, 100, 103]
+
+
+def test_partition_type_without_a_stable_spelling_is_refused(spark, layout):
+    with pytest.raises(HistoryError, match="cannot partition"):
+        VersionedTable.create(spark, f"{layout.root}/d", spark.createDataFrame([], "id int, p double").schema, ["p"])
 
+
+def test_undo_batch_that_wrote_a_partition_twice(spark, table):
     t = table
-    t.write(rows(spark, [(2024, 1), (2024, 2)], "a"), committed_at=at(1))
-    v = t.write(rows(spark, [(2024, 2), (2024, 3)], "b", per_month=4), committed_at=at(2))
-    expected = sorted(t.read(version=v).collect())
-    monkeypatch.setattr(H, "LITERAL_PIN_LIMIT", 0)
-    fresh = VersionedTable(spark, t.root)
-    assert sorted(fresh.read(version=v).collect()) == expected
-    assert fresh.read(version=v).count() == 3 + 4 + 4
+    t.write(rows(spark, [(2024, 1)], "bad", per_month=1), batch_id="bad", committed_at=at(1))
+    t.write(rows(spark, [(2024, 1)], "good", per_month=3), batch_id="good", committed_at=at(2))
+    t.write(rows(spark, [(2024, 1)], "bad", per_month=2), batch_id="bad", committed_at=at(3))
+    t.undo_batch("bad", committed_at=at(4))
+    assert t.read().count() == 3
+
+
+def test_undo_after_the_needed_version_expired_is_refused(spark, table):
+    t = table
+    t.write(rows(spark, [(2024, 1)], "good"), batch_id="good", committed_at=at(1))
+    t.write(rows(spark, [(2024, 1)], "bad"), batch_id="bad", committed_at=at(2))
+    t.expire(at(9), retain_last=1)
+    with pytest.raises(HistoryError, match="expired"):
+        t.undo_batch("bad")
+    assert t.read().count() == 3
+
+
+def test_compact_rewrites_the_latest_version(spark, table):
+    t = table
+    t.write(rows(spark, [(2024, 1)], "a", per_month=1), committed_at=at(1))
+    stale = VersionedTable(spark, t.root)
+    assert stale.read().count() == 1
+    t.write(rows(spark, [(2024, 1)], "b", per_month=2), committed_at=at(2))
+    stale.compact(committed_at=at(3))
+    assert VersionedTable(spark, t.root).read().count() == 2
+
+
+def test_later_columns_do_not_show_in_earlier_versions_or_after_a_rollback(spark, table):
+    t = table
+    v = t.write(rows(spark, [(2024, 1)], "a"), committed_at=at(1))
+    before = t.read().columns
+    w = t.write(rows(spark, [(2024, 2)], "b").withColumn("added", F.lit(1)), committed_at=at(2))
+    assert t.read(version=v).columns == before and "added" in t.read(version=w).columns
+    t.rollback(v, committed_at=at(3))
+    assert t.read().columns == before
+
+
+def test_an_older_shape_lands_again_and_another_type_does_not(spark, table):
+    t = table
+    t.write(rows(spark, [(2024, 2)], "b").withColumn("added", F.lit(1)), committed_at=at(1))
+    t.write(rows(spark, [(2024, 1)], "a"), committed_at=at(2))
+    got = t.read().groupBy("month").agg(F.count("added").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    assert {(r.month, r.n, r.rows) for r in got} == {(1, 0, 3), (2, 3, 3)}
+    with pytest.raises(HistoryError, match="other types"):
+        t.write(rows(spark, [(2024, 3)], "c").withColumn("added", F.lit("x")))
+    assert t.read().count() == 6
 
 
-def test_string_partition_column_reads_by_semi_join(spark, layout):
+def test_string_partition_column(spark, layout):
     df = spark.createDataFrame([(1, "a b"), (2, "c/d"), (3, "a b")], "id bigint, region string")
     t = VersionedTable.create(spark, f"{layout.root}/s", df.schema, ["region"], committed_at=at(0))
     t.write(df, committed_at=at(1))
