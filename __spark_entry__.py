@@ -227,8 +227,8 @@ def q_contract_report(spark, sf):
         "retyped": probe.withColumn("l_discount", F.col("l_discount").cast("string")),
         "renamed": probe.withColumnRenamed("l_tax", "tax_rate"),
     }
-    reports = [contract.compare_schema(df.schema, contract.TRIP_CONTRACT, name) for name, df in cases.items()]
-    return contract.contract_report_frame(spark, reports)
+    found = [f for name, df in cases.items() for f in contract.findings(df.schema, contract.TRIP_CONTRACT, name)]
+    return contract.findings_frame(spark, found)
 
 
 def q_bronze_readback(spark, sf):

@@ -1,7 +1,7 @@
 """Bronze: land reload units faithfully, idempotently, atomically.
 
-``run_bronze`` is the unit of work: discover units -> check every unit's
-footer against the contract (driver-side, no job, before anything is
+``run_bronze`` is the unit of work: discover units -> check the footer of every
+file of every unit against the contract (on driver threads, before anything is
 written) -> one scan over all accepted units -> enrich -> one ``replace``
 commit.  The whole run is one pass over the data (plus a footer-only count
 of what was written) and one atomic commit, so landing 1,000 months costs one
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.layout import PARTITION_COLS, Layout, available_months
-from strata.operators.contract import TRIP_CONTRACT, ContractReport, check_schema, contract_schema
+from strata.operators.contract import TRIP_CONTRACT, Finding, contract_schema, file_schema, findings, parquet_files, settle
 from strata.operators.history import VersionedTable
 from strata.operators.provenance import enrich
 from strata.session import job_description
@@ -41,18 +41,21 @@ def bronze_schema(landing_schema: T.StructType) -> T.StructType:
 def check_units(
     spark: SparkSession, layout: Layout, months: list[tuple[int, int]],
     expected: dict[str, str] = TRIP_CONTRACT,
-) -> list[ContractReport]:
-    """Footer-only schema check of every unit; raises on the first broken unit.
+) -> list[Finding]:
+    """Check every file of every unit against the contract; raises on any that is refused.
 
-    Footer reads are metadata calls on the driver; they run on a small thread
-    pool so many units do not serialise on round trips.
+    Spark reads one footer of a folder, which would let a unit with one bad file
+    pass; here each file's footer is read, on a pool of driver threads and before
+    anything is written.  Returns the accepted findings (added columns, logged).
     """
-    def one(ym: tuple[int, int]) -> ContractReport:
-        path = layout.unit_path(*ym)
-        return check_schema(spark.read.parquet(path).schema, expected, source=path.rsplit("/", 1)[-1])
+    def one(unit_file: tuple[str, str]) -> list[Finding]:
+        unit, path = unit_file
+        return list(findings(file_schema(spark, path), expected, f"{unit}/{path.rsplit('/', 1)[-1]}"))
 
-    with ThreadPoolExecutor(max_workers=max(1, min(32, len(months)))) as pool:
-        return list(pool.map(one, months))
+    units = [layout.unit_path(*ym) for ym in months]
+    with ThreadPoolExecutor(max_workers=max(1, min(32, len(units)))) as pool:
+        files = [(u.rsplit("/", 1)[-1], f) for u, fs in zip(units, pool.map(lambda u: parquet_files(spark, u), units)) for f in fs]
+        return settle(f for found in pool.map(one, files) for f in found)
 
 
 def read_units(spark: SparkSession, layout: Layout, months: list[tuple[int, int]], merge: bool) -> DataFrame:
@@ -97,12 +100,11 @@ def run_bronze(
     with ThreadPoolExecutor(max_workers=1) as pool:
         opened = pool.submit(ensure_bronze_table, spark, layout, committed_at=committed_at, expected=expected)
         try:
-            reports = check_units(spark, layout, months, expected)
+            added = check_units(spark, layout, months, expected)
         finally:
             table = opened.result()
-    merge = any(r.added for r in reports)
-    raw = read_units(spark, layout, months, merge)
-    with job_description(spark, f"bronze | {len(months)} unit(s) | batch {batch_id}"):
+    raw = read_units(spark, layout, months, merge=bool(added))
+    with job_description(spark, f"land {len(months)} unit(s) as {batch_id}"):
         return table.replace_partitions(enrich(raw, batch_id), batch_id=batch_id, committed_at=committed_at)
 
 

@@ -1,18 +1,18 @@
 """Schema contract: fail on shape before anything is written.
 
-The contract is a code-held ``{column: simpleString type}`` mapping.  The check
-compares it with a DataFrame's schema on the driver -- a footer read, no job:
-
-* missing or retyped columns -> one ``SchemaContractError`` naming every
-  problem with both types;
-* added columns -> accepted and reported;
-* column order -> ignored (nothing in this library reads by position);
-* a rename is a missing column plus an added one, so it fails.
+The contract is a code-held ``{column: simpleString type}`` mapping.  Walking the
+contract and a schema side by side gives one finding per column that differs;
+``POLICY`` says what each kind of finding means for the delivery.  Order never
+matters (nothing in this library reads by position), and a renamed column shows
+as one that is missing and one that was added.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+import logging
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,27 +49,33 @@ def contract_schema(expected: dict[str, str]) -> T.StructType:
     return T.StructType([T.StructField(c, _SIMPLE_TYPES[t]) for c, t in expected.items()])
 
 
-class SchemaContractError(Exception):
-    """Incoming data breaks the agreed shape."""
+log = logging.getLogger(__name__)
+
+#: What a finding does to the delivery that shows it.
+POLICY = {"missing": "refuse", "retyped": "refuse", "added": "accept and log"}
+
 
+class Finding(NamedTuple):
+    """One column of one source that is not as agreed."""
 
-@dataclass
-class ContractReport:
     source: str
-    missing: list[str] = field(default_factory=list)
-    added: list[str] = field(default_factory=list)
-    retyped: list[tuple[str, str, str]] = field(default_factory=list)
+    column: str
+    kind: str
+    expected: str | None
+    actual: str | None
 
-    @property
-    def ok(self) -> bool:
-        return not self.missing and not self.retyped
+    def __str__(self) -> str:
+        if self.kind == "retyped":
+            return f"{self.source}: `{self.column}` is {self.actual}, agreed is {self.expected}"
+        return f"{self.source}: `{self.column}` ({self.expected or self.actual}) is {self.kind}"
 
-    def problems(self) -> list[str]:
-        out = []
-        if self.missing:
-            out.append(f"missing column(s): {self.missing}")
-        out += [f"{c}: expected {e}, got {a}" for c, e, a in self.retyped]
-        return out
+
+class SchemaContractError(Exception):
+    """A delivery that ``POLICY`` refuses (E2); carries its findings."""
+
+    def __init__(self, findings: Iterable[Finding]):
+        self.findings = list(findings)
+        super().__init__("\n".join(map(str, self.findings)))
 
 
 def describe_schema(schema: T.StructType) -> dict[str, str]:
@@ -77,45 +83,56 @@ def describe_schema(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema.fields}
 
 
-def compare_schema(
-    schema: T.StructType, expected: dict[str, str], source: str = "<unknown>"
-) -> ContractReport:
-    """Compare without raising; accumulates every problem (not just the first)."""
-    actual = describe_schema(schema)
-    return ContractReport(
-        source=source,
-        missing=sorted(set(expected) - set(actual)),
-        added=sorted(set(actual) - set(expected)),
-        retyped=sorted(
-            (c, expected[c], actual[c])
-            for c in set(expected) & set(actual)
-            if expected[c] != actual[c]
-        ),
-    )
+def findings(schema: T.StructType, contract: dict[str, str] = TRIP_CONTRACT, source: str = "input") -> Iterator[Finding]:
+    """Every column on which a schema and the contract differ, in one pass by name."""
+    found = describe_schema(schema)
+    for column in sorted(contract.keys() | found.keys()):
+        agreed, got = contract.get(column), found.get(column)
+        if agreed != got:
+            kind = "missing" if got is None else "added" if agreed is None else "retyped"
+            yield Finding(source, column, kind, agreed, got)
+
+
+def settle(all_findings: Iterable[Finding]) -> list[Finding]:
+    """Apply ``POLICY``: raise on anything refused, log and return what is accepted."""
+    accepted, refused = [], []
+    for f in all_findings:
+        (refused if POLICY[f.kind] == "refuse" else accepted).append(f)
+    if refused:
+        raise SchemaContractError(refused)
+    for f in accepted:
+        log.warning("%s", f)
+    return accepted
+
+
+def check_schema(df: DataFrame | T.StructType, contract: dict[str, str] = TRIP_CONTRACT, source: str = "input") -> list[Finding]:
+    """The accepted findings of one schema; raises ``SchemaContractError`` on refused ones."""
+    return settle(findings(df if isinstance(df, T.StructType) else df.schema, contract, source))
+
+
+def findings_frame(spark: SparkSession, all_findings: Iterable[Finding]) -> DataFrame:
+    """Findings as rows: ``source, column, kind, expected, actual`` (one type where only one side has the column: NULL)."""
+    rows = [(f.source, f.column, f.kind, *((f.expected, f.actual) if f.kind == "retyped" else (None, None))) for f in all_findings]
+    return spark.createDataFrame(rows, "source string, column string, kind string, expected string, actual string")
+
+
+# ------------------------------------------------------------------ files
+_SPARK_SCHEMA = "org.apache.spark.sql.parquet.row.metadata"  # fixed value: where Spark keeps a file's schema
+
+
+def file_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of one Parquet file: its footer, through Hadoop; no job if Spark wrote the file."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(conf, jvm.org.apache.hadoop.fs.Path(path))
+    stored = footer.getFileMetaData().getKeyValueMetaData().get(_SPARK_SCHEMA)
+    return T.StructType.fromJson(json.loads(stored)) if stored else spark.read.parquet(path).schema
 
 
-def check_schema(
-    df_or_schema: DataFrame | T.StructType,
-    expected: dict[str, str] = TRIP_CONTRACT,
-    source: str = "<unknown>",
-) -> ContractReport:
-    """Raise ``SchemaContractError`` on missing / retyped columns."""
-    schema = df_or_schema if isinstance(df_or_schema, T.StructType) else df_or_schema.schema
-    report = compare_schema(schema, expected, source)
-    if not report.ok:
-        raise SchemaContractError(f"{source} breaks the contract -> " + "; ".join(report.problems()))
-    return report
-
-
-def contract_report_frame(spark: SparkSession, reports: list[ContractReport]) -> DataFrame:
-    """Reports as rows: ``source, column, kind, expected, actual``."""
-    rows = []
-    for r in reports:
-        rows += [(r.source, c, "missing", None, None) for c in r.missing]
-        rows += [(r.source, c, "added", None, None) for c in r.added]
-        rows += [(r.source, c, "retyped", e, a) for c, e, a in r.retyped]
-    schema = "source string, column string, kind string, expected string, actual string"
-    return spark.createDataFrame(rows, schema)
+def parquet_files(spark: SparkSession, folder: str) -> list[str]:
+    """The Parquet files of one reload unit."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return sorted(str(s.getPath()) for s in path.getFileSystem(conf).listStatus(path) if s.getPath().getName().endswith(".parquet"))
 
 
 def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

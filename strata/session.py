@@ -93,12 +93,11 @@ def job_description(spark: SparkSession, text: str) -> Iterator[None]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-shared folder for tables this library writes.
+    """The folder for tables this library writes, which every executor must see.
 
-    Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when neither is set -- local tests -- a private temp folder is created and
-    registered as the checkpoint dir, so ``DataFrame.checkpoint()`` and our
-    tables land in the same place.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  A local
+    session without it (tests) gets a private temp folder; on a cluster that would
+    be some machine's own disk, so there a missing setting is an error.
     """
     d = (
         spark.conf.get("spark.checkpoint.dir", None)
@@ -106,6 +105,8 @@ def shared_dir(spark: SparkSession) -> str:
         or spark.sparkContext.getCheckpointDir()
     )
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
