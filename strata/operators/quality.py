@@ -85,16 +85,18 @@ def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     return c.where(~bad).drop(REASONS), c.where(bad)
 
 
-def observed(df: DataFrame, name: str = "quality") -> tuple[DataFrame, Observation]:
+def observed(df: DataFrame, name: str = "quality", counted: Column | None = None) -> tuple[DataFrame, Observation]:
     """Count rows and rejects while the frame is written: no second pass (Q7).
 
-    ``df`` must carry ``_reject_reasons``.  Read ``obs.get`` after the action.
+    ``df`` must carry ``_reject_reasons``; ``counted`` restricts the counts, not the
+    rows.  Read ``obs.get`` after the action.
     """
+    counted = F.lit(True) if counted is None else counted
     obs = Observation(name)
     out = df.observe(
         obs,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.size(F.col(REASONS)) > 0).alias("rejected"),
+        F.count_if(counted).alias("rows"),
+        F.count_if(counted & (F.size(F.col(REASONS)) > 0)).alias("rejected"),
     )
     return out, obs
 

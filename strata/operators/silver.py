@@ -167,10 +167,26 @@ def open_tables(
     return s, r
 
 
+#: Reason of a row that no rule rejects but that has no event month it could be stored under.
+UNPLACEABLE = "unplaceable_event"
+
+
+def flag_unplaceable(classified: DataFrame, tolerance_months: int) -> DataFrame:
+    """Rows without a reason whose event month is NULL or outside their delivery's months get one.
+
+    Without it such a row would be neither kept nor rejected.
+    """
+    index = lambda y, m: y * 12 + m - 1
+    late = index(F.col("src_year"), F.col("src_month")) - index(F.year("event_month"), F.month("event_month"))
+    placeable = F.coalesce(late.between(0, tolerance_months), F.lit(False))
+    lost = (F.size(F.col(REASONS)) == 0) & ~placeable
+    return classified.withColumn(REASONS, F.when(lost, F.array(F.lit(UNPLACEABLE))).otherwise(F.col(REASONS)))
+
+
 class SilverRun(NamedTuple):
     silver_version: int
     rejects_version: int
-    rows: int  # rows read and classified (observed during the write, no second pass)
+    rows: int  # rows of the requested source months (observed during the write, no second pass)
     rejected: int
 
 
@@ -192,8 +208,10 @@ def run_silver(
 ) -> SilverRun:
     """Rebuild silver and rejects for source ``months`` (all when None) (Q16).
 
-    Rows read and rejected are counted by an ``Observation`` while the kept
-    rows are written (Q7).  With ``max_reject_rate`` a run whose reject
+    Every row of the requested months is kept or rejected: one that passes the
+    rules but has no event month to be stored under is rejected as
+    ``unplaceable_event``.  Rows and rejects of the requested months are counted
+    by an ``Observation`` while the kept rows are written (Q7).  With ``max_reject_rate`` a run whose reject
     fraction is higher raises ``RejectRateExceeded`` after committing (Q8):
     the alert points upstream, and the commit can be rolled back.
     """
@@ -213,10 +231,14 @@ def run_silver(
     wanted = set(sources)
     src_pins = [r for r in pins if (r.year, r.month) in wanted]
     rows = bronze.scan_pins(src_pins)
-    classified = classify(with_event_month(conform(rows), event), rules)
+    classified = flag_unplaceable(classify(with_event_month(conform(rows), event), rules), tolerance_months)
     bad = F.size(F.col(REASONS)) > 0
+    src_scope = [tuple(m) for m in months]
+    requested = F.lit(True)
+    if len(src_scope) != len(sources):  # neighbour months are read for late rows only
+        requested = (F.col("src_year") * 12 + F.col("src_month") - 1).isin(*[_month_index(y, m) for y, m in src_scope])
     # counts ride along with the kept-rows write (nothing to observe without input)
-    watched, obs = observed(classified, f"silver-{uuid.uuid4().hex[:8]}") if src_pins else (classified, None)
+    watched, obs = observed(classified, f"silver-{uuid.uuid4().hex[:8]}", requested) if src_pins else (classified, None)
 
     event_scope = [(dt.date(y, m, 1),) for y, m in events]
     first, last = event_scope[0][0], event_scope[-1][0]
@@ -226,11 +248,7 @@ def run_silver(
     else:  # calendar-sized literal list
         kept = kept.where(F.col("event_month").isin(*[d for (d,) in event_scope]))
     kept = enrich_zones(kept, dim)
-    src_scope = [tuple(m) for m in months]
-    rejected = classified.where(bad)
-    if len(src_scope) != len(sources):
-        month_idx = F.col("src_year") * 12 + F.col("src_month") - 1
-        rejected = rejected.where(month_idx.isin(*[_month_index(y, m) for y, m in src_scope]))
+    rejected = classified.where(bad & requested)
 
     # two independent tables: their commits run as concurrent Spark jobs
     with ThreadPoolExecutor(max_workers=2) as pool:

@@ -152,3 +152,27 @@ def test_silver_for_a_month_without_bronze_rows_is_empty(spark, layout):
     run = silver.run_silver(spark, layout, dim(spark), "s1", months=[(2023, 1)])
     assert (run.rows, run.rejected) == (0, 0)
     assert silver.read_silver(spark, layout).count() == 0
+
+
+def test_every_row_is_kept_or_rejected(spark, layout):
+    """A NULL pickup, and an old trip under rules without the period rule, go to the rejects."""
+    from strata.operators.quality import negative_amount
+
+    old = dt.datetime(2009, 1, 1)
+    land(spark, layout, 2024, 3, [trip(), trip(o_orderdate=None), trip(o_orderdate=old, l_shipdate=old)])
+    bronze.run_bronze(spark, layout, "b1")
+    run = silver.run_silver(spark, layout, dim(spark), "s1", rules=[negative_amount()])
+    kept, lost = silver.read_silver(spark, layout).count(), silver.read_rejects(spark, layout).collect()
+    assert (run.rows, run.rejected, kept, len(lost)) == (3, 2, 1, 2)
+    assert {tuple(r._reject_reasons) for r in lost} == {(silver.UNPLACEABLE,)}
+
+
+def test_reject_rate_counts_the_requested_months_only(spark, layout):
+    from strata.operators.quality import RejectRateExceeded
+
+    land(spark, layout, 2024, 3, [trip() for _ in range(4)])
+    bad = dict(o_orderdate=dt.datetime(2024, 4, 5), l_shipdate=dt.datetime(2024, 4, 6), l_extendedprice=-1.0)
+    land(spark, layout, 2024, 4, [trip(**bad), trip(**bad)])
+    bronze.run_bronze(spark, layout, "b1")
+    with pytest.raises(RejectRateExceeded):
+        silver.run_silver(spark, layout, dim(spark), "s1", months=[(2024, 4)], tolerance_months=1, max_reject_rate=0.9)
