@@ -44,7 +44,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     place = {c: f"d{i}" for i, c in enumerate(docs.columns)}  # free of the names the operator adds
-    cut = substring.remove_repeats(docs.toDF(*place.values()), id_col=place["doc_id"], text_col=place["text"])
+    cut = substring.remove_repeats(docs.select(*[F.col(f"`{c}`").alias(d) for c, d in place.items()]), id_col=place["doc_id"], text_col=place["text"])
     lost = F.col("n_removed") > 0
     changed = {"text": F.when(lost, F.col("kept")).otherwise(F.col(place["text"]))}
     if "n_chars" in place:

@@ -27,6 +27,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -290,7 +291,7 @@ class Encoder:
 
     def learn(self, new: list[bytes]) -> None:
         parts = [self.words.of(c) for c in new]
-        distinct = list(set().union(*parts).difference(self.special))
+        distinct = list(set(chain.from_iterable(parts)).difference(self.special))
         packed: dict[bytes | int, bytes] = dict(self.special)
         packed.update(zip(distinct, self.lexicon.look_up(distinct), strict=True))
         for w in [w for w in distinct if packed[w] is None]:
@@ -303,7 +304,7 @@ class Encoder:
         cut = [chunks(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = set().union(*cut).difference(self.known)
+        new = set(chain.from_iterable(cut)).difference(self.known)
         self.learn(list(new))
         known = self.known
         return [b"".join([known[c] for c in cs]) for cs in cut]

@@ -143,7 +143,7 @@ def add_columns(df: DataFrame, read: str, added: dict[str, T.DataType], make: Ca
             for i, j in slices(values):
                 yield pa.RecordBatch.from_arrays([b.column(k).slice(i, j - i) for k in range(len(keep))] + work(values[i:j]), schema.fieldNames())
 
-    return rows.mapInArrow(run, schema).toDF(*keep, *added)
+    return rows.mapInArrow(run, schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], *added)
 
 
 # ------------------------------------------------------------------ hashing

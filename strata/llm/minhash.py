@@ -263,7 +263,8 @@ def _elements(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the least node that each node of the links (a, b) is connected to."""
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = stored(both.distinct(), "links")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")), "labels")
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
@@ -294,7 +295,7 @@ def _pair_with_hubs(buckets: DataFrame) -> DataFrame:
     pairs = stored(buckets.join(hubs, "key").where("node <> hub").select("hub", "node").distinct(), "pairs")
     chunks = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     dealt = pairs.join(chunks, "hub").withColumn("g", F.concat_ws(":", "hub", F.pmod(F.xxhash64("node"), F.col("chunks"))))
-    members = dealt.select("g", "node").union(dealt.select("g", F.col("hub").alias("node")).distinct())
+    members = dealt.select("g", "node").unionByName(dealt.select("g", F.col("hub").alias("node")).distinct())
     return members.withColumn("component", F.col("node"))
 
 
@@ -339,10 +340,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alike = stored(alike.groupBy("bin").applyInPandas(_alike, "g string, node long, component long"), "alike")
     more = stored(_grouped_links(alike, nodes, elements), "links")
 
-    labels = components(links.union(more))
+    labels = components(links.unionByName(more))
     classes = nodes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("component", "node").alias("class"))
     alone = sketched.where("signature IS NULL").select("doc", F.col("doc").alias("class"))
-    return some.select("doc", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("doc", "class").union(alone)
+    return some.select("doc", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("doc", "class").unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -189,8 +189,8 @@ def score(docs: DataFrame, weights: dict[str, np.ndarray] | None, text_col: str
     return add_columns(docs, text_col, ADDED, make, keep, as_bytes=True)
 
 
-def keep_good(docs: DataFrame, weights, **options) -> DataFrame:
+def keep_good(docs: DataFrame, weights, text_col: str = "text", **options) -> DataFrame:
     """The documents that the classifier keeps, columns of ``docs``."""
-    named = docs.select(*[F.col(f"`{c}`").alias(f"q{i}") for i, c in enumerate(docs.columns)])
-    options["text_col"] = f"q{docs.columns.index(options.get('text_col', 'text'))}"
-    return score(named, weights, **options).where("predicted = 1").select(*[f"q{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
+    inner = {c: f"q{i}" for i, c in enumerate(docs.columns)}  # free of the names the score adds
+    scored = score(docs.select(*[F.col(f"`{c}`").alias(q) for c, q in inner.items()]), weights, inner[text_col], **options)
+    return scored.where("predicted = 1").select(*[F.col(q).alias(c) for c, q in inner.items()])

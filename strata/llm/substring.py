@@ -355,7 +355,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     squeezed = add_columns(rows, "text", {"squeezed": T.BinaryType()}, _squeeze, rows.columns[:-1], as_bytes=True)  # the only text that is shuffled
     joined = squeezed.join(ranges, ["doc", "version"], "left").select(*rows.columns[: len(others)], F.struct("squeezed", "ranges").alias("cut"))
     out = add_columns(joined, "cut", {"text": T.StringType(), "n_words": T.LongType(), "n_removed": T.LongType(), "kept": T.StringType()}, _cut, rows.columns[: len(others)])
-    return out.toDF(*others, text_col, *ADDED).select(*[F.col(f"`{c}`") for c in [*keep, *ADDED]])
+    named = {c: f"c{i}" for i, c in enumerate(others)} | {text_col: "text"}
+    return out.select(*[F.col(named[c]).alias(c) for c in keep], *ADDED)
 
 
 def _squeeze():
