@@ -36,7 +36,7 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--source", default="trips")
     p.add_argument("--batch-id", default=dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ"))
     p.add_argument("--months", help="reload units to (re)process, e.g. 2024-01,2024-02; default all")
-    p.add_argument("--zones", help="zone lookup CSV (silver)")
+    p.add_argument("--zones", help="zone lookup CSV (silver, gold)")
     p.add_argument("--tolerance-months", type=int, default=0)
     p.add_argument("--max-reject-rate", type=float, default=None, help="fail gold when exceeded")
     a = p.parse_args(argv)
@@ -57,10 +57,11 @@ def main(argv: list[str] | None = None) -> dict:
                    rows=run.rows, rejected=run.rejected)
     else:
         sv = VersionedTable(spark, layout.silver)
-        s = sv.read()
+        s, rejects = sv.read(), silver.read_rejects(spark, layout)
         if a.max_reject_rate is not None:
-            gold.raise_on_reject_rate(gold.reject_rate(s, silver.read_rejects(spark, layout)), a.max_reject_rate)
-        out["tables"] = gold.build_gold(spark, s, sv.current_version(), layout.gold)
+            gold.raise_on_reject_rate(gold.reject_rate(s, rejects), a.max_reject_rate)
+        cells = dims.zone_cells(dims.conform_zones(read_zone_csv(spark, a.zones or f"{layout.root}/landing/zone_lookup")))
+        out["tables"] = gold.build_gold(spark, s, sv.current_version(), layout.gold, rejects=rejects, bridge=cells)
     print(json.dumps(out))
     return out
 

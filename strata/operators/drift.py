@@ -9,7 +9,7 @@ period grows (exact while a period holds fewer values than ``accuracy``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import safe_ratio
@@ -32,8 +32,8 @@ def drift_profile(
     """One row per period: its statistics, the baseline's and the deltas.
 
     ``baseline`` selects the reference rows (default: every row).  The baseline
-    is a single aggregated row, attached to every period by an equi-join on a
-    constant key (no cross join, no driver round trip).
+    is a single aggregated row, attached to every period; Spark plans that as a
+    nested-loop join with a broadcast side of one row.
     """
     per = _stats(df, period, value, category, accuracy)
     ref = df if baseline is None else df.where(baseline)
@@ -47,18 +47,15 @@ def drift_profile(
 
 
 def category_shift(df: DataFrame, period: list[str], category: str) -> DataFrame:
-    """Share of each category per period next to its share over all periods."""
+    """Share of each category per period next to its share over all periods.
+
+    One pass over ``df`` counts rows per period and category; every total is a
+    window sum over those few counts.
+    """
     per = df.groupBy(*period, category).agg(F.count(F.lit(1)).alias("rows"))
-    totals = df.groupBy(*period).agg(F.count(F.lit(1)).alias("period_rows"))
-    overall = df.groupBy(category).agg(F.count(F.lit(1)).alias("base_rows"))
-    n = df.agg(F.count(F.lit(1)).alias("all_rows")).withColumn("_k", F.lit(1))
-    overall = overall.withColumn("_k", F.lit(1)).join(F.broadcast(n), "_k").drop("_k")  # one row
-    return (
-        per.join(totals, period).join(overall, category, "left")  # categories: let the planner size it
-        .select(
-            *period, category,
-            safe_ratio(F.col("rows"), F.col("period_rows")).alias("share"),
-            safe_ratio(F.col("base_rows"), F.col("all_rows")).alias("base_share"),
-        )
-        .withColumn("share_delta", F.col("share") - F.col("base_share"))
-    )
+    total = lambda *keys: F.sum("rows").over(Window.partitionBy(*keys))
+    return per.select(
+        *period, category,
+        safe_ratio(F.col("rows"), total(*period)).alias("share"),
+        safe_ratio(total(category), total()).alias("base_share"),
+    ).withColumn("share_delta", F.col("share") - F.col("base_share"))

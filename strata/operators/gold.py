@@ -12,12 +12,14 @@ filters for quality.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions import exact_sum, hour_of, is_weekend, safe_ratio, weekday_of
+from strata.operators.history import replace_folder
 from strata.operators.quality import REASONS, RejectRateExceeded
 
 
@@ -149,6 +151,14 @@ def running_total(df: DataFrame) -> DataFrame:
     )
 
 
+def hourly_trips(daily: DataFrame) -> DataFrame:
+    """Demand by weekday (Monday = 0) and hour over all trips, rolled up from ``zone_daily``."""
+    days = daily.withColumns({"weekday": weekday_of("pickup_date"), "is_weekend": is_weekend("pickup_date")})
+    return days.groupBy("weekday", F.col("pickup_hour").alias("hour"), "is_weekend").agg(
+        F.sum("trips").alias("trips"), F.sum(_dec("revenue")).cast("double").alias("revenue")
+    )
+
+
 def grain_violations(df: DataFrame, grain: list[str]) -> DataFrame:
     """Q13: grain keys that occur more than once (must be empty)."""
     return df.groupBy(*grain).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -184,50 +194,81 @@ def with_lineage(df: DataFrame, silver_version: int) -> DataFrame:
     return df.withColumn("_silver_version", F.lit(silver_version).cast("int"))
 
 
+#: The month a stored table's rows report on; such a table is partitioned by it.
+REPORT_MONTH = "report_month"
+_MONTHS = {
+    "zone_daily": "trunc(pickup_date, 'month')",
+    "running_total": "trunc(pickup_date, 'month')",
+    "zone_rank": "event_month",
+    "reject_rate": "make_date(src_year, src_month, 1)",
+    "reject_delta": "make_date(src_year, src_month, 1)",
+    "reject_reasons": "make_date(src_year, src_month, 1)",
+}
 # Tables rolled up from zone_daily: name -> (builder, grain).
 ROLLUPS = {
     "borough_summary": (borough_summary, ["pu_borough"]),
     "zone_rank": (zone_rank, ["event_month", "pu_location_id"]),
     "running_total": (running_total, ["pu_location_id", "pickup_date"]),
+    "hourly_demand": (hourly_trips, ["weekday", "hour"]),
 }
 DAILY_GRAIN = ["pu_location_id", "pickup_date", "pickup_hour"]
 
 
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """A stored gold table without its partition column."""
+    return spark.read.parquet(path).drop(REPORT_MONTH)
+
+
 def build_gold(
     spark: SparkSession, silver: DataFrame, silver_version: int, root: str,
     *, rejects: DataFrame | None = None, bridge: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Q17: rebuild gold from silver; rerunning changes no number.
+    """Q17: rebuild gold from silver; the stored tables hold the latest build and nothing else.
 
-    1. ``zone_daily`` is the one job that scans silver; it is written and its
-       grain asserted on the written table.
+    1. ``zone_daily`` is the one job that scans silver.
     2. Every other table is rolled up from the written ``zone_daily`` (lineage
        cut by storage), concurrently: borough summary, zone ranks, running
-       totals, plus grid demand when a zone -> cell ``bridge`` is given and the
-       reject rate when ``rejects`` is given (that one reads two silver columns).
+       totals, demand by weekday and hour, plus grid demand when a zone -> cell
+       ``bridge`` is given and reject rate, reasons and deltas when ``rejects`` are.
 
-    Each table is stamped with its silver version and written with a dynamic
-    partition overwrite on that version (writer option, not session).
+    Each table is stamped with its silver version and partitioned by reporting
+    month where it has one.  It is written aside, its grain (for ``zone_daily`` also
+    its totals against silver) asserted there, and only then put in the
+    place of the previous build, so readers never see a table that failed.
     """
-    def write(name: str, df: DataFrame, grain: list[str]) -> tuple[str, str]:
-        path = f"{root}/{name}"
-        with_lineage(df, silver_version).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("_silver_version").parquet(path)
-        written = spark.read.parquet(path).where(F.col("_silver_version") == silver_version)
-        if grain_violations(written, grain).limit(1).count():
+    def write(name: str, df: DataFrame, grain: list[str], check=None) -> tuple[str, str]:
+        path, aside = f"{root}/{name}", f"{root}/_building/{name}-{uuid.uuid4().hex[:12]}"
+        stamped, parts = with_lineage(df, silver_version), []
+        if name in _MONTHS:
+            stamped, parts = stamped.withColumn(REPORT_MONTH, F.expr(_MONTHS[name])).repartition(REPORT_MONTH), [REPORT_MONTH]
+        stamped.write.partitionBy(*parts).parquet(aside)
+        written = spark.read.schema(stamped.schema).parquet(aside)
+        if parts and written.isEmpty():  # a partitioned write of no rows leaves no file to read the columns from
+            spark.createDataFrame([], stamped.schema).coalesce(1).write.mode("append").parquet(aside)
+        if not grain_violations(written, grain).isEmpty():
             raise AssertionError(f"gold {name}: grain {grain} is not unique")
+        if check is not None:
+            check(written)
+        replace_folder(spark, aside, path)
         return name, path
 
-    out = dict([write("zone_daily", zone_daily(silver), DAILY_GRAIN)])
-    daily = spark.read.parquet(out["zone_daily"]).where(F.col("_silver_version") == silver_version)
+    def totals(daily: DataFrame) -> None:
+        one = totals_reconcile(silver, daily).first()
+        if one.trips_diff or one.revenue_diff:
+            raise AssertionError(f"gold zone_daily does not add up to silver: {one}")
+
+    out = dict([write("zone_daily", zone_daily(silver), DAILY_GRAIN, totals)])
+    daily = read_gold(spark, out["zone_daily"])
     jobs = [(name, fn(daily), grain) for name, (fn, grain) in ROLLUPS.items()]
     if bridge is not None:
         from strata.operators.grid import grid_demand_from_daily
 
         jobs.append(("grid_demand", grid_demand_from_daily(daily, bridge), ["cell_id"]))
     if rejects is not None:
-        jobs.append(("reject_rate", reject_rate(silver, rejects), ["src_year", "src_month"]))
+        rate = reject_rate(silver, rejects)
+        months = ["src_year", "src_month"]
+        jobs += [("reject_rate", rate, months), ("reject_delta", reject_rate_delta(rate), months)]
+        jobs.append(("reject_reasons", reject_by_reason(rejects), [*months, "reason"]))
     # independent tables: built as concurrent Spark jobs from driver threads
     with ThreadPoolExecutor(max_workers=max(1, min(4, len(jobs)))) as pool:
         out.update(pool.map(lambda j: write(*j), jobs))

@@ -25,6 +25,12 @@ def test_cli_runs_each_layer_from_storage(spark, layout, capsys):
     s = cli.main(["silver", "--root", layout.root, "--batch-id", "b1"])
     g = cli.main(["gold", "--root", layout.root, "--max-reject-rate", "0.5"])
     assert (b["version"], s["version"], s["rejects_version"]) == (2, 2, 2)
+    assert set(g["tables"]) == {
+        "zone_daily", "borough_summary", "zone_rank", "running_total", "hourly_demand", "grid_demand", "reject_rate", "reject_delta", "reject_reasons",
+    }
+    assert all(spark.read.parquet(p).count() >= 0 for p in g["tables"].values())
+    demand = gold.read_gold(spark, g["tables"]["hourly_demand"])
+    assert [(r.weekday, r.hour, r.trips) for r in demand.collect()] == [(6, 9, 6)]
     daily = spark.read.parquet(g["tables"]["zone_daily"])
     assert daily.agg(F.sum("trips")).first()[0] == 6
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["layer"] == "gold"

@@ -66,6 +66,32 @@ def test_gold_rebuild_changes_no_number(spark, layout):
     assert direct == stored
 
 
+def test_gold_holds_the_latest_build_only(spark, layout):
+    land(spark, layout, 2024, 3, [trip()])
+    bronze.run_bronze(spark, layout, "b1")
+    for run in ("s1", "s2"):  # two silver versions
+        sv = silver.run_silver(spark, layout, _dim(spark), run).silver_version
+        paths = gold.build_gold(spark, silver.read_silver(spark, layout), sv, layout.gold)
+    stored = spark.read.parquet(paths["zone_daily"])
+    assert stored.agg(F.sum("trips")).first()[0] == 1
+    assert {r._silver_version for r in stored.collect()} == {sv}
+    assert [r.report_month for r in stored.collect()] == [D(2024, 3, 1).date()]
+
+
+def test_gold_that_fails_its_checks_is_not_published(spark, layout, monkeypatch):
+    land(spark, layout, 2024, 3, [trip()])
+    bronze.run_bronze(spark, layout, "b1")
+    sv = silver.run_silver(spark, layout, _dim(spark), "s1").silver_version
+    s = silver.read_silver(spark, layout)
+    path = gold.build_gold(spark, s, sv, layout.gold)["zone_daily"]
+    before = spark.read.parquet(path).collect()
+    doubled = gold.zone_daily(s.union(s))
+    monkeypatch.setattr(gold, "zone_daily", lambda _: doubled)
+    with pytest.raises(AssertionError, match="add up"):
+        gold.build_gold(spark, s, sv + 1, layout.gold)
+    assert spark.read.parquet(path).collect() == before
+
+
 def test_land_month_lands_one_unit_per_commit(spark, layout):
     land(spark, layout, 2024, 3, [trip(), trip(l_orderkey=2)])
     land(spark, layout, 2024, 4, [trip(l_orderkey=3, o_orderdate=D(2024, 4, 1), l_shipdate=D(2024, 4, 2))])
