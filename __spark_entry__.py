@@ -26,7 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from strata import build  # noqa: E402
 from strata.functions import event_date, hour_of, is_weekend, month_start, path_segment, string_tail, weekday_of  # noqa: E402
-from strata.layout import source_units  # noqa: E402
+from strata.layout import Layout, source_units  # noqa: E402
 from strata.operators import bronze as bronze_ops  # noqa: E402
 from strata.operators import contract, dims, gold, grid, quality, reconcile, skew  # noqa: E402
 from strata.operators import silver as silver_ops  # noqa: E402
@@ -560,8 +560,7 @@ def q_grid_apportion(spark, sf):
 
 
 def q_gold_grid_demand(spark, sf):
-    b = _layers(spark, sf)
-    return grid.grid_demand(b.silver(), dims.zone_cells(b.zones()))
+    return gold.read_gold(spark, _layers(spark, sf).gold_paths()["grid_demand"]).drop("_silver_version")
 
 
 def _event_grid(spark, sf):
@@ -577,44 +576,96 @@ def q_grid_join(spark, sf):
     return grid.grid_join(cells, _event_grid(spark, sf), ["weekday"])
 
 
+# ----------------------------------------------------------------------------- no row lost or doubled
+def _own_table(spark, rows, partition):
+    """A fresh versioned table for rows of this shape."""
+    layout = Layout.fresh(spark, "own")
+    return VersionedTable.create(spark, f"{layout.root}/t", rows.schema, [partition])
+
+
+def q_null_partition(spark, sf):
+    """Orders partitioned by a status that is NULL for some; then the NULL partition is replaced."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"))
+    t = _own_table(spark, o, "status")
+    t.write(o)
+    t.write(o.where("status IS NULL AND o_orderkey % 2 = 0"))
+    return t.read()
+
+
+def q_undo_batch_twice(spark, sf):
+    """A batch writes, a good one replaces it, the batch writes again and is undone."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    t = _own_table(spark, o, "o_orderstatus")
+    t.write(o, batch_id="bad")
+    t.write(o.where("o_orderkey % 3 = 0"), batch_id="good")
+    t.write(o.where("o_orderkey % 5 = 0"), batch_id="bad")
+    t.undo_batch("bad")
+    return t.read()
+
+
+def q_evolve_reland(spark, sf):
+    """One status lands, another with a new column, then the first again in its old shape."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    old = o.where("o_orderstatus = 'F'").drop("o_orderpriority")
+    t = _own_table(spark, old, "o_orderstatus")
+    t.write(old)
+    t.write(o.where("o_orderstatus = 'O'"))
+    t.write(old)
+    return t.read()
+
+
+def q_silver_null_event(spark, sf):
+    """Trips without a pickup time under a rule that does not look at it: kept or rejected, none lost."""
+    t = _conformed(spark, sf).withColumn("pickup_at", F.when(F.col("trip_id") % 7 != 0, F.col("pickup_at")))
+    classified = quality.classify(silver_ops.with_event_month(t, "pickup_at"), [quality.negative_amount()])
+    flagged = silver_ops.flag_unplaceable(classified, 0)
+    return flagged.groupBy(F.coalesce(F.get(quality.REASONS, 0), F.lit("kept")).alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 # ----------------------------------------------------------------------------- gold
 def q_gold_zone_daily(spark, sf):
     return gold.zone_daily(_layers(spark, sf).silver())
 
 
+def _gold(spark, sf, name):
+    """A table of the stored gold layer, without the version stamp."""
+    return gold.read_gold(spark, _layers(spark, sf).gold_paths()[name]).drop("_silver_version")
+
+
 def q_gold_borough_summary(spark, sf):
-    return gold.borough_summary(_layers(spark, sf).silver())
+    return _gold(spark, sf, "borough_summary")
 
 
 def q_gold_reject_rate(spark, sf):
-    b = _layers(spark, sf)
-    return gold.reject_rate(b.silver(), b.rejects())
+    return _gold(spark, sf, "reject_rate")
 
 
 def q_reject_by_reason(spark, sf):
-    return gold.reject_by_reason(_layers(spark, sf).rejects())
+    return _gold(spark, sf, "reject_reasons")
 
 
 def q_reject_rate_delta(spark, sf):
-    b = _layers(spark, sf)
-    return gold.reject_rate_delta(gold.reject_rate(b.silver(), b.rejects()))
+    return _gold(spark, sf, "reject_delta")
 
 
 def q_zone_rank(spark, sf):
-    return gold.zone_rank(_layers(spark, sf).silver())
+    return _gold(spark, sf, "zone_rank")
 
 
 def q_running_total(spark, sf):
-    return gold.running_total(_layers(spark, sf).silver())
+    return _gold(spark, sf, "running_total")
+
+
+def q_gold_trip_demand(spark, sf):
+    return _gold(spark, sf, "hourly_demand")
 
 
 def q_gold_grain(spark, sf):
-    return gold.grain_violations(gold.zone_daily(_layers(spark, sf).silver()), ["pu_location_id", "pickup_date", "pickup_hour"])
+    return gold.grain_violations(_gold(spark, sf, "zone_daily"), ["pu_location_id", "pickup_date", "pickup_hour"])
 
 
 def q_gold_reconcile(spark, sf):
-    s = _layers(spark, sf).silver()
-    return gold.totals_reconcile(s, gold.zone_daily(s))
+    return gold.totals_reconcile(_layers(spark, sf).silver(), _gold(spark, sf, "zone_daily"))
 
 
 def q_gold_lineage(spark, sf):
@@ -1005,5 +1056,19 @@ for _k in ("affected_periods",):
     ORACLE[_k] = ORACLE[_k].replace("MIDMONTH", _mid_month_sql())
 
 
+ORACLE |= {
+    "null_partition": """SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status FROM orders
+WHERE o_orderstatus <> 'P' OR o_orderkey % 2 = 0""",
+    "undo_batch_twice": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0",
+    "evolve_reland": """SELECT o_orderkey, o_totalprice, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+    "silver_null_event": _with(_CONF_NOBATCH, """SELECT CASE WHEN fare_amount < 0 OR tip_amount < 0 OR balance_amount < 0 THEN 'negative_amount'
+            WHEN trip_id % 7 = 0 THEN 'unplaceable_event' ELSE 'kept' END AS outcome, count(*) AS rows FROM conformed GROUP BY 1"""),
+    "gold_trip_demand": _with(_CLASSIFIED, """SELECT CAST(isodow(pickup_at) - 1 AS INTEGER) AS weekday, CAST(hour(pickup_at) AS INTEGER) AS hour,
+       isodow(pickup_at) >= 6 AS is_weekend, count(*) AS trips, CAST(sum(CAST(fare_amount AS DECIMAL(18,4))) AS DOUBLE) AS revenue
+FROM silver GROUP BY ALL"""),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in ORACLE.items() if k in QUERIES} | {k: v for m in _corpus() for k, v in m.oracle_sql().items()}

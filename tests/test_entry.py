@@ -32,7 +32,7 @@ def test_rows_only_keys_run(spark, key):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in "region nation customer supplier part orders lineitem events".split():
+    for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
 
