@@ -90,6 +90,29 @@ SELECT doc_id, size, source_size, target, ((floor(pos * rate + u) - floor((pos -
 """
 
 
+OP4_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - {substring.K - 2})) AS pos FROM d WHERE len(w) >= {substring.K}),
+f AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY array_to_string(list_slice(w, pos, pos + {substring.K - 1}), ' ') ORDER BY doc_id, pos) AS turn FROM p),
+g AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + {substring.K})) AS pos FROM f WHERE turn > 1),
+t AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+k AS (SELECT t.doc_id, count(*) AS kept, string_agg(word, ' ' ORDER BY t.pos) AS text
+      FROM t ANTI JOIN g ON t.doc_id = g.doc_id AND t.pos = g.pos GROUP BY t.doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(kept, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+OP5_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+      FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def queries():
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
@@ -104,4 +127,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_mix_sources": OP1_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL}
