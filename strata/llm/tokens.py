@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from strata.llm.bpe import SETTLED, spelled
-from strata.llm.common import slices
+from strata.llm.common import add_columns, most_frequent, stored
 
 #: Counters of a task's summary, and entries of the broadcast table (about 2 MB).
 SUMMARY = 8_192
@@ -91,7 +92,7 @@ class Counts:
         return n
 
     def encoded(self, pretoken: str) -> int:
-        return len(self.merge(spelled(pretoken)))
+        return len(self.merge(spelled(pretoken.encode())))
 
     def segments(self, text: str) -> tuple[list[str], int]:
         """Pieces of the text between special tokens, with their spaces, and the number of special tokens."""
@@ -109,7 +110,7 @@ class Counts:
         if len(self.sums) > REMEMBERED:
             self.sums.clear()
         sums = self.sums
-        for p in set().union(*(c for c, _ in cut)).difference(sums):
+        for p in set(chain.from_iterable(c for c, _ in cut)).difference(sums):
             sums[p] = sum([self.of(t) for t in self.pretokens(p)])
         return [sum([sums[p] for p in c]) + n for c, n in cut]
 
@@ -124,7 +125,7 @@ def counts_for(path: str) -> Counts:
 
 
 def frequent_pretokens(docs: DataFrame, tokenizer: str, text_col: str = "text", summary: int = SUMMARY, size: int = TABLE) -> DataFrame:
-    """(pretoken, n): merged summaries of all tasks, the ``size`` largest."""
+    """(pretoken, n): merged summaries of all tasks, ``size`` rows at most."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, kept, seen = counts_for(tokenizer), Counter(), Counter()
@@ -150,7 +151,7 @@ def frequent_pretokens(docs: DataFrame, tokenizer: str, text_col: str = "text",
         yield pa.record_batch([pa.array(list(kept), pa.string()), pa.array(list(kept.values()), pa.int64())], ["pretoken", "n"])
 
     found = docs.select(text_col).mapInArrow(summarise, "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
-    return found.where(F.length("pretoken") <= 64).orderBy(F.desc("n"), "pretoken").limit(size)
+    return most_frequent(stored(found.where(F.length("pretoken") <= 64), "pretokens"), size)
 
 
 def frequent_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text", **options) -> Broadcast:
@@ -160,24 +161,14 @@ def frequent_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text", **
     return docs.sparkSession.sparkContext.broadcast((names, bytes(min(255, counts.encoded(n)) for n in names)))
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", table: Broadcast | None = None, **options) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", table: Broadcast | None = None, keep: list[str] | None = None, **options) -> DataFrame:
     """``docs`` plus ``n_bytes`` (UTF-8) and ``n_tokens`` of every whole text."""
     table = table or frequent_lengths(docs, tokenizer, text_col, **options)
-    added = {"n_bytes": T.LongType(), "n_tokens": T.LongType()}
-    keep = [c for c in docs.columns if c.lower() not in added]
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(text_col).alias("text_in"))
-    schema = T.StructType([T.StructField(f"c{i}", rows.schema[i].dataType) for i in range(len(keep))] + [T.StructField(k, v) for k, v in added.items()])
-    at = len(keep)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         counts = counts_for(tokenizer)
         names, lengths = table.value
         counts.table = {n: k for n, k in zip(names, lengths, strict=True) if k < 255}
-        for b in batches:
-            texts = b.column(at).to_pylist()
-            sizes = [len(t.encode()) if t else 0 for t in texts]
-            for i, j in slices(texts):
-                numbers = [pa.array(sizes[i:j], pa.int64()), pa.array(counts.count(texts[i:j]), pa.int64())]
-                yield pa.RecordBatch.from_arrays([b.column(k).slice(i, j - i) for k in range(at)] + numbers, schema.fieldNames())
+        return lambda texts: [pa.array([len(t.encode()) if t else 0 for t in texts], pa.int64()), pa.array(counts.count(texts), pa.int64())]
 
-    return rows.mapInArrow(run, schema).toDF(*keep, *added)
+    return add_columns(docs, text_col, {"n_bytes": T.LongType(), "n_tokens": T.LongType()}, make, keep)
