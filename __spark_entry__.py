@@ -175,8 +175,7 @@ def q_drift_profile(spark, sf):
 def q_drift_vs_baseline(spark, sf):
     """Per source month vs all months: mean, median, null rate and distinct zones of the fare."""
     from strata.operators.drift import drift_profile
-    return drift_profile(_conformed(spark, sf), ["src_year", "src_month"], "fare_amount", "pu_location_id",
-                         accuracy=1_000_000)
+    return drift_profile(_conformed(spark, sf), ["src_year", "src_month"], "fare_amount", "pu_location_id")
 
 
 def q_category_shift(spark, sf):

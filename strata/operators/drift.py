@@ -3,8 +3,8 @@
 Per period: rows, exact mean, median, null rate and distinct categories of a
 column, next to the same statistics over the baseline periods (all periods by
 default) and the difference.  Category shares are compared the same way.  The
-median is ``percentile_approx``: bounded memory per group however large a
-period grows (exact while a period holds fewer values than ``accuracy``).
+median is exact at every size (:mod:`strata.operators.median`): the least value
+that at least half of the non-NULL values do not exceed.
 """
 
 from __future__ import annotations
@@ -13,21 +13,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import safe_ratio
+from strata.operators.median import exact_median, value_counts
 
 
-def _stats(df: DataFrame, keys: list[str], value: str, category: str, accuracy: int) -> DataFrame:
-    return df.groupBy(*keys).agg(
+def _stats(df: DataFrame, keys: list[str], value: str, category: str) -> DataFrame:
+    stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"),
         safe_ratio(F.sum(F.col(value).cast("decimal(18,4)")), F.count(value)).alias("mean"),
-        F.percentile_approx(value, 0.5, accuracy).alias("median"),
         safe_ratio(F.count_if(F.col(value).isNull()), F.count(F.lit(1))).alias("null_rate"),
         F.countDistinct(category).alias("categories"),
     )
+    medians = exact_median(value_counts(df, keys, value), keys)
+    medians = medians.select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(keys)], "median")
+    on = [F.col(k).eqNullSafe(F.col(f"_m{i}")) for i, k in enumerate(keys)]
+    return stats.join(medians, on, "left").select(*keys, "rows", "mean", "median", "null_rate", "categories")
 
 
 def drift_profile(
     df: DataFrame, period: list[str], value: str, category: str,
-    baseline: Column | None = None, accuracy: int = 10_000,
+    baseline: Column | None = None,
 ) -> DataFrame:
     """One row per period: its statistics, the baseline's and the deltas.
 
@@ -35,9 +39,9 @@ def drift_profile(
     is a single aggregated row, attached to every period; Spark plans that as a
     nested-loop join with a broadcast side of one row.
     """
-    per = _stats(df, period, value, category, accuracy)
+    per = _stats(df, period, value, category)
     ref = df if baseline is None else df.where(baseline)
-    base = _stats(ref.withColumn("_k", F.lit(1)), ["_k"], value, category, accuracy)
+    base = _stats(ref.withColumn("_k", F.lit(1)), ["_k"], value, category)
     base = base.select("_k", *[F.col(c).alias(f"base_{c}") for c in ("mean", "median", "null_rate", "categories")])
     j = per.withColumn("_k", F.lit(1)).join(F.broadcast(base), "_k").drop("_k")  # one row
     return j.withColumns({

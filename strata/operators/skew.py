@@ -17,52 +17,52 @@ skew-splitting explicit when AQE is off.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import exact_sum
+from strata.operators.median import exact_median
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _median_rows(c: DataFrame, accuracy: int) -> Row:
-    return c.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.sum("rows").alias("total_rows"),
-        F.max("rows").alias("max_rows"),
-        F.percentile_approx("rows", 0.5, accuracy).alias("median_rows"),
-    ).collect()[0]  # one aggregated row
+def _median_rows(c: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``c`` counted by its rows per key (``_k, rows, _n``), and that table's exact median as one row (``_k, median_rows``)."""
+    by_rows = c.groupBy("rows").agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
+    return by_rows, exact_median(by_rows.withColumnRenamed("rows", "_v"), ["_k"]).withColumnRenamed("median", "median_rows")
 
 
-def key_skew(df: DataFrame, key: str, hot_factor: float = 10.0, accuracy: int = 100_000) -> DataFrame:
+def key_skew(df: DataFrame, key: str, hot_factor: float = 10.0) -> DataFrame:
     """One row: keys, total rows, max, median, max/median and how many keys are hot.
 
-    The median is ``percentile_approx`` (exact while there are fewer distinct
-    counts than ``accuracy``) so it stays a bounded-memory aggregate when the
-    number of keys grows.  Hot keys are those above ``hot_factor`` x median;
-    :func:`hot_keys` returns them as rows.
+    The median is exact at every size.  All figures come from the rows per key counted
+    by value, a table of fewer rows than ``sqrt(2 x total rows)``.  Hot keys are
+    those above ``hot_factor`` x median; :func:`hot_keys` returns them as rows.
     """
-    c = key_counts(df, key)
-    stats = _median_rows(c, accuracy)
-    median = stats.median_rows or 0
-    hot = c.where(F.col("rows") > F.lit(median * hot_factor)).agg(F.count(F.lit(1)).alias("hot_keys"))
-    return hot.select(
-        F.lit(stats.keys).cast("bigint").alias("keys"),
-        F.lit(stats.total_rows).cast("bigint").alias("total_rows"),
-        F.lit(stats.max_rows).cast("bigint").alias("max_rows"),
-        F.lit(median).cast("bigint").alias("median_rows"),
-        F.try_divide(F.lit(stats.max_rows or 0).cast("double"), F.lit(median).cast("double")).alias("skew_ratio"),
+    by_rows, median = _median_rows(key_counts(df, key))
+    hot = F.col("rows") > F.col("median_rows") * F.lit(float(hot_factor))
+    stats = by_rows.join(F.broadcast(median), "_k").agg(  # one row
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("keys"),
+        F.sum(F.col("rows") * F.col("_n")).alias("total_rows"),
+        F.max("rows").alias("max_rows"),
+        F.coalesce(F.max("median_rows"), F.lit(0)).alias("median_rows"),
+        F.coalesce(F.sum(F.when(hot, F.col("_n"))), F.lit(0)).alias("hot_keys"),
+    )
+    return stats.select(
+        "keys", "total_rows", "max_rows", "median_rows",
+        F.try_divide(F.col("max_rows").cast("double"), F.col("median_rows").cast("double")).alias("skew_ratio"),
         "hot_keys",
     )
 
 
-def hot_keys(df: DataFrame, key: str, hot_factor: float = 10.0, accuracy: int = 100_000) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, hot_factor: float = 10.0) -> DataFrame:
     """The hot keys as rows (``key, rows``): more than ``hot_factor`` x the median rows per key."""
     c = key_counts(df, key)
-    median = _median_rows(c, accuracy).median_rows or 0
-    return c.where(F.col("rows") > F.lit(median * hot_factor))
+    _, median = _median_rows(c)
+    hot = F.col("rows") > F.col("median_rows") * F.lit(float(hot_factor))
+    return c.join(F.broadcast(median.drop("_k")), hot).select(c.columns)  # one row
 
 
 def salted_agg(df: DataFrame, key: str, value: str, salts: int = 16, salt_cols: list[str] | None = None) -> DataFrame:
