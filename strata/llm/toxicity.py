@@ -39,10 +39,12 @@ SAMPLE = 20_000
 #: Lexicon entries, and lexicon voters they are dealt to.
 ENTRIES = 3_000
 LEXICONS = 8
-#: An entry stands in that share of the sample's toxic documents at least (and in that many), with that log odds ratio.
-SUPPORT = 0.02
+#: An entry stands in that many of the sample's toxic documents at least, with that log odds ratio, and its documents are toxic
+#: more often than the sample's by that log likelihood ratio (twice it: the square of 4 standard errors).  No share of the toxic
+#: documents is asked for: a marker of a rare group needs no more of them than any other.
 SUPPORT_LEAST = 6
 LOG_ODDS = 2.5
+SURE = 8.0
 #: Lengths of the word beginnings that may become entries.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 #: Vote patterns: 2 ^ VOTERS at most.
@@ -89,7 +91,9 @@ def mine_lexicon(sample: DataFrame, entries: int = ENTRIES) -> list[str]:
     counts = counts.groupBy("unit").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     n = sample.agg(F.count(F.when(F.col("label") == 0, 1)).alias("clean"), F.count(F.when(F.col("label") == 1, 1)).alias("toxic")).first()
     odds = F.log((F.col("toxic") + 0.5) / (n.toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (n.clean + 1.0))
-    strong = counts.withColumn("odds", odds).where((F.col("odds") >= LOG_ODDS) & (F.col("toxic") >= max(SUPPORT_LEAST, SUPPORT * n.toxic)))
+    share, both = (n.toxic + 0.5) / (n.toxic + n.clean + 1.0), F.col("toxic") + F.col("clean")
+    likelihood = [F.when(F.col(k) > 0, F.col(k) * F.log(F.col(k) / (both * p))).otherwise(0.0) for k, p in (("toxic", share), ("clean", 1 - share))]
+    strong = counts.withColumn("odds", odds).where((F.col("odds") >= LOG_ODDS) & (F.col("toxic") >= SUPPORT_LEAST) & (likelihood[0] + likelihood[1] >= SURE))
     return [r.unit for r in strong.orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "unit").limit(entries).collect()]
 
 
