@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, langid, minhash, mixing, quality, rules, substring, tokens, topk, toxicity
+from strata.llm import alignment, bpe, importance, langid, mainhtml, minhash, mixing, quality, rules, substring, tokens, topk, toxicity
 from strata.llm.common import held_out, ship
 
 
@@ -66,6 +66,21 @@ def op10_token_counts(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op11_html_extraction(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    return mainhtml.extract(pages, mainhtml.learn(pages), keep=["page_id", "url"])
+
+
+def op12_tokenizer_alignment(spark, sf_dir):
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_corpus(_table(spark, sf_dir, "documents"), a, b)
+
+
+def op13_importance_resampling(spark, sf_dir):
+    drawn = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.rows.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 OP1_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source IS NULL AS snull, coalesce(source, '') AS sname,
