@@ -27,6 +27,7 @@ T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
 RUN_1, RUN_2, RUN_3 = "run-1", "run-2", "run-3"
 PARTIAL_RELOAD_YEAR = 1996
 LATE_TOLERANCE_MONTHS = 3
+SMALL_FILE_ROWS = 600
 
 
 def at(hours: float) -> dt.datetime:
@@ -114,28 +115,36 @@ class Built:
     def late_silver_root(self) -> str:
         return f"{self.layout.root}/silver/trips_by_dropoff"
 
-    @property
-    def late_rejects_root(self) -> str:
-        return f"{self.layout.root}/silver/trips_by_dropoff_rejects"
-
     def late_silver(self) -> DataFrame:
         """Silver placed by dropoff time with a 3-month tolerance, then one month reprocessed."""
         def go():
             self.bronze_version()
-            rules = [outside_period("dropoff_at", "src_year", "src_month", LATE_TOLERANCE_MONTHS)]
-            kw = dict(
-                tolerance_months=LATE_TOLERANCE_MONTHS, event="dropoff_at", rules=rules,
-                silver_root=self.late_silver_root, rejects_root=self.late_rejects_root,
-            )
-            silver.run_silver(self.spark, self.layout, self.dim_zone(), RUN_1, committed_at=at(1), **kw)
             months = self.months()
-            silver.run_silver(
-                self.spark, self.layout, self.dim_zone(), RUN_2, months=[months[len(months) // 2]],
-                committed_at=at(2), **kw,
-            )
+            self._run_late(self.late_silver_root, RUN_1, at(1))
+            self._run_late(self.late_silver_root, RUN_2, at(2), months=[months[len(months) // 2]])
             return True
         self._once("late", go)
-        return history.VersionedTable(self.spark, self.late_silver_root).read()
+        return silver.read_kept(self.late_table())
+
+    def _run_late(self, root: str, batch: str, when: dt.datetime, **options) -> None:
+        rules = [outside_period("dropoff_at", "src_year", "src_month", LATE_TOLERANCE_MONTHS)]
+        silver.run_silver(
+            self.spark, self.layout, self.dim_zone(), batch, committed_at=when, tolerance_months=LATE_TOLERANCE_MONTHS,
+            event="dropoff_at", rules=rules, silver_root=root, **options,
+        )
+
+    def sized_table(self) -> history.VersionedTable:
+        """Late-data silver built twice with small files: the second run knows each month's rows."""
+        root = f"{self.layout.root}/silver/trips_sized"
+        def go():
+            self.bronze_version()
+            for batch, when in ((RUN_1, at(1)), (RUN_2, at(2))):
+                self._run_late(root, batch, when, rows_per_file=SMALL_FILE_ROWS)
+            return root
+        return history.VersionedTable(self.spark, self._once("sized", go))
+
+    def late_table(self) -> history.VersionedTable:
+        return history.VersionedTable(self.spark, self.late_silver_root)
 
     @property
     def hist_root(self) -> str:

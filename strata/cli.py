@@ -53,11 +53,10 @@ def main(argv: list[str] | None = None) -> dict:
         run = silver.run_silver(
             spark, layout, dim, a.batch_id, months=months, tolerance_months=a.tolerance_months
         )
-        out.update(version=run.silver_version, rejects_version=run.rejects_version,
-                   rows=run.rows, rejected=run.rejected)
+        out.update(version=run.silver_version, rows=run.rows, rejected=run.rejected)
     else:
         sv = VersionedTable(spark, layout.silver)
-        s, rejects = sv.read(), silver.read_rejects(spark, layout)
+        s, rejects = silver.read_kept(sv), silver.read_rejected(sv)
         if a.max_reject_rate is not None:
             gold.raise_on_reject_rate(gold.reject_rate(s, rejects), a.max_reject_rate)
         cells = dims.zone_cells(dims.conform_zones(read_zone_csv(spark, a.zones or f"{layout.root}/landing/zone_lookup")))

@@ -48,10 +48,6 @@ class Layout:
     def silver(self) -> str:
         return f"{self.root}/silver/{self.source}"
 
-    @property
-    def silver_rejects(self) -> str:
-        return f"{self.root}/silver/{self.source}_rejects"
-
     @property
     def dim_zone(self) -> str:
         return f"{self.root}/silver/dim_zone"

@@ -86,8 +86,8 @@ def test_late_trip_rejected_by_default_kept_with_tolerance(spark, layout):
     silver.run_silver(spark, layout, dim(spark), "s1")
     assert {r.trip_id for r in silver.read_rejects(spark, layout).collect()} == {1}
 
-    s_root, r_root = f"{layout.root}/silver_tol", f"{layout.root}/rejects_tol"
-    kw = dict(tolerance_months=1, silver_root=s_root, rejects_root=r_root)
+    s_root = f"{layout.root}/silver_tol"
+    kw = dict(tolerance_months=1, silver_root=s_root)
     silver.run_silver(spark, layout, dim(spark), "s1", **kw)
     got = {r.trip_id: r.event_month for r in VersionedTable(spark, s_root).read().collect()}
     assert got == {1: dt.date(2024, 3, 1), 2: dt.date(2024, 4, 1)}
