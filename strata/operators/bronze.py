@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from strata.layout import PARTITION_COLS, Layout, available_months
 from strata.operators.contract import TRIP_CONTRACT, Finding, contract_schema, file_schema, findings, parquet_files, settle
 from strata.operators.history import VersionedTable
+from strata.operators.nullability import as_findings, null_changes
 from strata.operators.provenance import enrich
 from strata.session import job_description
 
@@ -95,14 +96,16 @@ def run_bronze(
     months = months if months is not None else available_months(spark, layout)
     if not months:
         raise ValueError("no reload unit found in landing")
-    # declaring the (empty) table and checking footers are both metadata work:
-    # run them side by side; no data is written before every unit passed
-    with ThreadPoolExecutor(max_workers=1) as pool:
+    # declaring the (empty) table, checking footers and comparing NULLs with the delivery
+    # before (E6) are metadata work: run them side by side; no data is written before every unit passed
+    with ThreadPoolExecutor(max_workers=2) as pool:
         opened = pool.submit(ensure_bronze_table, spark, layout, committed_at=committed_at, expected=expected)
+        nulls = pool.submit(null_changes, spark, layout, months, expected)
         try:
             added = check_units(spark, layout, months, expected)
         finally:
             table = opened.result()
+        settle(as_findings(nulls.result()))
     raw = read_units(spark, layout, months, merge=bool(added))
     with job_description(spark, f"land {len(months)} unit(s) as {batch_id}"):
         return table.replace_partitions(enrich(raw, batch_id), batch_id=batch_id, committed_at=committed_at)

@@ -52,7 +52,10 @@ def contract_schema(expected: dict[str, str]) -> T.StructType:
 log = logging.getLogger(__name__)
 
 #: What a finding does to the delivery that shows it.
-POLICY = {"missing": "refuse", "retyped": "refuse", "added": "accept and log"}
+POLICY = {
+    "missing": "refuse", "retyped": "refuse", "added": "accept and log",
+    "turned null": "accept and log", "some null": "accept and log", "no null": "accept and log",
+}
 
 
 class Finding(NamedTuple):
@@ -67,6 +70,8 @@ class Finding(NamedTuple):
     def __str__(self) -> str:
         if self.kind == "retyped":
             return f"{self.source}: `{self.column}` is {self.actual}, agreed is {self.expected}"
+        if self.kind.endswith(" null"):
+            return f"{self.source}: `{self.column}` has {self.kind}: {self.actual}, before {self.expected}"
         return f"{self.source}: `{self.column}` ({self.expected or self.actual}) is {self.kind}"
 
 
