@@ -28,7 +28,7 @@ from strata import build  # noqa: E402
 from strata.functions import event_date, hour_of, is_weekend, month_start, path_segment, string_tail, weekday_of  # noqa: E402
 from strata.layout import Layout, source_units  # noqa: E402
 from strata.operators import bronze as bronze_ops  # noqa: E402
-from strata.operators import contract, dims, gold, grid, quality, reconcile, skew  # noqa: E402
+from strata.operators import cdc, contract, dims, gold, grid, hotjoin, nullability, quality, reconcile, scd2, skew  # noqa: E402
 from strata.operators import silver as silver_ops  # noqa: E402
 from strata.operators.history import VersionedTable  # noqa: E402
 from strata.plans import partition_rows, plan_facts_frame  # noqa: E402
@@ -159,6 +159,70 @@ def q_salted_agg(spark, sf):
     return skew.salted_agg(_skewed_trips(spark, sf), "zone_key", "fare_amount", salts=8, salt_cols=["trip_id", "line_no"])
 
 
+#: Cells of the hot zone of ``_skewed_trips``.
+HOT_CELLS = [(-1, 1000 + k) for k in range(4)]
+
+
+def q_hot_join(spark, sf):
+    """Trips joined with the cells of their zone, through a hot zone: demand per cell."""
+    cells = dims.zone_cells(_layers(spark, sf).zones()).withColumnRenamed("location_id", "zone_key")
+    cells = cells.unionByName(spark.createDataFrame(HOT_CELLS, "zone_key bigint, cell_id bigint"))
+    trips = _skewed_trips(spark, sf).select("zone_key", "trip_id", "line_no", "fare_amount")
+    joined = hotjoin.hot_join(trips, cells, "zone_key", share=0.02)
+    return joined.groupBy("cell_id").agg(F.count(F.lit(1)).alias("trips"), F.sum(F.col("fare_amount").cast("decimal(18,4)")).cast("double").alias("revenue"))
+
+
+def q_frequent_keys(spark, sf):
+    """Zones with more than 2% of the trips, exactly counted after one mergeable summary."""
+    return hotjoin.frequent_keys(_skewed_trips(spark, sf).select("zone_key"), ["zone_key"], 0.02)[0]
+
+
+# ----------------------------------------------------------------------------- dimension history, change feed
+ZONE_KEY = ["location_id"]
+
+
+def _zone_changes(spark, sf) -> list[DataFrame]:
+    """Tariffs of zones as a change feed, in the order the batches arrive: corrections first, then what they correct."""
+    years = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    years = years.groupBy(F.col("l_suppkey").alias("location_id"), F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    tariff = lambda n: F.concat(F.lit("T"), (n % 3).cast("string"))
+    moment = lambda text: F.concat(F.col("y").cast("string"), F.lit(text)).cast("timestamp_ntz")
+    feed = lambda df, attribute, effective, recorded: df.select("location_id", effective.alias("effective"), recorded.alias("recorded"), attribute.alias("tariff"))
+    regular = feed(years, tariff(F.col("n")), moment("-01-01 00:00:00"), moment("-01-02 00:00:00"))
+    corrected = feed(years.where("y = 1995 AND location_id % 5 = 0"), tariff(F.col("n") + 1), moment("-01-01 00:00:00"), moment("-06-01 00:00:00"))
+    late = feed(years.where("y = 1996 AND location_id % 7 = 0"), F.lit("X"), moment("-07-01 06:30:00"), F.lit("1999-01-01 00:00:00").cast("timestamp_ntz"))
+    return [corrected.unionByName(late), regular]
+
+
+def _zone_history(spark, sf) -> DataFrame:
+    first, second = _zone_changes(spark, sf)
+    return scd2.intervals(scd2.merge_changes(first, second, ZONE_KEY), ZONE_KEY)
+
+
+def q_dim_zone_scd2(spark, sf):
+    return _zone_history(spark, sf)
+
+
+def q_trip_zone_asof(spark, sf):
+    """Every trip with the tariff its pickup zone had at pickup time."""
+    trips = _conformed(spark, sf).select("trip_id", "line_no", "pu_location_id", "pickup_at")
+    return scd2.as_of_join(trips, _zone_history(spark, sf), [("pu_location_id", "location_id")], "pickup_at", prefix="pu_")
+
+
+def _order_feed(spark, sf) -> list[DataFrame]:
+    """Lines of an order as changes of it, in three batches that do not arrive in order."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("seq"),
+        F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 2 == 0), cdc.DELETE).when(F.col("l_linenumber") == 1, "insert").otherwise("update").alias("op"),
+        F.col("l_extendedprice").alias("price"), F.col("l_suppkey").alias("location_id"),
+    )
+    return [lines.where(F.col("location_id") % 3 == k) for k in (2, 0, 1)]
+
+
+def q_cdc_current(spark, sf):
+    return cdc.current(cdc.apply_all(_order_feed(spark, sf), ["order_key"], "seq"))
+
+
 def q_drift_profile(spark, sf):
     """Per source month: mean, exact count, nulls and distinct zones of the fare (D-tier drift profile)."""
     t = _conformed(spark, sf)
@@ -239,6 +303,22 @@ def q_contract_report(spark, sf):
     return contract.findings_frame(spark, found)
 
 
+def q_nullability_change(spark, sf):
+    """NULLs that came and went: one unit in the middle is landed with a column partly and one wholly NULL."""
+    b = _layers(spark, sf)
+    b.landing()
+    changed = Layout(f"{b.layout.root}/nulls-{uuid.uuid4().hex[:8]}")  # fresh per call
+    months = b.months()
+    period = "{:04d}-{:02d}".format(*months[len(months) // 2])
+    src = spark.read.parquet(*[b.layout.unit_path(y, m) for y, m in months]).withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
+    there = F.col("period") == period
+    src.withColumns({
+        "l_tax": F.when(~(there & (F.col("l_linenumber") == 1)), F.col("l_tax")),
+        "c_acctbal": F.when(~there, F.col("c_acctbal")),
+    }).repartition("period").write.partitionBy("period").parquet(changed.landing)
+    return nullability.changes_frame(spark, nullability.null_changes(spark, changed))
+
+
 def q_bronze_readback(spark, sf):
     return _layers(spark, sf).bronze().select(*BRONZE_COLS)
 
@@ -509,6 +589,31 @@ def q_silver_late(spark, sf):
     )
 
 
+def q_late_file_count(spark, sf):
+    """Files per event month of late-data silver rebuilt with a small file size, against what its rows need."""
+    t = _layers(spark, sf).sized_table()
+    pins = [r for r in t.pin_rows(t.current_version()) if r[silver_ops.REJECT_MONTH] is None]
+    per_month = t.scan_pins(pins, metadata=True).groupBy("event_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("_metadata_file").alias("files")
+    )
+    allowed = F.ceil(F.col("rows") / build.SMALL_FILE_ROWS).cast("bigint")
+    return per_month.select("event_month", "rows", allowed.alias("allowed"), (F.col("files") <= allowed).alias("within"))
+
+
+def q_backfill_scope(spark, sf):
+    """For every source month: the source months a reload of it reads, by the stored lineage of late-data silver."""
+    b = _layers(spark, sf)
+    b.late_silver()
+    return silver_ops.backfill_scopes(silver_ops.lineage(b.late_table()), b.months(), build.LATE_TOLERANCE_MONTHS)
+
+
+def q_silver_lineage(spark, sf):
+    """Rows of each event month by the source month they came from, as the runs stored it."""
+    b = _layers(spark, sf)
+    b.late_silver()
+    return silver_ops.lineage(b.late_table()).select("event_month", "src_year", "src_month", "rows")
+
+
 def q_affected_periods(spark, sf):
     """Source months (bronze partitions) holding rows of the event months that
     reprocessing the middle source month touches, placed by dropoff time."""
@@ -682,14 +787,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_gold_lineage(spark, SF_SMOKE)
 
 
+#: What may be missing: the package of the training-data operators, and the pipeline, which needs it.
+_TAKEN_OUT = {"strata.llm", "strata.llm.queries", "corpus_pipeline"}
+
+
 def _corpus() -> list:
-    """The modules with the training-data queries; none where that part was taken out."""
+    """The modules with the training-data queries; none where that part was taken out.
+
+    Any other import that fails there is an error, not a part taken out.
+    """
     found = []
     for name in ("strata.llm.queries", "corpus_pipeline"):
         try:
             found.append(importlib.import_module(name))
-        except ImportError:
-            continue
+        except ModuleNotFoundError as e:
+            if e.name not in _TAKEN_OUT:
+                raise
     return found
 
 
@@ -798,6 +911,25 @@ ap AS (
 )"""
 
 
+_LATE = _CONF_NOBATCH + """,
+late AS (SELECT *EXCLUDE (event_month), CAST(date_trunc('month', dropoff_at) AS DATE) AS event_month FROM conformed
+         WHERE CAST(dropoff_at AS DATE) >= make_date(src_year, src_month, 1) - INTERVAL 3 MONTH
+           AND CAST(dropoff_at AS DATE) < make_date(src_year, src_month, 1) + INTERVAL 1 MONTH)"""
+
+_ZONE_HISTORY = """
+years AS (SELECT l_suppkey AS location_id, year(o_orderdate) AS y, count(*) AS n
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+changes AS (
+  SELECT location_id, make_timestamp(y, 1, 1, 0, 0, 0) AS effective, make_timestamp(y, 1, 2, 0, 0, 0) AS recorded, 'T' || (n % 3) AS tariff FROM years
+  UNION ALL SELECT location_id, make_timestamp(y, 1, 1, 0, 0, 0), make_timestamp(y, 6, 1, 0, 0, 0), 'T' || ((n + 1) % 3) FROM years WHERE y = 1995 AND location_id % 5 = 0
+  UNION ALL SELECT location_id, make_timestamp(y, 7, 1, 6, 30, 0), TIMESTAMP '1999-01-01 00:00:00', 'X' FROM years WHERE y = 1996 AND location_id % 7 = 0),
+latest AS (SELECT *, row_number() OVER (PARTITION BY location_id, effective ORDER BY recorded DESC, tariff DESC) AS k FROM changes),
+news AS (SELECT location_id, effective, tariff, lag(tariff) OVER (PARTITION BY location_id ORDER BY effective) AS before FROM latest WHERE k = 1),
+history AS (
+  SELECT location_id, tariff, effective AS valid_from, lead(effective) OVER w AS valid_to, lead(effective) OVER w IS NULL AS is_current
+  FROM news WHERE tariff IS DISTINCT FROM before WINDOW w AS (PARTITION BY location_id ORDER BY effective))"""
+
+
 def _hist_rows(batch_of_year: str) -> str:
     return _with(_TRIPS, f"SELECT {_ROWKEY_SQL.format(b=batch_of_year)} FROM trips")
 
@@ -837,6 +969,19 @@ FROM st"""),
 WHERE rows > (SELECT quantile_disc(rows, 0.5) FROM kc) * 5.0"""),
     "salted_agg": _with(_SKEW, f"""SELECT zone_key, count(*) AS rows, {_dec("fare_amount")} AS total,
        min(fare_amount) AS min_value, max(fare_amount) AS max_value FROM skewed GROUP BY zone_key"""),
+    "hot_join": _with(_SKEW + _ZONES, f""", cells AS (
+  SELECT location_id AS zone_key, cell_id FROM bridge UNION ALL SELECT * FROM (VALUES {", ".join(map(str, HOT_CELLS))}) AS h(zone_key, cell_id))
+SELECT CAST(cell_id AS BIGINT) AS cell_id, count(*) AS trips, {_dec("fare_amount")} AS revenue FROM skewed JOIN cells USING (zone_key) GROUP BY cell_id"""),
+    "frequent_keys": _with(_SKEW, "SELECT zone_key, rows FROM kc WHERE rows > 0.02 * (SELECT sum(rows) FROM kc)"),
+    "dim_zone_scd2": _with(_ZONE_HISTORY, "SELECT * FROM history"),
+    "trip_zone_asof": _with(_ZONE_HISTORY + "," + _CONF_NOBATCH, """SELECT c.trip_id, c.line_no, c.pu_location_id, c.pickup_at, h.tariff AS pu_tariff
+FROM conformed c LEFT JOIN history h ON h.location_id = c.pu_location_id AND h.valid_from <= c.pickup_at
+     AND (h.valid_to IS NULL OR c.pickup_at < h.valid_to)"""),
+    "cdc_current": """WITH feed AS (
+  SELECT l_orderkey AS order_key, l_linenumber AS seq, l_returnflag = 'R' AND l_linenumber % 2 = 0 AS gone,
+         l_extendedprice AS price, l_suppkey AS location_id FROM lineitem),
+last AS (SELECT *, row_number() OVER (PARTITION BY order_key ORDER BY seq DESC, gone DESC, price DESC, location_id DESC) AS k FROM feed)
+SELECT order_key, seq, price, location_id FROM last WHERE k = 1 AND NOT gone""",
     "drift_profile": _with(_CONF_NOBATCH, f"""SELECT src_year, src_month, count(*) AS rows, {_dec("fare_amount")} AS fare_sum,
        min(fare_amount) AS fare_min, max(fare_amount) AS fare_max,
        count(*) FILTER (WHERE fare_amount IS NULL) AS fare_nulls, count(DISTINCT pu_location_id) AS zones
@@ -991,6 +1136,25 @@ FROM classified"""),
 FROM conformed
 WHERE CAST(dropoff_at AS DATE) >= make_date(src_year, src_month, 1) - INTERVAL 3 MONTH
   AND CAST(dropoff_at AS DATE) < make_date(src_year, src_month, 1) + INTERVAL 1 MONTH"""),
+    "late_file_count": _with(_LATE, f"""SELECT event_month, count(*) AS rows,
+       CAST(ceil(count(*) / {build.SMALL_FILE_ROWS}.0) AS BIGINT) AS allowed, true AS within FROM late GROUP BY event_month"""),
+    "silver_lineage": _with(_LATE, "SELECT event_month, src_year, src_month, count(*) AS rows FROM late GROUP BY ALL"),
+    "backfill_scope": _with(_LATE, """, m AS (SELECT DISTINCT src_year AS year, src_month AS month FROM conformed),
+f AS (SELECT DISTINCT event_month, src_year, src_month FROM late)
+SELECT year, month, src_year, src_month FROM m JOIN f
+  ON f.event_month BETWEEN make_date(year, month, 1) - INTERVAL 3 MONTH AND make_date(year, month, 1)
+UNION SELECT year, month, year, month FROM m"""),
+    "nullability_change": _with(_TRIPS, """, ms AS (SELECT year, month, row_number() OVER (ORDER BY year, month) AS k, count(*) OVER () AS n
+                                        FROM (SELECT DISTINCT year, month FROM trips)),
+u AS (SELECT ms.k, any_value(year) AS year, any_value(month) AS month, count(*) AS rows, count(*) FILTER (WHERE l_linenumber = 1) AS firsts
+      FROM trips JOIN ms USING (year, month) WHERE ms.k - 1 - n // 2 IN (0, 1) GROUP BY ms.k, n),
+t AS (SELECT *, k = min(k) OVER () AS there, lag(rows) OVER (ORDER BY k) AS all_before, lag(firsts) OVER (ORDER BY k) AS firsts_before FROM u)
+SELECT year, month, 'c_acctbal' AS "column", CASE WHEN there THEN 'turned null' ELSE 'no null' END AS kind,
+       CASE WHEN there THEN 0 ELSE all_before END AS before, CASE WHEN there THEN rows ELSE 0 END AS nulls, rows FROM t
+UNION ALL
+SELECT year, month, 'l_tax', CASE WHEN there AND firsts = rows THEN 'turned null' WHEN there THEN 'some null' ELSE 'no null' END,
+       CASE WHEN there THEN 0 ELSE firsts_before END, CASE WHEN there THEN firsts ELSE 0 END, rows
+FROM t WHERE CASE WHEN there THEN firsts ELSE firsts_before END > 0"""),
     "affected_periods": _with(_TRIPS, """SELECT DISTINCT year, month FROM trips
 WHERE CAST(date_trunc('month', l_shipdate) AS DATE) BETWEEN MIDMONTH - INTERVAL 3 MONTH AND MIDMONTH"""),
     "zone_enrich": _with(_CONF_NOBATCH + _ZONES, """SELECT c.trip_id, c.line_no, c.pu_location_id, z.zone_name AS pu_zone, z.borough AS pu_borough
