@@ -17,33 +17,39 @@ skew-splitting explicit when AQE is off.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import exact_sum
-from strata.operators.median import exact_median
+from strata.operators.median import rank_of
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _median_rows(c: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``c`` counted by its rows per key (``_k, rows, _n``), and that table's exact median as one row (``_k, median_rows``)."""
-    by_rows = c.groupBy("rows").agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
-    return by_rows, exact_median(by_rows.withColumnRenamed("rows", "_v"), ["_k"]).withColumnRenamed("median", "median_rows")
+def _by_rows(c: DataFrame) -> DataFrame:
+    """(rows, _n, median_rows): ``c`` counted by its rows per key, with the exact median of all keys beside it.
+
+    A table of fewer rows than ``sqrt(2 x total rows)``, so that one window over all of it will do.
+    """
+    by_rows = c.groupBy("rows").agg(F.count(F.lit(1)).alias("_n"))
+    everything = Window.partitionBy()
+    upto = F.sum("_n").over(everything.orderBy("rows"))
+    half = F.col("_upto") >= rank_of(50, "_all")
+    counted = by_rows.withColumns({"_upto": upto, "_all": F.sum("_n").over(everything)})
+    return counted.withColumn("median_rows", F.min(F.when(half, F.col("rows"))).over(everything)).drop("_upto", "_all")
 
 
 def key_skew(df: DataFrame, key: str, hot_factor: float = 10.0) -> DataFrame:
     """One row: keys, total rows, max, median, max/median and how many keys are hot.
 
     The median is exact at every size.  All figures come from the rows per key counted
-    by value, a table of fewer rows than ``sqrt(2 x total rows)``.  Hot keys are
+    by value, in one pass over ``df``.  Hot keys are
     those above ``hot_factor`` x median; :func:`hot_keys` returns them as rows.
     """
-    by_rows, median = _median_rows(key_counts(df, key))
     hot = F.col("rows") > F.col("median_rows") * F.lit(float(hot_factor))
-    stats = by_rows.join(F.broadcast(median), "_k").agg(  # one row
+    stats = _by_rows(key_counts(df, key)).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("keys"),
         F.sum(F.col("rows") * F.col("_n")).alias("total_rows"),
         F.max("rows").alias("max_rows"),
@@ -60,9 +66,9 @@ def key_skew(df: DataFrame, key: str, hot_factor: float = 10.0) -> DataFrame:
 def hot_keys(df: DataFrame, key: str, hot_factor: float = 10.0) -> DataFrame:
     """The hot keys as rows (``key, rows``): more than ``hot_factor`` x the median rows per key."""
     c = key_counts(df, key)
-    _, median = _median_rows(c)
+    median = _by_rows(c).agg(F.max("median_rows").alias("median_rows"))
     hot = F.col("rows") > F.col("median_rows") * F.lit(float(hot_factor))
-    return c.join(F.broadcast(median.drop("_k")), hot).select(c.columns)  # one row
+    return c.join(F.broadcast(median), hot).select(c.columns)  # one row
 
 
 def salted_agg(df: DataFrame, key: str, value: str, salts: int = 16, salt_cols: list[str] | None = None) -> DataFrame:
@@ -110,8 +116,8 @@ def task_skew(df: DataFrame, key: str, partitions: int | None = None) -> DataFra
         .groupBy(F.spark_partition_id().alias("task"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    return per_task.agg(
-        F.count(F.lit(1)).alias("tasks"),
+    return _by_rows(per_task).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("tasks"),
         F.max("rows").alias("max_rows"),
-        F.percentile_approx("rows", 0.5, 10_000).alias("median_rows"),
+        F.max("median_rows").alias("median_rows"),
     ).withColumn("skew_ratio", F.try_divide(F.col("max_rows").cast("double"), F.col("median_rows").cast("double")))

@@ -37,8 +37,9 @@ def test_key_skew_and_hot_keys_use_the_exact_median(spark, monkeypatch):
     monkeypatch.setattr(skew, "key_counts", lambda df, key: counts)
     rows = [r.rows for r in counts.collect()]
     s = skew.key_skew(counts, "k", hot_factor=2.5).first()
-    assert s.median_rows == median_low(rows)
-    hot = sorted(n for n in rows if n > 2.5 * median_low(rows))
+    median = median_low(rows)
+    assert s.median_rows == median
+    hot = sorted(n for n in rows if n > 2.5 * median)
     assert s.hot_keys == len(hot)
     assert (s.keys, s.total_rows, s.max_rows) == (len(rows), sum(rows), max(rows))
     assert sorted(r.rows for r in skew.hot_keys(counts, "k", hot_factor=2.5).collect()) == hot
