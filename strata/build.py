@@ -180,6 +180,7 @@ class Built:
             return gold.build_gold(
                 self.spark, self.silver(), sv, self.layout.gold,
                 rejects=self.rejects(), bridge=dims.zone_cells(self.zones()),
+                kept=silver.kept_by_source(history.VersionedTable(self.spark, self.layout.silver)),
             )
         return self._once("gold", go)
 

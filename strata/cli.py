@@ -56,11 +56,11 @@ def main(argv: list[str] | None = None) -> dict:
         out.update(version=run.silver_version, rows=run.rows, rejected=run.rejected)
     else:
         sv = VersionedTable(spark, layout.silver)
-        s, rejects = silver.read_kept(sv), silver.read_rejected(sv)
+        s, rejects, kept = silver.read_kept(sv), silver.read_rejected(sv), silver.kept_by_source(sv)
         if a.max_reject_rate is not None:
-            gold.raise_on_reject_rate(gold.reject_rate(s, rejects), a.max_reject_rate)
+            gold.raise_on_reject_rate(gold.reject_rate(s, rejects, kept), a.max_reject_rate)
         cells = dims.zone_cells(dims.conform_zones(read_zone_csv(spark, a.zones or f"{layout.root}/landing/zone_lookup")))
-        out["tables"] = gold.build_gold(spark, s, sv.current_version(), layout.gold, rejects=rejects, bridge=cells)
+        out["tables"] = gold.build_gold(spark, s, sv.current_version(), layout.gold, rejects=rejects, bridge=cells, kept=kept)
     print(json.dumps(out))
     return out
 

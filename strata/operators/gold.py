@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions import exact_sum, hour_of, is_weekend, safe_ratio, weekday_of
-from strata.operators.history import replace_folder
+from strata.operators.history import delete_path, list_subdirs, path_exists
 from strata.operators.quality import REASONS, RejectRateExceeded
 
 
@@ -72,10 +72,13 @@ def borough_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def reject_rate(silver: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Input, rejected and the unusable fraction per source month."""
+def reject_rate(silver: DataFrame, rejects: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    """Input, rejected and the unusable fraction per source month.
+
+    ``kept`` (src_year, src_month, kept) saves the scan of silver.
+    """
     keys = ["src_year", "src_month"]
-    kept = silver.groupBy(*keys).agg(F.count(F.lit(1)).alias("kept"))
+    kept = silver.groupBy(*keys).agg(F.count(F.lit(1)).alias("kept")) if kept is None else kept
     bad = rejects.groupBy(*keys).agg(F.count(F.lit(1)).alias("rejected"))
     j = kept.join(bad, keys, "full_outer").fillna(0, ["kept", "rejected"])
     return j.select(
@@ -219,37 +222,71 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(REPORT_MONTH)
 
 
+# ------------------------------------------------------------------ publication
+PUBLISHED = "seq bigint, build string, silver_version int, tables array<string>"
+
+
+def _published(spark: SparkSession, root: str) -> list:
+    """Published builds, the latest first (one small row each)."""
+    path = f"{root}/published"
+    if not path_exists(spark, path):
+        return []
+    return sorted(spark.read.schema(PUBLISHED).parquet(path).collect(), key=lambda r: -r.seq)
+
+
+def current_tables(spark: SparkSession, root: str) -> dict[str, str]:
+    """The gold tables of the latest published build: name -> path."""
+    builds = _published(spark, root)
+    return {name: f"{root}/build={builds[0].build}/{name}" for name in builds[0].tables} if builds else {}
+
+
+def _publish(spark: SparkSession, root: str, build: str, silver_version: int, tables: list[str]) -> None:
+    """Make ``build`` the current one: one new row, which names all its tables at once.
+
+    Data of builds before the previous one is deleted afterwards: a reader that has just looked up
+    the previous one still finds it.
+    """
+    before = _published(spark, root)
+    row = (before[0].seq + 1 if before else 1, build, silver_version, sorted(tables))
+    spark.createDataFrame([row], PUBLISHED).coalesce(1).write.mode("append").parquet(f"{root}/published")
+    keep = {build, *[r.build for r in before[:1]]}
+    for name in list_subdirs(spark, root):
+        if name.startswith("build=") and name.removeprefix("build=") not in keep:
+            delete_path(spark, f"{root}/{name}")
+
+
 def build_gold(
     spark: SparkSession, silver: DataFrame, silver_version: int, root: str,
-    *, rejects: DataFrame | None = None, bridge: DataFrame | None = None,
+    *, rejects: DataFrame | None = None, bridge: DataFrame | None = None, kept: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Q17: rebuild gold from silver; the stored tables hold the latest build and nothing else.
+    """Q17: rebuild gold from silver and publish the build as a whole; returns name -> path.
 
-    1. ``zone_daily`` is the one job that scans silver.
+    1. ``zone_daily`` is aggregated from silver.
     2. Every other table is rolled up from the written ``zone_daily`` (lineage
        cut by storage), concurrently: borough summary, zone ranks, running
        totals, demand by weekday and hour, plus grid demand when a zone -> cell
        ``bridge`` is given and reject rate, reasons and deltas when ``rejects`` are.
+       Beside them the totals are checked: a second look at silver, at one column.
+       Kept rows per source month come from ``kept`` (silver's lineage) if it is given.
 
-    Each table is stamped with its silver version and partitioned by reporting
-    month where it has one.  It is written aside, its grain (for ``zone_daily`` also
-    its totals against silver) asserted there, and only then put in the
-    place of the previous build, so readers never see a table that failed.
+    Each table is stamped with its silver version, partitioned by reporting month where it has one,
+    in files that adaptive execution sizes, and its grain is asserted where it was written.  One
+    row then publishes all tables of the build (:func:`current_tables`): readers see the previous
+    build or this one, never a mixture, and never a build that failed a check.
     """
-    def write(name: str, df: DataFrame, grain: list[str], check=None) -> tuple[str, str]:
-        path, aside = f"{root}/{name}", f"{root}/_building/{name}-{uuid.uuid4().hex[:12]}"
+    build = uuid.uuid4().hex[:12]
+
+    def write(name: str, df: DataFrame, grain: list[str]) -> tuple[str, str]:
+        path = f"{root}/build={build}/{name}"
         stamped, parts = with_lineage(df, silver_version), []
-        if name in _MONTHS:
-            stamped, parts = stamped.withColumn(REPORT_MONTH, F.expr(_MONTHS[name])).repartition(REPORT_MONTH), [REPORT_MONTH]
-        stamped.write.partitionBy(*parts).parquet(aside)
-        written = spark.read.schema(stamped.schema).parquet(aside)
+        if name in _MONTHS:  # a large month is split, small ones share a task
+            stamped, parts = stamped.withColumn(REPORT_MONTH, F.expr(_MONTHS[name])).hint("rebalance", F.col(REPORT_MONTH)), [REPORT_MONTH]
+        stamped.write.partitionBy(*parts).parquet(path)
+        written = spark.read.schema(stamped.schema).parquet(path)
         if parts and written.isEmpty():  # a partitioned write of no rows leaves no file to read the columns from
-            spark.createDataFrame([], stamped.schema).coalesce(1).write.mode("append").parquet(aside)
+            spark.createDataFrame([], stamped.schema).coalesce(1).write.mode("append").parquet(path)
         if not grain_violations(written, grain).isEmpty():
             raise AssertionError(f"gold {name}: grain {grain} is not unique")
-        if check is not None:
-            check(written)
-        replace_folder(spark, aside, path)
         return name, path
 
     def totals(daily: DataFrame) -> None:
@@ -257,19 +294,22 @@ def build_gold(
         if one.trips_diff or one.revenue_diff:
             raise AssertionError(f"gold zone_daily does not add up to silver: {one}")
 
-    out = dict([write("zone_daily", zone_daily(silver), DAILY_GRAIN, totals)])
+    out = dict([write("zone_daily", zone_daily(silver), DAILY_GRAIN)])
     daily = read_gold(spark, out["zone_daily"])
     jobs = [(name, fn(daily), grain) for name, (fn, grain) in ROLLUPS.items()]
     if bridge is not None:
         from strata.operators.grid import grid_demand_from_daily
 
         jobs.append(("grid_demand", grid_demand_from_daily(daily, bridge), ["cell_id"]))
+    months = ["src_year", "src_month"]
     if rejects is not None:
-        rate = reject_rate(silver, rejects)
-        months = ["src_year", "src_month"]
-        jobs += [("reject_rate", rate, months), ("reject_delta", reject_rate_delta(rate), months)]
-        jobs.append(("reject_reasons", reject_by_reason(rejects), [*months, "reason"]))
+        name, path = write("reject_rate", reject_rate(silver, rejects, kept), months)
+        out[name] = path
+        jobs += [("reject_delta", reject_rate_delta(read_gold(spark, path)), months), ("reject_reasons", reject_by_reason(rejects), [*months, "reason"])]
     # independent tables: built as concurrent Spark jobs from driver threads
-    with ThreadPoolExecutor(max_workers=max(1, min(4, len(jobs)))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(6, len(jobs) + 1))) as pool:
+        checked = pool.submit(totals, daily)
         out.update(pool.map(lambda j: write(*j), jobs))
+        checked.result()
+    _publish(spark, root, build, silver_version, list(out))
     return out

@@ -90,16 +90,6 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put folder ``new`` in the place of ``path`` (what was there goes)."""
-    fs, source = _hadoop_path(spark, new)
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs.delete(target, True)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        raise HistoryError(f"cannot put {new} in the place of {path}")
-
-
 def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct sub-folders of ``path`` (one listing call)."""
     fs, p = _hadoop_path(spark, path)

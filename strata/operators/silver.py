@@ -219,6 +219,15 @@ def lineage(table: VersionedTable, version: int | None = None) -> DataFrame:
     return stored.join(F.broadcast(live), ["event_month", "silver_version"], "left_semi").select(*[c.split()[0] for c in LINEAGE.split(", ")])
 
 
+def kept_by_source(table: VersionedTable) -> DataFrame:
+    """(src_year, src_month, kept): kept rows per source month, from lineage; from the rows if a run left none behind."""
+    found = lineage(table)
+    live = {r.event_month for r in table.pin_rows(table.current_version()) if r[REJECT_MONTH] is None}
+    if live - {r.event_month for r in found.select("event_month").distinct().collect()}:  # months
+        found = read_kept(table).groupBy("src_year", "src_month").agg(F.count(F.lit(1)).alias("rows"))
+    return found.groupBy("src_year", "src_month").agg(F.sum("rows").alias("kept"))
+
+
 def backfill_scopes(found: DataFrame, months: Sequence[tuple[int, int]], tolerance_months: int) -> DataFrame:
     """(year, month, src_year, src_month): the source months to read for each reloaded month, by lineage ``found``.
 

@@ -92,6 +92,42 @@ def test_gold_that_fails_its_checks_is_not_published(spark, layout, monkeypatch)
     assert spark.read.parquet(path).collect() == before
 
 
+def test_builds_are_published_as_a_whole(spark, layout, monkeypatch):
+    """One row makes all tables of a build current; a build that fails in its last table changes nothing."""
+    land(spark, layout, 2024, 3, [trip()])
+    bronze.run_bronze(spark, layout, "b1")
+    sv = silver.run_silver(spark, layout, _dim(spark), "s1").silver_version
+    s = silver.read_silver(spark, layout)
+    assert gold.current_tables(spark, layout.gold) == {}
+    first = gold.build_gold(spark, s, sv, layout.gold)
+    assert gold.current_tables(spark, layout.gold) == first
+    with monkeypatch.context() as m:
+        def twice(df):
+            out = gold.hourly_trips(df)
+            return out.union(out)
+        m.setitem(gold.ROLLUPS, "hourly_demand", (twice, ["weekday", "hour"]))
+        with pytest.raises(AssertionError, match="grain"):
+            gold.build_gold(spark, s, sv, layout.gold)
+    assert gold.current_tables(spark, layout.gold) == first
+    second = gold.build_gold(spark, s, sv, layout.gold)
+    assert gold.current_tables(spark, layout.gold) == second
+    assert spark.read.parquet(first["zone_daily"]).count() == 1  # still there for a reader that has just looked it up
+    gold.build_gold(spark, s, sv, layout.gold)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(first["zone_daily"])
+
+
+def test_kept_rows_per_source_month_from_lineage_equal_a_scan(spark, layout):
+    for m in (3, 4):
+        land(spark, layout, 2024, m, [trip(l_orderkey=i, o_orderdate=D(2024, m, 2), l_shipdate=D(2024, m, 3), l_extendedprice=-1.0 if i % 3 == 0 else 1.0) for i in range(5 * m)])
+    bronze.run_bronze(spark, layout, "b1")
+    silver.run_silver(spark, layout, _dim(spark), "s1")
+    table = VersionedTable(spark, layout.silver)
+    s, r = silver.read_silver(spark, layout), silver.read_rejects(spark, layout)
+    by_lineage = sorted(gold.reject_rate(s, r, silver.kept_by_source(table)).collect())
+    assert by_lineage == sorted(gold.reject_rate(s, r).collect()) and len(by_lineage) == 2
+
+
 def test_land_month_lands_one_unit_per_commit(spark, layout):
     land(spark, layout, 2024, 3, [trip(), trip(l_orderkey=2)])
     land(spark, layout, 2024, 4, [trip(l_orderkey=3, o_orderdate=D(2024, 4, 1), l_shipdate=D(2024, 4, 2))])
