@@ -242,6 +242,18 @@ def q_drift_vs_baseline(spark, sf):
     return drift_profile(_conformed(spark, sf), ["src_year", "src_month"], "fare_amount", "pu_location_id")
 
 
+def q_drift_quantiles(spark, sf):
+    """Per source month and over all: exact percentiles of the fare."""
+    from strata.operators.drift import drift_quantiles
+    return drift_quantiles(_conformed(spark, sf), ["src_year", "src_month"], "fare_amount")
+
+
+def q_drift_distance(spark, sf):
+    """Per source month: Kolmogorov-Smirnov distance of its fares from the fares up to 1996."""
+    from strata.operators.drift import drift_distance
+    return drift_distance(_conformed(spark, sf), ["src_year", "src_month"], "fare_amount", F.col("src_year") <= 1996)
+
+
 def q_category_shift(spark, sf):
     from strata.operators.drift import category_shift
     return category_shift(_conformed(spark, sf), ["src_year", "src_month"], "status_code")
@@ -1004,6 +1016,23 @@ SELECT per.*, base.mean AS base_mean, base.median AS base_median, base.null_rate
        base.categories AS base_categories, per.mean - base.mean AS mean_delta,
        per.null_rate - base.null_rate AS null_rate_delta
 FROM per JOIN base ON true"""),
+    "drift_quantiles": _with(_CONF_NOBATCH, f""",
+r AS (SELECT src_year, src_month, fare_amount AS v,
+             row_number() OVER (PARTITION BY src_year, src_month ORDER BY fare_amount) AS k, count(*) OVER (PARTITION BY src_year, src_month) AS n,
+             row_number() OVER (ORDER BY fare_amount) AS bk, count(*) OVER () AS bn
+      FROM conformed WHERE fare_amount IS NOT NULL),
+base AS (SELECT {", ".join(f"min(v) FILTER (WHERE bk >= greatest(1, ({p} * bn + 99) // 100)) AS base_p{p}" for p in (5, 25, 50, 75, 95))} FROM r)
+SELECT src_year, src_month, {", ".join(f"min(v) FILTER (WHERE k >= greatest(1, ({p} * n + 99) // 100)) AS p{p}" for p in (5, 25, 50, 75, 95))},
+       any_value(base) AS b FROM r, base GROUP BY src_year, src_month""").replace("any_value(base) AS b", ", ".join(f"any_value(base_p{p}) AS base_p{p}" for p in (5, 25, 50, 75, 95))),
+    "drift_distance": _with(_CONF_NOBATCH, """,
+h AS (SELECT src_year, src_month, fare_amount AS v, count(*) AS n FROM conformed WHERE fare_amount IS NOT NULL GROUP BY ALL),
+p AS (SELECT *, sum(n) OVER (PARTITION BY src_year, src_month ORDER BY v) AS upto, sum(n) OVER (PARTITION BY src_year, src_month) AS total FROM h),
+b AS (SELECT v, sum(CASE WHEN src_year <= 1996 THEN n ELSE 0 END) AS there FROM h GROUP BY v),
+c AS (SELECT *, sum(there) OVER (ORDER BY v) AS base, sum(there) OVER () AS everything FROM b)
+SELECT src_year, src_month, CAST(sum(n) AS BIGINT) AS values, max(greatest(
+         abs(CAST(upto AS DOUBLE) / CAST(total AS DOUBLE) - CAST(base AS DOUBLE) / CAST(everything AS DOUBLE)),
+         abs(CAST(upto - n AS DOUBLE) / CAST(total AS DOUBLE) - CAST(base - there AS DOUBLE) / CAST(everything AS DOUBLE)))) AS distance
+FROM p JOIN c USING (v) GROUP BY src_year, src_month"""),
     "category_shift": _with(_CONF_NOBATCH, """,
 per AS (SELECT src_year, src_month, status_code, count(*) AS rows FROM conformed GROUP BY ALL),
 tot AS (SELECT src_year, src_month, count(*) AS period_rows FROM conformed GROUP BY ALL),
