@@ -159,8 +159,7 @@ def weigh(docs: DataFrame, gain: np.ndarray, text_col: str = "text", keep: list[
 
     def work(texts: list[bytes | None]) -> list[pa.Array]:
         runs, n = word_runs(texts, len(shared.value)), len(texts)
-        weight = np.zeros(n, np.int64)
-        np.add.at(weight, runs.doc, shared.value[runs.bucket])
+        weight = np.bincount(runs.doc, shared.value[runs.bucket], n).astype(np.int64)  # whole numbers below 2^53: exact
         return [pa.array(runs.n_words), pa.array(np.bincount(runs.doc, minlength=n)), pa.array(weight)]
 
     added = {"n_words": T.LongType(), "n_features": T.LongType(), "weight": T.LongType()}
