@@ -16,7 +16,8 @@ join is frequent.  Both tiers give the same numbers.
 
 Text is cut before single spaces between two other characters, where both vocabularies
 always begin a token (``Pair`` checks that they do); the pieces are encoded by the two libraries
-once per worker and remembered.
+once per worker and remembered.  A's ids must follow its merges (``Pair`` checks it): its pieces are then
+encoded by rank, many at a time, with the same ids.
 
 Defined results: NULL and empty texts, and texts whose bytes the tokens of A or B do not
 give back (B may normalise), have no tokens: zeros, and an empty string of groups.
@@ -29,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -36,6 +38,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,10 +47,13 @@ from tokenizers import Tokenizer
 
 from strata.llm.common import add_columns, most_frequent, slices, stored
 
-#: Pairs that are broadcast (17 bytes each), pieces a worker remembers, and characters of a piece worth remembering.
+#: Pairs that are broadcast (17 bytes each), pieces a worker remembers, characters of a piece worth remembering, and of one that A's own library encodes.
 TABLE = 262_144
-REMEMBERED = 200_000
-SHORT = 48
+REMEMBERED = 150_000
+SHORT = 24
+LONG = 4_096
+#: Characters of texts that are aligned together: some 150 bytes of arrays each.
+RUN = 500_000
 CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE = "▁"
 
@@ -58,62 +65,80 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-class Encoded(NamedTuple):
-    """One piece of text: ids and byte lengths of its tokens, and whether both give back its bytes."""
-
-    a: list[int]
-    a_bytes: list[int]
-    b: list[int]
-    b_bytes: list[int]
-    whole: bool
-
-
 class Pair:
-    """Both tokenizers, in one worker, and what it has encoded."""
+    """Both vocabularies, in one worker, and what it has encoded.
+
+    ``seen`` holds the ids of a piece in A and in B, four bytes each; None where their tokens do
+    not give back the piece.
+    """
 
     def __init__(self, a_path: str, b_path: str):
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
         with open(a_path, encoding="utf-8") as f:
             described = json.load(f)
-        pre = described["pre_tokenizer"] or {}
+        pre, model = described["pre_tokenizer"] or {}, described["model"]
         if described["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
             raise ValueError("the first tokenizer must be byte-level, without a normalizer or prefix space")
-        byte = byte_of_char()
-        self.a_spelled: dict[int, bytes] = {}
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
-            self.a_spelled[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+        byte, vocab = byte_of_char(), model["vocab"]
+        parts = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        if any(vocab.get(l + r) != 256 + i for i, (l, r) in enumerate(parts)) or any(vocab.get(c, 256) >= 256 for c in byte):
+            raise ValueError("the first tokenizer must number all bytes first, then its merges in order")
+        ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if i < 256 + len(parts)}
+        # ids follow the merges, so the vocabulary is also one of ranks: encoded many pieces at a time
+        self.a = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.exact = Tokenizer.from_file(a_path)
+        self.exact.encode_special_tokens = True
+        self.a_bytes = np.zeros(len(ranks), np.int64)
+        self.a_bytes[list(ranks.values())] = list(map(len, ranks))
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(SPACE in n.lstrip(SPACE) for n in names):
             raise ValueError("the second tokenizer has pieces that reach over a space")
         self.b_spelled = [bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace(SPACE, " ").encode() for i, n in enumerate(names)]
-        self.seen: dict[str, Encoded] = {}
+        self.b_bytes = np.array(list(map(len, self.b_spelled)), np.int64)
+        self.seen: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def encode_a(self, pieces: list[str]) -> list[bytes]:
+        """A's ids of each piece and the space before it.
+
+        Pieces that begin and end with no white space are cut apart anywhere: they are encoded as one text.
+        """
+        out: list[bytes] = [b""] * len(pieces)
+        plain = []
+        for k, p in enumerate(pieces):
+            if p and len(p) <= LONG and not p[0].isspace() and not p[-1].isspace():
+                plain.append(k)
+            else:
+                out[k] = np.array(self.exact.encode(" " + p, add_special_tokens=False).ids, "<u4").tobytes()
+        if plain:
+            ids = np.array(self.a.encode_ordinary(" " + " ".join([pieces[k] for k in plain])), np.int64)
+            size = np.fromiter((len(pieces[k].encode()) + 1 for k in plain), np.int64, len(plain))
+            ends = (np.searchsorted(np.cumsum(self.a_bytes[ids]), np.cumsum(size)) + 1).tolist()
+            data, start = ids.astype("<u4").tobytes(), 0
+            for k, end in zip(plain, ends):
+                out[k] = data[4 * start : 4 * end]
+                start = end
+        return out
 
-    def encode(self, pieces: list[str]) -> list[Encoded]:
+    def encode(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Pieces of text, each but the space that stands before it."""
-        out = []
-        encoded = self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)
-        for piece, ea, b in zip(pieces, encoded, self.b.encode(pieces, num_threads=1), strict=True):
-            raw, a = b" " + piece.encode(), ea.ids
-            a_bytes, b_bytes = [self.a_spelled[i] for i in a], [self.b_spelled[i] for i in b]
-            whole = b"".join(a_bytes) == raw and b"".join(b_bytes) == raw
-            out.append(Encoded(a, list(map(len, a_bytes)), b, list(map(len, b_bytes)), whole))
+        spelled, out = self.b_spelled, []
+        for p, a, b in zip(pieces, self.encode_a(pieces), self.b.encode(pieces, num_threads=1), strict=True):
+            whole = b"".join([spelled[i] for i in b]) == b" " + p.encode()
+            out.append((a, array("I", b).tobytes()) if whole else None)
         return out
 
     def pieces(self, text: str | None) -> list[str]:
         return CUT.split(text) if text else []
 
-    def lookup(self, wanted: set[str]) -> dict[str, Encoded]:
-        """Every wanted piece; short ones are remembered."""
+    def lookup(self, wanted: set[str]) -> list[tuple[bytes, bytes] | None]:
+        """Every wanted piece, in the set's order; short ones are remembered."""
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
-        new = [p for p in wanted if p not in self.seen]
+        new = list(wanted.difference(self.seen))
         made = dict(zip(new, self.encode(new))) if new else {}
-        self.seen.update((p, e) for p, e in made.items() if len(p) <= SHORT)
-        return {p: made[p] if p in made else self.seen[p] for p in wanted}
+        self.seen.update(made if all(len(p) <= SHORT for p in new) else {p: e for p, e in made.items() if len(p) <= SHORT})
+        seen = self.seen
+        return [made[p] if p in made else seen[p] for p in wanted] if made else [seen[p] for p in wanted]
 
 
 _PAIRS: dict[tuple[str, str], Pair] = {}
@@ -187,24 +212,25 @@ class Aligned(NamedTuple):
 
 def align(pair: Pair, texts: list[str | None]) -> Aligned:
     cut = [pair.pieces(t) for t in texts]
-    found = pair.lookup(set(chain.from_iterable(cut)))
-    for k, pieces in enumerate(cut):
-        if not all(found[p].whole for p in pieces):
-            cut[k] = []
-    number = {p: i for i, p in enumerate(found)}
-    flat = np.fromiter((number[p] for pieces in cut for p in pieces), np.int64, sum(map(len, cut)))
+    wanted = set(chain.from_iterable(cut))
+    found = pair.lookup(wanted)
+    number = dict(zip(wanted, range(len(wanted))))
+    flat = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
     doc = np.repeat(np.arange(len(texts)), [len(pieces) for pieces in cut])
-
-    def sequence(ids: str, sizes: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        each = [getattr(e, ids) for e in found.values()]
-        n = np.fromiter(map(len, each), np.int64, len(each))
+    lost = np.fromiter((e is None for e in found), bool, len(found))
+    if lost.any():  # a text with one such piece has no tokens
+        keep = (np.bincount(doc, lost[flat], len(texts)) == 0)[doc]
+        flat, doc = flat[keep], doc[keep]
+
+    def sequence(which: int, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        each = [e[which] if e else b"" for e in found]
+        n = np.fromiter(map(len, each), np.int64, len(each)) // 4
         at, owner = _spread((np.cumsum(n) - n)[flat], n[flat])
-        values = np.fromiter(chain.from_iterable(each), np.int64, n.sum())
-        lengths = np.fromiter(chain.from_iterable(getattr(e, sizes) for e in found.values()), np.int64, n.sum())
-        return values[at], np.cumsum(lengths[at]), doc[owner]
+        values = np.frombuffer(b"".join(each), "<u4").astype(np.int64)[at]
+        return values, np.cumsum(sizes[values]), doc[owner]
 
-    a, a_ends, a_doc = sequence("a", "a_bytes")
-    b, b_ends, b_doc = sequence("b", "b_bytes")
+    a, a_ends, a_doc = sequence(0, pair.a_bytes)
+    b, b_ends, b_doc = sequence(1, pair.b_bytes)
     n = np.bincount(a_doc, minlength=len(texts))
     last = (np.cumsum(n) - 1)[n > 0]
     marks = shared_cuts(a_ends, b_ends, last - n[n > 0] + 1, last)
@@ -226,26 +252,26 @@ def group_strings(x: Aligned) -> list[bytes]:
     mark[np.flatnonzero(np.diff(doc, prepend=-1))] = 0  # the first token of a text has no mark
     width = len(str(ids.max(initial=0)))
     tens = 10 ** np.arange(width - 1, -1, -1)
-    cells = np.empty((total, width + 1), np.uint8)
-    cells[:, 0] = mark
-    cells[:, 1:] = ids[:, None] // tens % 10 + ord("0")
-    shown = np.ones(cells.shape, bool)
-    shown[:, 0] = mark > 0
-    shown[:, 1:-1] = ids[:, None] >= tens[:-1]
-    size = np.bincount(doc, shown.sum(axis=1), minlength=x.docs).astype(np.int64)
+    known = np.arange(10**width if width < 6 else ids.max(initial=0) + 1)[:, None]  # every id spelled once
+    digits, used = (known // tens % 10 + ord("0")).astype(np.uint8), known >= np.r_[tens[:-1], 0]
+    cells, shown = np.empty((total, width + 1), np.uint8), np.empty((total, width + 1), bool)
+    cells[:, 0], cells[:, 1:] = mark, digits[ids]
+    shown[:, 0], shown[:, 1:] = mark > 0, used[ids]
+    size = np.bincount(doc, used.sum(axis=1)[ids] + (mark > 0), minlength=x.docs).astype(np.int64)
     written, end = cells[shown].tobytes(), np.cumsum(size)
     return [written[e - s : e] for s, e in zip(size.tolist(), end.tolist())]
 
 
-def linked_pairs(x: Aligned, b_size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def linked_pairs(x: Aligned, a_size: int, b_size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, id pair as a * b_size + b, how often) of the linked tokens, sorted."""
-    ends = np.union1d(x.a_ends, x.b_ends)  # every stretch between two ends lies in one token of each
-    i, j = np.searchsorted(x.a_ends, ends), np.searchsorted(x.b_ends, ends)
-    doc, key = x.a_doc[i], x.a[i] * b_size + x.b[j]
-    order = np.lexsort((key, doc))
-    doc, key = doc[order], key[order]
-    first = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(key, prepend=-1) != 0))
-    return doc[first], key[first], np.diff(first, append=len(key))
+    starts = np.r_[0, x.a_ends[:-1]] if len(x.a_ends) else x.a_ends
+    first = np.searchsorted(x.b_ends, starts, "right")  # B's tokens that reach into each of A's
+    j, i = _spread(first, np.searchsorted(x.b_ends, x.a_ends) - first + 1)
+    span = a_size * b_size
+    code = x.a_doc[i] * span + x.a[i] * b_size + x.b[j]
+    code.sort()
+    at = np.flatnonzero(np.diff(code, prepend=-1))
+    return code[at] // span, code[at] % span, np.diff(at, append=len(code))
 
 
 ADDED = {"n_a": T.LongType(), "n_b": T.LongType(), "n_groups": T.LongType(), "n_links": T.LongType(), "groups": T.StringType(), "groups_sha256": T.StringType(), "pairs": T.BinaryType()}
@@ -284,14 +310,14 @@ def align_texts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text
                 out["groups"] = [s.decode() for s in strings] if "groups" in added else None
                 out["groups_sha256"] = [hashlib.sha256(s).hexdigest() if s else "" for s in strings]
             if "pairs" in added:
-                doc, key, times = linked_pairs(x, pair.b.get_piece_size())
+                doc, key, times = linked_pairs(x, len(pair.a_bytes), len(pair.b_bytes))
                 end = np.cumsum(np.bincount(doc, minlength=x.docs))
                 out["pairs"] = [packed(key[i:j], times[i:j]) if j > i else b"" for i, j in zip(np.r_[0, end[:-1]].tolist(), end.tolist())]
             return [pa.array(out[c], pa.string() if c.startswith("groups") else pa.binary() if c == "pairs" else pa.int64()) for c in added]
 
         return work
 
-    return add_columns(docs, text_col, {c: ADDED[c] for c in added}, make, keep)
+    return add_columns(docs, text_col, {c: ADDED[c] for c in added}, make, keep, max_chars=RUN)
 
 
 # ------------------------------------------------------------------- counts
@@ -354,5 +380,5 @@ def align_corpus(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
     wanted = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs")
     aligned = align_texts(rows, a_path, b_path, keep=["id"], added=wanted).withColumn("row", F.monotonically_increasing_id())
     aligned = stored(aligned, "aligned")  # numbers the rows once and for all
-    b_size = pair_for(a_path, b_path).b.get_piece_size()
+    b_size = len(pair_for(a_path, b_path).b_bytes)
     return pair_sums(aligned, pair_counts(aligned, b_size), table).withColumnRenamed("id", id_col)

@@ -123,11 +123,11 @@ def coded_words(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.
     return list(codes), np.concatenate(parts) if parts else np.zeros(0, np.int32), starts
 
 
-def add_columns(df: DataFrame, read: str, added: dict[str, T.DataType], make: Callable, keep: list[str] | None = None, as_bytes: bool = False) -> DataFrame:
+def add_columns(df: DataFrame, read: str, added: dict[str, T.DataType], make: Callable, keep: list[str] | None = None, as_bytes: bool = False, max_chars: int = 2_000_000) -> DataFrame:
     """``df`` (its columns ``keep``, all by default) plus columns made of column ``read``, in runs of rows.
 
     ``make()`` is called once per task and gives a function from the values of a run to the
-    arrays of ``added``; ``as_bytes`` hands strings over as UTF-8.  A column named as an
+    arrays of ``added``; ``as_bytes`` hands strings over as UTF-8; a run has about ``max_chars``.  A column named as an
     added one is replaced.  Columns travel under numbers, so that any names will do.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in added]
@@ -140,7 +140,7 @@ def add_columns(df: DataFrame, read: str, added: dict[str, T.DataType], make: Ca
         for b in batches:
             values = b.column(at)
             values = (values.cast(pa.binary()) if as_bytes else values).to_pylist()
-            for i, j in slices(values):
+            for i, j in slices(values, max_chars):
                 yield pa.RecordBatch.from_arrays([b.column(k).slice(i, j - i) for k in range(len(keep))] + work(values[i:j]), schema.fieldNames())
 
     return rows.mapInArrow(run, schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], *added)

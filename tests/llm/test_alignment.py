@@ -117,7 +117,7 @@ def test_long_texts(spark):
 def test_any_text(texts):
     x = alignment.align(alignment.pair_for(A, B), texts)
     strings = alignment.group_strings(x)
-    doc, key, times = alignment.linked_pairs(x, PIECES.get_piece_size())
+    doc, key, times = alignment.linked_pairs(x, 50_256, PIECES.get_piece_size())
     for k, t in enumerate(texts):
         n_a, n_b, groups, links = by_hand(t)
         assert strings[k].decode() == groups and (x.a_doc == k).sum() == n_a and (x.b_doc == k).sum() == n_b
