@@ -13,6 +13,7 @@ depends on file names, clocks or plans have no oracle (rows-only check).
 
 from __future__ import annotations
 
+import datetime as dt
 import importlib
 import sys
 import uuid
@@ -28,7 +29,7 @@ from strata import build  # noqa: E402
 from strata.functions import event_date, hour_of, is_weekend, month_start, path_segment, string_tail, weekday_of  # noqa: E402
 from strata.layout import Layout, source_units  # noqa: E402
 from strata.operators import bronze as bronze_ops  # noqa: E402
-from strata.operators import cdc, contract, dims, gold, grid, hotjoin, nullability, quality, reconcile, scd2, skew  # noqa: E402
+from strata.operators import cdc, cluster, contract, dims, gold, grid, hotjoin, nullability, quality, reconcile, scd2, skew, upsert  # noqa: E402
 from strata.operators import silver as silver_ops  # noqa: E402
 from strata.operators.history import VersionedTable  # noqa: E402
 from strata.plans import partition_rows, plan_facts_frame  # noqa: E402
@@ -223,6 +224,40 @@ def q_cdc_current(spark, sf):
     return cdc.current(cdc.apply_all(_order_feed(spark, sf), ["order_key"], "seq"))
 
 
+#: Zones of a key range of the stored dimension.
+ZONE_RANGE = 4
+
+
+def q_dim_upsert(spark, sf):
+    """The zone dimension after an upsert: some zones renamed, some gone, some new; with the version each range was written by."""
+    b = _layers(spark, sf)
+    zones = b.zones().select("location_id", "zone_name", "borough")
+    t = upsert.create_keyed(spark, f"{b.layout.root}/dims/zones-{uuid.uuid4().hex[:8]}", zones, "location_id", ZONE_RANGE, batch_id=build.RUN_1, committed_at=build.at(1))
+    changed = zones.where("floor(location_id / 4) % 2 = 1 AND location_id % 4 < 2").select(
+        "location_id", F.concat("zone_name", F.lit(" New")).alias("zone_name"), "borough",
+        F.when(F.col("location_id") % 4 == 0, cdc.DELETE).otherwise("update").alias("op"),
+    )
+    added = zones.select((-F.col("location_id")).alias("location_id"), "zone_name", F.lit("Nowhere").alias("borough"), F.lit("insert").alias("op")).where("location_id % 5 = 0 AND location_id <> 0")
+    upsert.upsert(t, changed.unionByName(added), "location_id", ZONE_RANGE, "op", batch_id=build.RUN_2, committed_at=build.at(2))
+    written = t.pins(t.current_version()).select(upsert.RANGE, F.col("data_version").alias("written_by"))
+    return t.read().join(F.broadcast(written), upsert.RANGE).select("location_id", "zone_name", "borough", "written_by")
+
+
+def q_clustered_two_columns(spark, sf):
+    """Lines clustered by supplier and ship date: single-column filters return their rows and meet at most half of the files."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    path = f"{_layers(spark, sf).layout.root}/clustered-{uuid.uuid4().hex[:8]}"
+    cluster.cluster_by(lines, ["l_suppkey", "l_shipdate"], 64).write.parquet(path)
+    stored = spark.read.parquet(path)
+    filters = [("l_suppkey", 3, 3), ("l_shipdate", dt.datetime(1996, 3, 1), dt.datetime(1996, 3, 31))]
+    parts = []
+    for column, low, high in filters:
+        met, files = cluster.files_met(stored, column, low, high)
+        rows = stored.where(F.col(column).between(F.lit(low), F.lit(high))).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("l_orderkey").alias("orders"))
+        parts.append(rows.select(F.lit(column).alias("filter"), "rows", "orders", F.lit(2 * met <= files).alias("skips")))
+    return parts[0].unionByName(parts[1])
+
+
 def q_drift_profile(spark, sf):
     """Per source month: mean, exact count, nulls and distinct zones of the fare (D-tier drift profile)."""
     t = _conformed(spark, sf)
@@ -989,6 +1024,17 @@ SELECT CAST(cell_id AS BIGINT) AS cell_id, count(*) AS trips, {_dec("fare_amount
     "trip_zone_asof": _with(_ZONE_HISTORY + "," + _CONF_NOBATCH, """SELECT c.trip_id, c.line_no, c.pu_location_id, c.pickup_at, h.tariff AS pu_tariff
 FROM conformed c LEFT JOIN history h ON h.location_id = c.pu_location_id AND h.valid_from <= c.pickup_at
      AND (h.valid_to IS NULL OR c.pickup_at < h.valid_to)"""),
+    "dim_upsert": _with(_TRIPS + _ZONES, """, met AS (
+  SELECT DISTINCT CAST(floor(location_id / 4.0) AS BIGINT) AS r FROM zones WHERE floor(location_id / 4.0) % 2 = 1 AND location_id % 4 < 2
+  UNION SELECT CAST(floor(-location_id / 4.0) AS BIGINT) FROM zones WHERE location_id % 5 = 0 AND location_id <> 0),
+after AS (
+  SELECT location_id, CASE WHEN floor(location_id / 4.0) % 2 = 1 AND location_id % 4 = 1 THEN zone_name || ' New' ELSE zone_name END AS zone_name, borough
+  FROM zones WHERE NOT (floor(location_id / 4.0) % 2 = 1 AND location_id % 4 = 0)
+  UNION ALL SELECT -location_id, zone_name, 'Nowhere' FROM zones WHERE location_id % 5 = 0 AND location_id <> 0)
+SELECT a.*, CASE WHEN CAST(floor(location_id / 4.0) AS BIGINT) IN (SELECT r FROM met) THEN 3 ELSE 2 END AS written_by FROM after a"""),
+    "clustered_two_columns": """SELECT 'l_suppkey' AS filter, count(*) AS rows, count(DISTINCT l_orderkey) AS orders, true AS skips FROM lineitem WHERE l_suppkey = 3
+UNION ALL SELECT 'l_shipdate', count(*), count(DISTINCT l_orderkey), true FROM lineitem
+WHERE l_shipdate BETWEEN TIMESTAMP '1996-03-01 00:00:00' AND TIMESTAMP '1996-03-31 00:00:00'""",
     "cdc_current": """WITH feed AS (
   SELECT l_orderkey AS order_key, l_linenumber AS seq, l_returnflag = 'R' AND l_linenumber % 2 = 0 AS gone,
          l_extendedprice AS price, l_suppkey AS location_id FROM lineitem),
