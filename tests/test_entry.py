@@ -55,3 +55,20 @@ def test_writing_keys_are_stable_across_calls(spark, key):
     first = sorted(E.queries()[key](spark, SF_SMALL).collect())
     second = sorted(E.queries()[key](spark, SF_SMALL).collect())
     assert first == second
+
+
+def test_only_a_removed_part_is_passed_over(monkeypatch):
+    """A missing dependency is an error; queries may be missing only with the package that holds them."""
+    def without(name):
+        def load(_):
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+        return load
+
+    with monkeypatch.context() as m:
+        m.setattr(E.importlib, "import_module", without("zstandard"))
+        with pytest.raises(ModuleNotFoundError, match="zstandard"):
+            E.queries()
+    for part in ("strata.llm", "corpus_pipeline"):
+        with monkeypatch.context() as m:
+            m.setattr(E.importlib, "import_module", without(part))
+            assert set(E.queries()) == set(E.QUERIES) and set(E.oracle_sql()) <= set(E.QUERIES)
