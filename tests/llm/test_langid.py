@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -58,3 +60,36 @@ def test_held_out_accuracy(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.predict(d, langid.learn(d.where(~held_out()))).where(held_out()).collect()
     assert len(out) > 100 and np.mean([r.lang == r.lang_pred for r in out]) >= 0.97
+
+
+def test_predictions_equal_a_plain_recount(spark):
+    """Exact sets of n-grams in plain Python: the same decisions, and the same scores but for the filters' rare false finds."""
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    learned = d.where(~held_out()).where("lang IS NOT NULL AND text IS NOT NULL").collect()
+
+    def grams(text):
+        for w in langid.words_of(text):
+            s = f" {w} "
+            yield from (s[k : k + n] for n in langid.LENGTHS for k in range(len(s) - n + 1) if s[k : k + n] != " ")
+
+    counts = {}
+    for r in learned:
+        counts.setdefault(r.lang, Counter()).update(grams(r.text))
+    rates = {lang: {g: n / c.total() for g, n in c.items()} for lang, c in counts.items()}
+    best = Counter()
+    for rate in rates.values():
+        for g, x in rate.items():
+            best[g] = max(best[g], x)
+    sets = {lang: {g for g, x in rate.items() if x >= langid.SHARE and x * langid.CONTRAST >= best[g]} for lang, rate in rates.items()}
+    out = langid.predict(d, langid.learn(d.where(~held_out()))).collect()
+    assert len(out) == 200
+    for r in out:
+        found = list(grams(r.text or ""))
+        hits = {lang: sum(g in s for g in found) for lang, s in sorted(sets.items())}
+        if not found:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        top = max(hits.values())
+        if sorted(hits.values())[-2] < top - 2:
+            assert hits[r.lang_pred] == top
+        assert abs(r.score - top / sum(hits.values())) < 0.01

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +70,22 @@ def test_odd_rows(spark, weights):
     assert quality.score(odd.limit(0), w).count() == 0
     none = quality.learn(odd, spark.createDataFrame([(None, 1), (1, None)], "doc_id long, quality int"))
     assert {r.score for r in quality.score(odd, none).collect()} == {0.5}
+
+
+def test_scores_equal_a_forward_pass_per_document(spark):
+    """Each document by itself, passage by passage, with plain sums: the same score."""
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    weights = {k: v * 3 for k, v in quality.Network(seed=5).p.items()}
+    for r in quality.score(d, weights).collect():
+        x, owner = quality.describe([(r.text or "").encode() if r.text is not None else None])
+        assert set(owner.tolist()) <= {0}
+        hidden = [[math.tanh(sum(float(a) * b for a, b in zip(p, column)) + bias) for column, bias in zip(weights["W"].T.tolist(), weights["b"])] for p in x.astype(np.float64).tolist()]
+        energy = []
+        for h in hidden:
+            v = [math.tanh(sum(a * b for a, b in zip(h, column))) for column in weights["V"].T.tolist()]
+            u = [1 / (1 + math.exp(-sum(a * b for a, b in zip(h, column)))) for column in weights["U"].T.tolist()]
+            energy.append(sum(a * b * c for a, b, c in zip(v, u, weights["a"])))
+        share = [math.exp(e - max(energy)) for e in energy]
+        bag = [sum(s * h[k] for s, h in zip(share, hidden)) / sum(share) for k in range(len(weights["c"]))] if hidden else [0.0] * len(weights["c"])
+        want = 1 / (1 + math.exp(-(sum(a * b for a, b in zip(bag, weights["c"])) + weights["c0"][0])))
+        assert abs(r.score - want) < 2e-6 and r.predicted == (r.score >= 0.3)
