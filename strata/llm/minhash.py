@@ -26,8 +26,10 @@ in the shared folder; nothing but counts reaches the driver.
 
 Defined results: a text below five words is one shingle, one without words (or
 NULL) is a class of its own.  The class id is the least id in the class.  Rows
-with the same id are one document; a row without id is known by its text, and
-has a negative number.  Other columns pass through.
+with the same id and text are one document; rows with the same id and other texts are
+judged each by its own, and may have several classes: where an id would name two, one of them has a
+number above 2^62 instead.  A row without id is known by its text, and
+has a negative number.  Other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -211,12 +213,17 @@ def _known(id_col: str, text_col: str) -> Column:
     return F.coalesce(F.col(f"`{id_col}`").cast("long"), -1 - F.pmod(F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), F.lit(1 << 62)))
 
 
+def _version(text_col: str) -> Column:
+    """Tells texts apart that stand under one number."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+
+
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = False) -> DataFrame:
-    """(doc, set_a, set_b, signature): a 128-bit name of the shingle set (NULL: no words) and the signature."""
+    """(doc, version, set_a, set_b, signature): a 128-bit name of the shingle set (NULL: no words) and the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).cast(pa.binary()).to_pylist()
+            texts = b.column(2).cast(pa.binary()).to_pylist()
             for i, j in slices(texts):
                 elements, owner, weights = shingles(texts[i:j], counted)
                 signatures = throw(elements, weights, owner, j - i)
@@ -226,9 +233,26 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coun
                     name = np.zeros(j - i, np.uint64)
                     np.add.at(name, owner, mix64(mix64(elements + np.uint64(k)) + weights.astype(np.uint64)))
                     names.append(pa.array(name.view(np.int64), mask=~some))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), *names, pa.array([s.tobytes() if ok else None for s, ok in zip(signatures, some, strict=True)], pa.binary())], ["doc", "set_a", "set_b", "signature"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *names, pa.array([s.tobytes() if ok else None for s, ok in zip(signatures, some, strict=True)], pa.binary())], ["doc", "version", "set_a", "set_b", "signature"])
+
+    rows = docs.select(_known(id_col, text_col).alias("doc"), _version(text_col).alias("version"), F.col(f"`{text_col}`").alias("text"))
+    return rows.mapInArrow(run, "doc long, version long, set_a long, set_b long, signature binary")
 
-    return docs.select(_known(id_col, text_col).alias("doc"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "doc long, set_a long, set_b long, signature binary")
+
+def _nodes(some: DataFrame) -> DataFrame:
+    """(node, doc, version, set_a, set_b, signature): every shingle set once, with the row that stands for it.
+
+    A set is known by the least number of its rows (a number below 0, of a row without id, only if it has
+    no other).  Of several sets with one least number the first has it, the others one of their own.
+    """
+    row = F.struct((F.col("doc") < 0).alias("unnamed"), "doc", "version")
+    sets = some.groupBy("set_a", "set_b").agg(F.min(row).alias("row"), F.first("signature").alias("signature"))
+    sets = stored(sets.select("row.doc", "row.version", "set_a", "set_b", "signature"), "sets")
+    name = F.struct("set_a", "set_b")
+    first = sets.groupBy("doc").agg(F.min(name).alias("first"))
+    own = F.lit(1 << 62) + F.pmod(F.xxhash64("set_a", "set_b"), F.lit(1 << 62))
+    node = F.when(name == F.col("first"), F.col("doc")).otherwise(own).alias("node")
+    return sets.join(first, "doc").select(node, "doc", "version", "set_a", "set_b", "signature")
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
@@ -246,7 +270,7 @@ def _buckets(nodes: DataFrame) -> DataFrame:
 
 
 def _elements(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, elements) of the wanted nodes: their shingles, packed."""
+    """(node, elements) of the wanted nodes (node, doc, version): their shingles, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -257,8 +281,9 @@ def _elements(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
                 packed = [elements[a:z].tobytes() for a, z in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(packed, pa.binary())], ["node", "elements"])
 
-    rows = docs.select(_known(id_col, text_col).alias("node"), F.col(f"`{text_col}`").alias("text"))
-    return rows.join(wanted, "node", "left_semi").mapInArrow(run, "node long, elements binary").dropDuplicates(["node"])
+    rows = docs.select(_known(id_col, text_col).alias("doc"), _version(text_col).alias("version"), F.col(f"`{text_col}`").alias("text"))
+    rows = rows.join(wanted, ["doc", "version"]).select("node", "text")
+    return rows.mapInArrow(run, "node long, elements binary").dropDuplicates(["node"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -324,15 +349,14 @@ def _still_apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return dealt.select(F.explode(F.concat(with_largest, others)).alias("g"), "node", "component")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = False) -> DataFrame:
-    """(doc, class): every document's number and the least number in its class."""
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = False) -> DataFrame:
+    """(doc, version, class, stands): every row's number, the hash of its text, its class, and whether it stands for the class."""
     sketched = stored(sketch(docs, id_col, text_col, counted), "sketches")
     some = sketched.where("signature IS NOT NULL")
-    # a number below 0 stands for a row without id: it names a set only if no other row does
-    least = F.coalesce(F.min(F.when(F.col("doc") >= 0, F.col("doc"))), F.min("doc"))
-    nodes = stored(some.groupBy("set_a", "set_b").agg(least.alias("node"), F.first("signature").alias("signature")), "nodes")
+    nodes = stored(_nodes(some), "nodes")
     buckets = stored(_buckets(nodes), "buckets")
-    elements = stored(_elements(docs, buckets.select("node").distinct(), id_col, text_col), "shingles")
+    wanted = nodes.select("node", "doc", "version").join(buckets.select("node").distinct(), "node")
+    elements = stored(_elements(docs, wanted, id_col, text_col), "shingles")
 
     links = stored(_grouped_links(stored(_pair_with_hubs(buckets), "groups"), nodes, elements), "links")
     apart = stored(_still_apart(buckets, components(links)), "groups")
@@ -341,14 +365,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = stored(_grouped_links(alike, nodes, elements), "links")
 
     labels = components(links.unionByName(more))
-    classes = nodes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("component", "node").alias("class"))
-    alone = sketched.where("signature IS NULL").select("doc", F.col("doc").alias("class"))
-    return some.select("doc", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("doc", "class").unionByName(alone)
+    named = nodes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("component", "node").alias("class"), "node", F.struct("doc", "version").alias("row"))
+    stands = (F.col("node") == F.col("class")) & (F.struct("doc", "version") == F.col("row"))
+    judged = some.select("doc", "version", "set_a", "set_b").join(named, ["set_a", "set_b"]).select("doc", "version", "class", stands.alias("stands"))
+    alone = sketched.where("signature IS NULL").select("doc", "version", F.col("doc").alias("class"), F.lit(True).alias("stands"))
+    return judged.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = False) -> DataFrame:
+    """(doc, class): every document's number and the least number in its class."""
+    return classify(docs, id_col, text_col, counted).select("doc", "class")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose number is their class's, once each; columns of ``docs``."""
-    chosen = near_duplicates(docs, id_col, text_col).where("doc = class").select(F.col("doc").alias("__chosen")).distinct()
-    number = "__number"
-    rows = docs.withColumn(number, _known(id_col, text_col))
-    return rows.join(chosen, rows[number] == chosen["__chosen"], "left_semi").dropDuplicates([number]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each class, once; columns of ``docs``."""
+    place = {c: f"d{i}" for i, c in enumerate(docs.columns)}  # free of the names added here
+    rows = docs.select(*[F.col(f"`{c}`").alias(d) for c, d in place.items()])
+    key = [_known(place[id_col], place[text_col]).alias("doc"), _version(place[text_col]).alias("version")]
+    chosen = classify(rows, place[id_col], place[text_col]).where("stands").select("doc", "version").distinct()
+    kept = rows.select("*", *key).join(chosen, ["doc", "version"], "left_semi").dropDuplicates(["doc", "version"])
+    return kept.select(*[F.col(d).alias(c) for c, d in place.items()])

@@ -108,3 +108,32 @@ def test_odd_rows(spark):
     assert kept.columns == d.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, i) for i in (3, 9, 10, 11, 12, 13)] + [(True, 0)]
     assert mh.near_duplicates(d.limit(0)).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    """Each text is judged by itself: no link is lost, and no text goes that no other stands for."""
+    rng = random.Random(11)
+    a, b, c, d = (" ".join(rng.choice("abcdefghij") + str(rng.randrange(1000)) for _ in range(80)) for _ in range(4))
+    rows = [(5, a), (5, b), (7, c), (6, b + " end"), (5, ""), (8, d), (4, d), (8, a)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").withColumns({"__number": F.lit(1), "version": F.lit(2), "stands": F.lit(3)})
+        kept = mh.one_of_each(docs.repartition(3))
+        assert kept.columns == docs.columns
+        texts = [r.text for r in kept.collect()]
+        near = [t for t in texts if t in (b, b + " end")]
+        assert len(near) == 1 and sorted(t for t in texts if t not in near) == sorted([a, c, "", d])
+        found = mh.classify(docs).join(docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("version"), "text"), ["doc", "version"]).collect()
+        of = {}
+        for r in found:
+            of.setdefault(r["class"], set()).add(r.text)
+        assert sorted(map(sorted, (v - {""} for v in of.values() if v - {""}))) == sorted(map(sorted, ([a], [b, b + " end"], [c], [d])))
+        assert sum(r.stands for r in found) == 5 and len(found) == len(rows)
+
+
+def test_classes_of_repeated_ids_stay_apart(spark):
+    """Two texts under one id are two classes, with two numbers; copies elsewhere join their own."""
+    texts = [" ".join(f"{k}-{i}" for i in range(40)) for k in range(3)]
+    rows = [(1, t) for t in texts] + [(10 + k, t) for k, t in enumerate(texts)]
+    got = mh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    classes = {r.doc: r["class"] for r in got if r.doc >= 10}
+    assert len(set(classes.values())) == 3 and sorted(r["class"] for r in got if r.doc == 1) == sorted(classes.values())
