@@ -92,11 +92,11 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataF
 
 
 def source_units(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Every reload unit present in landing (A5): ``year, month, unit, files, bytes``.
+    """Files and bytes of each landed unit (A5): ``year, month, unit, files, bytes``.
 
-    New periods are picked up without a code change: the folder name is the
-    contract.  Files whose path does not match the pattern are ignored.
+    Landing folders named otherwise are an error, as in :func:`available_months`.
     """
+    available_months(spark, layout)
     files = list_files(spark, layout.landing)
     return (
         files.withColumn("year", unit_year(F.col("path")))

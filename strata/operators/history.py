@@ -715,12 +715,12 @@ class VersionedTable:
             return plan.limit(0)
         parts = self.partition_cols
         doomed = plan.collect()  # one row per table partition: bounded metadata
+        for path in self._pin_paths(doomed):  # before the mark: after a crash the next call finds the same plan
+            delete_path(self.spark, path)
         self.spark.createDataFrame(
             [(v, expired_at or _now()) for v in expire], EXPIRED_SCHEMA
         ).coalesce(1).write.mode("append").parquet(self.expired_path)
         self._expired = (self._expired or set()) | set(expire)
-        for path in self._pin_paths(doomed):
-            delete_path(self.spark, path)
         return self.spark.createDataFrame(doomed, plan.schema) if doomed else plan.limit(0)
 
     def orphans(self) -> DataFrame:

@@ -45,6 +45,17 @@ def test_reject_rate_alert(spark):
     gold.raise_on_reject_rate(rate, 0.2)
 
 
+def test_strange_landing_folders_are_an_error_everywhere(spark, layout):
+    from strata.layout import available_months, source_units
+
+    land(spark, layout, 2024, 3, [trip()])
+    assert [tuple(r) for r in source_units(spark, layout).select("year", "month", "files").collect()] == [(2024, 3, 1)]
+    spark.range(1).write.parquet(f"{layout.landing}/period=2024-3")
+    for ask in (available_months, source_units):
+        with pytest.raises(ValueError, match="period=2024-3"):
+            ask(spark, layout)
+
+
 def test_namespace_and_registered_view(spark, layout):
     bronze.create_namespace(spark, "strata_bronze")
     assert "strata_bronze" in [d.name for d in spark.catalog.listDatabases()]
