@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -109,7 +110,7 @@ def ngram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 for lang in sorted(set(langs[i:j])):
                     times = np.bincount(codes[of == lang], minlength=len(words))[owner]
                     old = held.get(lang, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
-                    distinct, at = np.unique(np.concatenate([old[0], names[times > 0]]), return_inverse=True)
+                    at, distinct = pd.factorize(np.concatenate([old[0], names[times > 0]]))
                     held[lang] = distinct, np.bincount(at, np.concatenate([old[1], times[times > 0]]), len(distinct)).astype(np.int64)
                 if sum(len(x) for x, _ in held.values()) > HELD:
                     yield from flush()
@@ -120,12 +121,18 @@ def ngram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 def slot_numbers(names: np.ndarray, slots: int, hashes: int) -> np.ndarray:
-    """The slots of each n-gram, one row per hash."""
-    return np.stack([(mix64(names + np.uint64(k)) % np.uint64(slots)).astype(np.int64) for k in range(1, hashes + 1)])
+    """The slots of each n-gram, one row per hash: multiples of a step from a start, both parts of its (mixed) name.
+
+    ``slots`` is a power of two, and the step odd.
+    """
+    start, step = names, (names >> np.uint64(32)) | np.uint64(1)
+    return np.stack([((start + np.uint64(k) * step) & np.uint64(slots - 1)).view(np.int64) for k in range(hashes)])
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", slots: int = SLOTS, hashes: int = HASHES, share: float = SHARE, contrast: float = CONTRAST):
     """(languages, masks, false positive rates): masks is slots x words of 64 languages."""
+    if slots & (slots - 1):
+        raise ValueError("slots must be a power of two")
     counts = stored(ngram_counts(docs, text_col, lang_col), "language-ngrams")
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}
     langs = sorted(totals)
