@@ -23,6 +23,8 @@ columns pass through; one named like an added one is replaced.
 
 from __future__ import annotations
 
+import functools
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import add_columns, slices
+from strata.llm.common import add_columns, slices, stored
 
 #: Bound of the labelled sample (documents), taken in the order of a hash of the id.
 SAMPLE = 20_000
@@ -54,6 +56,7 @@ DEPENDENT = 0.002
 ADDED = {"score": T.DoubleType(), "predicted": T.IntegerType()}
 
 _WORD = regex.compile(r"\w+")
+_ASCII_GAPS = {c: " " for c in range(128) if not _WORD.match(chr(c))}
 
 
 def units(word: str) -> list[str]:
@@ -62,7 +65,10 @@ def units(word: str) -> list[str]:
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    # the same words, without a regular expression where all characters are ASCII
+    return text.lower().translate(_ASCII_GAPS).split() if text.isascii() else _WORD.findall(text.lower())
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, size: int = SAMPLE) -> DataFrame:
@@ -102,27 +108,48 @@ class Hits:
 
     def __init__(self, lexicon: list[str]):
         self.place = {u: k for k, u in enumerate(lexicon)}
+        self.starts = {u[: BEGINNINGS[0]] for u in lexicon if u.endswith("-")}
+        self.seen: set[str] = set()
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def of_word(self, word: str) -> tuple[int, ...]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 300_000:
-                self.known.clear()
-            found = self.known[word] = tuple(k for u in units(word) if (k := self.place.get(u)) is not None)
-        return found
+    def look_up(self, words: set[str]) -> None:
+        if len(self.seen) > 300_000:
+            self.seen, self.known = set(), {}
+        for w in words - self.seen:
+            if w in self.place or w[: BEGINNINGS[0]] in self.starts:
+                found = tuple(k for u in units(w) if (k := self.place.get(u)) is not None)
+                if found:
+                    self.known[w] = found
+        self.seen |= words
 
     def of(self, text: str | None) -> tuple[list[int], int, int, int]:
         """Distinct entries, words that hold any, the most of them among 50 neighbours, number of words."""
         words = words_of(text)
-        hit = [i for i, w in enumerate(words) if self.of_word(w)]
-        entries = sorted({k for i in hit for k in self.of_word(words[i])})
+        distinct = set(words)
+        self.look_up(distinct)
+        marked = self.known.keys() & distinct if len(self.known) < len(distinct) else {w for w in distinct if w in self.known}
+        if not marked:
+            return [], 0, 0, len(words)
+        hit = [i for i, w in enumerate(words) if w in marked]
+        entries = sorted({k for w in marked for k in self.known[w]})
         densest, a = 0, 0
         for z, i in enumerate(hit):
             while i - hit[a] >= 50:
                 a += 1
             densest = max(densest, z - a + 1)
-        return entries, len({words[i] for i in hit}), densest, len(words)
+        return entries, len(marked), densest, len(words)
+
+
+@functools.cache
+def _cases() -> np.ndarray:
+    """For every code point, whether it is a letter (1) and whether it is upper case (2)."""
+    every = [chr(c) for c in range(sys.maxunicode + 1)]
+    return np.array([c.isalpha() + 2 * c.isupper() for c in every], np.uint8)
+
+
+def letters_and_capitals(text: str | None) -> tuple[int, int]:
+    n = np.bincount(_cases()[np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)], minlength=4)
+    return int(n[1] + n[3]), int(n[2] + n[3])
 
 
 def votes(text: str | None, hits: tuple[list[int], int, int, int]) -> int:
@@ -131,8 +158,7 @@ def votes(text: str | None, hits: tuple[list[int], int, int, int]) -> int:
     bits = 0
     for k in entries:
         bits |= 1 << (k % LEXICONS)
-    letters = sum(map(str.isalpha, text)) if text else 0
-    upper = sum(map(str.isupper, text)) if text else 0
+    letters, upper = letters_and_capitals(text)
     patterns = (distinct >= 2, distinct >= 4, densest >= 3, n > 0 and distinct * 100 >= n * 2, 2 * upper > letters > 0, bool(text) and text.count("!") * 20 > n > 0)
     for k, fires in enumerate(patterns):
         bits |= int(fires) << (LEXICONS + k)
@@ -252,7 +278,7 @@ def train(rows: list[list[int]], dense: np.ndarray, target: np.ndarray, entries:
 
 def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE):
     """(lexicon, weights); ``labels`` are the rows that may be learned from, ``docs`` the whole corpus."""
-    some = labelled_sample(docs, labels, label_col, id_col, text_col, sample)
+    some = stored(labelled_sample(docs, labels, label_col, id_col, text_col, sample), "toxicity-sample")  # read twice more
     lexicon = mine_lexicon(some)
     if not lexicon:
         return [], np.zeros(0)
@@ -268,7 +294,8 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
             columns = [b.column(0), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([densities(f) for f in found], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns + [pa.array([votes(t, f) for t, f in zip(texts, found, strict=True)], pa.int64())], ["doc", "entries", "dense", "pattern"])
 
-    rows = some.select("doc", "text").mapInArrow(represent, "doc long, entries array<long>, dense array<double>, pattern long").orderBy("doc", "pattern", F.xxhash64("entries")).toPandas()
+    rows = some.select("doc", "text").mapInArrow(represent, "doc long, entries array<long>, dense array<double>, pattern long").toPandas()
+    rows = rows.assign(order=[tuple(e) for e in rows["entries"]]).sort_values(["doc", "pattern", "order"], ignore_index=True)  # any order of tasks trains the same
     posterior = model.expect((rows["pattern"].to_numpy()[:, None] >> np.arange(VOTERS)) & 1)
     return lexicon, train([list(e) for e in rows["entries"]], np.array(rows["dense"].tolist()).reshape(-1, DENSITIES), posterior, len(lexicon))
 
