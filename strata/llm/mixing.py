@@ -17,10 +17,12 @@ cells plus a rank within one cell, and no window ever holds a whole source.
 
 Defined results: NULL text has size 0; a NULL source is a source of its own and
 stands last; sources of size 0 have target 0 and are not taken; repeated rows
-are taken independently; NULL ids sort first within their cell.  An empty table
+are taken independently.  Rows without id are dealt to cells by their text, so
+that many of them fill many cells; rows of one id stand in one cell, which is
+sorted (and spilled, where large) and numbered row by row, never held.  An empty table
 gives an empty table.  Extra columns pass through; a column of ``docs`` named as
 one of the four added ones is replaced by it in :func:`plan_mix` and kept in
-:func:`mix`.
+:func:`mix`; any other names will do, as columns travel under numbers.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD
+from strata.llm.common import WORD, stored
 
 #: Weights of the sources in order of code point, repeating.
 WEIGHTS = (5, 2, 1)
@@ -92,19 +94,22 @@ def _planned(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     share: float = 1.5, max_repeat: int = 2, weights=WEIGHTS, salts: int | None = None, seed: str = SEED,
 ) -> DataFrame:
-    """``docs`` plus internal columns size, source_size, target and copies, each under the inner prefix."""
+    """Columns of ``docs`` under their numbers, and size, source_size, target and copies under the inner prefix."""
     salts = salts or max(SALTS, docs.count() // DOCS_PER_SALT)
     key = [f"{_C}null", f"{_C}name", f"{_C}class", f"{_C}salt"]
-    idt = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    text, source = F.col(f"c{docs.columns.index(text_col)}"), F.col(f"c{docs.columns.index(source_col)}")
+    idt = F.coalesce(F.col(f"c{docs.columns.index(id_col)}").cast("string"), F.concat(F.lit("|"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
     rows = (
-        docs.withColumn(f"{_C}size", words_in(text_col))
-        .withColumn(f"{_C}null", F.col(source_col).isNull())
-        .withColumn(f"{_C}name", F.coalesce(F.col(source_col).cast("string"), F.lit("")))
+        docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+        .withColumn(f"{_C}size", words_in(text))
+        .withColumn(f"{_C}null", source.isNull())
+        .withColumn(f"{_C}name", F.coalesce(source.cast("string"), F.lit("")))
         .withColumn(f"{_C}class", F.length(F.bin(f"{_C}size")))
         .withColumn(f"{_C}hash", F.md5(F.concat(F.lit(seed), idt).cast("binary")))
         .withColumn(f"{_C}salt", F.conv(F.substring(f"{_C}hash", 1, 8), 16, 10).cast("long") % salts)
     )
-    cells = rows.groupBy(*key).agg(F.count(F.lit(1)).alias(f"{_C}n"), F.sum(f"{_C}size").alias(f"{_C}s"))
+    # written, as three sums are read off it: a row for each cell, so that texts are gone through once for them
+    cells = stored(rows.groupBy(*key).agg(F.count(F.lit(1)).alias(f"{_C}n"), F.sum(f"{_C}size").alias(f"{_C}s")), "mix-cells")
     classes = cells.groupBy(*key[:3]).agg(F.sum(f"{_C}n").alias(f"{_C}cn"), F.sum(f"{_C}s").alias(f"{_C}cs"))
     targets = source_targets(
         classes.groupBy(*key[:2]).agg(F.sum(f"{_C}cs").alias(f"{_C}source_size")), share, max_repeat, weights
@@ -122,7 +127,7 @@ def _planned(
             _unit16(F.concat(F.lit(seed), F.col(f"{_C}null").cast("string"), F.lit("|"), F.col(f"{_C}name"))).alias(f"{_C}offset"),
         )
     )
-    order = Window.partitionBy(*key).orderBy(f"{_C}size", f"{_C}hash", F.xxhash64(text_col))
+    order = Window.partitionBy(*key).orderBy(f"{_C}size", f"{_C}hash", F.xxhash64(text))
     ranked = rows.withColumn(f"{_C}rank", F.row_number().over(order))
     upto = lambda n: F.floor(n * F.col(f"{_C}rate") + F.col(f"{_C}offset"))
     position = F.col(f"{_C}base") + F.col(f"{_C}rank")
@@ -130,7 +135,7 @@ def _planned(
 
 
 def _named(docs: DataFrame, but: tuple[str, ...] = ()) -> list[Column]:
-    return [F.col(f"`{c}`") for c in docs.columns if c.lower() not in but]
+    return [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in but]
 
 
 def plan_mix(docs: DataFrame, **options) -> DataFrame:

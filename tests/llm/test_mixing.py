@@ -82,3 +82,24 @@ def test_null_empty_repeated_and_clashing(spark):
     assert mixed.columns == d.columns
     assert mixed.count() == sum(r.copies for r in got) and {r["size"] for r in mixed.collect()} == {"mine"}
     assert mixing.plan_mix(d.limit(0)).count() == 0
+
+
+def test_rows_without_id_fill_many_cells(spark):
+    d = spark.range(50_000).selectExpr("cast(null as bigint) AS doc_id", "concat('a b w', id) AS text", "'x' AS source")
+    cells = mixing._planned(d).groupBy("__mix_class", "__mix_salt").count()
+    assert cells.count() == mixing.SALTS
+    assert cells.agg({"count": "max"}).first()[0] < 2 * 50_000 / mixing.SALTS
+    assert mixing.plan_mix(d).agg({"copies": "sum"}).first()[0] == 75_000
+
+
+def test_columns_named_as_inner_ones_pass_through(spark):
+    rows = [(i, "a b c", "x", 9, "n", "c") for i in range(10)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, __mix_size int, __mix_name string, c1 string")
+    out = mixing.mix(d)
+    assert out.columns == d.columns
+    assert {tuple(r)[3:] for r in out.collect()} == {(9, "n", "c")} and out.count() == 15
+
+
+def test_a_very_long_text(spark):
+    d = spark.createDataFrame([(1, "w " * 2_000_000, "x"), (2, "v", "x")], "doc_id long, text string, source string")
+    assert {(r.doc_id, r.size, r.copies in (1, 2)) for r in mixing.plan_mix(d).collect()} == {(1, 2_000_000, True), (2, 1, True)}
