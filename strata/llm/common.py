@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -112,12 +113,11 @@ def slices(texts: list, max_chars: int = 2_000_000):
 
 def coded_words(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Texts -> distinct words, the code of every word, and where each text starts."""
-    codes: dict[bytes, int] = {}
+    codes: defaultdict[bytes, int] = defaultdict()
+    codes.default_factory = codes.__len__  # a new word gets the next number
     parts, starts = [], np.zeros(len(texts) + 1, np.int64)
     for i, t in enumerate(texts):
         words = (t or b"").split()
-        for w in set(words).difference(codes):
-            codes[w] = len(codes)
         parts.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
         starts[i + 1] = starts[i] + len(words)
     return list(codes), np.concatenate(parts) if parts else np.zeros(0, np.int32), starts

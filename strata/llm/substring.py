@@ -51,6 +51,8 @@ WINDOWS_PER_BUCKET = 600_000
 MIN_BUCKETS = 256
 #: Characters of the texts that a task cuts into super-k-mers together.
 SLICE = 24_000_000
+#: Words whose super-k-mers are found together.
+TOGETHER = 100_000
 #: Frequent words that every worker knows by number (about 2 MB).
 FREQUENT = 65_536
 #: Columns that remove_repeats adds.
@@ -89,18 +91,36 @@ def _minimum_over(values: np.ndarray, width: int) -> np.ndarray:
     return best[:n]
 
 
-def super_kmers(hashes: np.ndarray, hot: np.ndarray, k: int = K, m: int = M) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of one text -> first window, number of windows and minimiser of each super-k-mer."""
-    runs = run_hashes(hashes, m)
+def _within(starts: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Whether ``size`` neighbours from each of the first ``n`` places lie in one text."""
+    crossing = np.zeros(n + 1, np.int32)  # +1 where places begin that reach over the end of their text, -1 behind
+    ends = starts[1:]
+    np.add.at(crossing, np.clip(np.maximum(ends - size + 1, starts[:-1]), 0, n), 1)
+    np.add.at(crossing, np.clip(ends, 0, n), -1)
+    return np.cumsum(crossing[:n]) == 0
+
+
+def super_kmers(hashes: np.ndarray, hot: np.ndarray, k: int = K, m: int = M, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of texts -> first window, number of windows and minimiser of each super-k-mer.
+
+    ``starts``: where the texts begin, and the end of the last; one text if not given.
+    """
     if len(hashes) < k:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    runs = run_hashes(hashes, m)
     order = runs >> np.uint64(1)
     if len(hot):
         at = np.minimum(np.searchsorted(hot, runs), len(hot) - 1)
         order = np.where(hot[at] == runs, order | np.uint64(1 << 63), order)
     chosen = runs[_minimum_over(order, k - m + 1)]
-    first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
-    return first, np.diff(np.append(first, len(chosen))), chosen[first]
+    starts = np.array([0, len(hashes)]) if starts is None else starts
+    windows = np.flatnonzero(_within(starts, k, len(chosen)))
+    if not len(windows):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    # another minimiser begins a super-k-mer, and so does another text, whose windows never follow on
+    head = np.concatenate([[True], (chosen[windows][1:] != chosen[windows][:-1]) | (np.diff(windows) > 1)])
+    first = np.flatnonzero(head)
+    return windows[first], np.diff(np.append(first, len(windows))), chosen[windows[first]]
 
 
 # --------------------------------------------------------- the map side
@@ -140,11 +160,11 @@ def corpus_statistics(docs: DataFrame, text_col: str = "text", hot: int = HOT, s
                     floor = np.partition(np.fromiter(often.values(), np.int64, len(often)), -(size // 2) - 1)[-(size // 2) - 1]
                     often = Counter({w: n - int(floor) for w, n in often.items() if n > floor})
                 hashes = word_hashes(words)[codes]
-                for a, z in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                    seen.append(run_hashes(hashes[a:z], m))
-                    held += len(seen[-1])
-                    total += len(seen[-1])
-                    windows += max(0, z - a - k + 1)
+                runs = run_hashes(hashes, m)
+                seen.append(runs[_within(starts, m, len(runs))])
+                held += len(seen[-1])
+                total += len(seen[-1])
+                windows += int(np.maximum(0, np.diff(starts) - k + 1).sum())
                 if held > 2_000_000:
                     names, numbers = _frequent(names, numbers, seen, total / (2 * hot))
                     seen, held = [], 0
@@ -226,31 +246,47 @@ def _grouped(bucket: np.ndarray):
         yield int(bucket[by[a]]), by[a:z]
 
 
+def _leads(name: np.ndarray, at: np.ndarray, size: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """For each string, in the order of names, the first equal one; strings are compared, not only names."""
+    head = np.concatenate([[True], name[1:] != name[:-1]])
+    lead = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
+    dup = np.flatnonzero(~head)
+    differ = size[dup] != size[lead[dup]]
+    for a in range(0, len(dup), 20_000):
+        i, n = dup[a : a + 20_000], np.where(differ[a : a + 20_000], 0, size[dup[a : a + 20_000]])
+        ends = np.cumsum(n)
+        step = np.arange(int(ends[-1])) - np.repeat(ends - n, n)
+        unlike = codes[np.repeat(at[i], n) + step] != codes[np.repeat(at[lead[i]], n) + step]
+        differ[a : a + 20_000] |= np.bincount(np.repeat(np.arange(len(i)), n)[unlike], minlength=len(i)) > 0
+    for i in dup[differ].tolist():  # another string of the same name: none of its equals is looked for, which is rare and safe
+        lead[i] = i
+    return lead
+
+
 def _send(doc, version, texts, hot, frequent: dict[bytes, int], buckets: int, k: int, m: int) -> Iterator[tuple]:
     """(bucket, packed super-k-mers or None, removed ranges or None) of a run of documents."""
     words, codes, starts = coded_words(texts)
     hashes = word_hashes(words)[codes]
-    found = []
-    for row, (a, z) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
-        if z - a >= k:
-            first, n, minimiser = super_kmers(hashes[a:z], hot, k, m)
-            found.append((np.full(len(first), row), first, n, minimiser))
-    if not found:
+    found, a = [], 0
+    while a < len(starts) - 1:  # texts of about TOGETHER words at once
+        z = max(a + 1, int(np.searchsorted(starts, starts[a] + TOGETHER, "right")) - 1)
+        at, n, minimiser = super_kmers(hashes[starts[a] : starts[z]], hot, k, m, starts[a : z + 1] - starts[a])
+        found.append((starts[a] + at, n, minimiser))
+        a = z
+    at, n, minimiser = (np.concatenate(x) for x in zip(*found, strict=True))
+    if not len(at):
         return
-    row, first, n, minimiser = (np.concatenate(x) for x in zip(*found, strict=True))
-    at, size = starts[row] + first, n + k - 1
+    row = np.searchsorted(starts, at, "right") - 1
+    first, size = at - starts[row], n + k - 1
     name = substring_hashes(hashes, at, size) + size.astype(np.uint64)
     order = np.lexsort((first, version[row], doc[row], name))
     row, first, size, at, minimiser, name = (x[order] for x in (row, first, size, at, minimiser, name))
     place = np.empty(len(row), _RANGE)
     place["doc"], place["version"], place["first"], place["last"] = doc[row], version[row], first, first + size
-    sent, gone, lead = np.ones(len(row), bool), np.zeros(len(row), bool), 0
-    for i in (np.flatnonzero(name[1:] == name[:-1]) + 1).tolist():
-        if sent[i - 1]:
-            lead = i - 1  # the first of its name, or one of another string with the same hash
-        if size[i] == size[lead] and np.array_equal(codes[at[i] : at[i] + size[i]], codes[at[lead] : at[lead] + size[lead]]):
-            sent[i] = False
-            gone[i] = place[i] != place[lead]  # the same place in a repeated row is no earlier start
+    sent, lead = np.ones(len(row), bool), _leads(name, at, size, codes)
+    sent[lead != np.arange(len(lead))] = False
+    gone = ~sent  # but for the same place in a repeated row, which is no earlier start
+    gone[gone] = (doc[row[gone]] != doc[row[lead[gone]]]) | (version[row[gone]] != version[row[lead[gone]]]) | (first[gone] != first[lead[gone]])
     for bucket, rows in _grouped((mix64(place["doc"][gone].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)) if gone.any() else ():
         yield bucket, None, place[gone][rows].tobytes()
     named = np.array([frequent.get(w, -1) for w in words], np.int64)

@@ -90,3 +90,21 @@ def test_equal_hashes_are_told_apart(monkeypatch):
     ranges = [np.frombuffer(g, substring._RANGE) for _, _, g in sent if g is not None] + [substring._removed(packed, 1, 3)]
     got = {(int(r["doc"]), int(r["first"]), int(r["last"])) for r in substring._joined(np.concatenate(ranges))}
     assert got == {(1, 1, 4), (2, 0, 3)}
+
+
+def test_texts_cut_together_as_one_by_one():
+    rng = np.random.default_rng(4)
+    lengths = [0, 3, 25, 0, 40, 19, 20, 21, 0, 200, 1]
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    hashes = rng.integers(0, 30, starts[-1]).astype(np.uint64)
+    hot = np.sort(np.unique(substring.run_hashes(hashes, 3))[:20])
+    alone = [substring.super_kmers(hashes[a:z], hot) for a, z in zip(starts[:-1], starts[1:], strict=True)]
+    want = [np.concatenate(x) for x in zip(*[(f + a, n, m) for a, (f, n, m) in zip(starts[:-1], alone, strict=True)], strict=True)]
+    for got, expected in zip(substring.super_kmers(hashes, hot, starts=starts), want, strict=True):
+        assert got.tolist() == expected.tolist()
+
+
+def test_strings_of_one_name_are_compared():
+    codes = np.array([1, 2, 1, 2, 1, 3, 1, 2, 9])
+    at, size = np.array([0, 2, 4, 6, 8]), np.array([2, 2, 2, 2, 1])
+    assert substring._leads(np.array([7, 7, 7, 7, 7]), at, size, codes).tolist() == [0, 0, 2, 0, 4]
