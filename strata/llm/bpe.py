@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from strata.llm.common import add_columns, most_frequent, stored
+from strata.llm.common import add_columns, forget, give_back, most_frequent, stored, worker_cache
 
 #: Words in the lexicon: bounds the automaton (about 10 MB) and what the driver collects.
 LEXICON = 131_072
@@ -230,7 +230,7 @@ def chunks(text: bytes | None) -> list[bytes]:
     return (text or b"").split()
 
 
-_WORDS: dict[str, Words] = {}
+_WORDS: dict[str, Words] = worker_cache("bpe")
 
 
 def words_for(path: str) -> Words:
@@ -243,6 +243,7 @@ def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
     """(word, n) over all texts, counted per task before anything is shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(but="bpe")
         words, seen = words_for(tokenizer), Counter()
 
         def flush():
@@ -263,6 +264,7 @@ def word_counts(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
                 if len(seen) > COUNTED:
                     yield from flush()
         yield from flush()
+        give_back()
 
     return docs.select(text_col).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -310,7 +312,7 @@ class Encoder:
         return [b"".join([known[c] for c in cs]) for cs in cut]
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple[str, str], Encoder] = worker_cache("bpe")
 
 
 def _encoder(tokenizer: str, lexicon: str) -> Encoder:
@@ -345,7 +347,7 @@ def encode(df: DataFrame, tokenizer: str, lexicon: str, text_col: str = "text",
         return work
 
     added = {"ids": T.BinaryType(), "n_tokens": T.LongType()} | ({"decoded": T.StringType()} if decode else {})
-    return add_columns(df, text_col, added, build, keep, as_bytes=True)
+    return add_columns(df, text_col, added, build, keep, as_bytes=True, cache="bpe")
 
 
 def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
@@ -355,7 +357,7 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
         table = _token_table(tokenizer)
         return lambda packed: [pa.array([decode_ids(x or b"", table) for x in packed], pa.string())]
 
-    return add_columns(df, ids_col, {"decoded": T.StringType()}, build)
+    return add_columns(df, ids_col, {"decoded": T.StringType()}, build, cache="bpe")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -91,6 +93,31 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+# ------------------------------------------------------------------ a worker's memory
+_CACHES: dict[str, list[dict]] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """A dict that a Python worker keeps from task to task, as long as its tasks are of ``owner``."""
+    _CACHES.setdefault(owner, []).append({})
+    return _CACHES[owner][-1]
+
+
+def forget(but: str = "") -> None:
+    """Empty the caches of all owners but one: Spark gives a worker to one operator after another."""
+    for owner, caches in _CACHES.items():
+        if owner != but:
+            for c in caches:
+                c.clear()
+
+
+def give_back() -> None:
+    """Return what is free to the system; the allocators would keep it for as long as the worker lives."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 #: What a value that is no text counts in a run of rows.
 TYPICAL = 4_000
 
@@ -123,12 +150,13 @@ def coded_words(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.
     return list(codes), np.concatenate(parts) if parts else np.zeros(0, np.int32), starts
 
 
-def add_columns(df: DataFrame, read: str, added: dict[str, T.DataType], make: Callable, keep: list[str] | None = None, as_bytes: bool = False, max_chars: int = 2_000_000) -> DataFrame:
+def add_columns(df: DataFrame, read: str, added: dict[str, T.DataType], make: Callable, keep: list[str] | None = None, as_bytes: bool = False, max_chars: int = 2_000_000, cache: str = "") -> DataFrame:
     """``df`` (its columns ``keep``, all by default) plus columns made of column ``read``, in runs of rows.
 
     ``make()`` is called once per task and gives a function from the values of a run to the
     arrays of ``added``; ``as_bytes`` hands strings over as UTF-8; a run has about ``max_chars``.  A column named as an
-    added one is replaced.  Columns travel under numbers, so that any names will do.
+    added one is replaced.  Columns travel under numbers, so that any names will do.  Of the worker
+    caches, only those of ``cache`` stay.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in added]
     at = keep.index(read) if read in keep else len(keep)
@@ -136,12 +164,14 @@ def add_columns(df: DataFrame, read: str, added: dict[str, T.DataType], make: Ca
     schema = T.StructType([rows.schema[i] for i in range(len(keep))] + [T.StructField(k, v) for k, v in added.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(but=cache)
         work = make()
         for b in batches:
             values = b.column(at)
             values = (values.cast(pa.binary()) if as_bytes else values).to_pylist()
             for i, j in slices(values, max_chars):
                 yield pa.RecordBatch.from_arrays([b.column(k).slice(i, j - i) for k in range(len(keep))] + work(values[i:j]), schema.fieldNames())
+        give_back()
 
     return rows.mapInArrow(run, schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], *added)
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import coded_words, mix64, slices, stored, unit
+from strata.llm.common import coded_words, give_back, mix64, slices, stored, unit
 from strata.llm.substring import run_hashes, word_hashes
 
 SHINGLE = 5
@@ -234,6 +234,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coun
                     np.add.at(name, owner, mix64(mix64(elements + np.uint64(k)) + weights.astype(np.uint64)))
                     names.append(pa.array(name.view(np.int64), mask=~some))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), *names, pa.array([s.tobytes() if ok else None for s, ok in zip(signatures, some, strict=True)], pa.binary())], ["doc", "version", "set_a", "set_b", "signature"])
+        give_back()
 
     rows = docs.select(_known(id_col, text_col).alias("doc"), _version(text_col).alias("version"), F.col(f"`{text_col}`").alias("text"))
     return rows.mapInArrow(run, "doc long, version long, set_a long, set_b long, signature binary")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import add_columns, mix64, slices
+from strata.llm.common import add_columns, forget, give_back, mix64, slices
 
 #: Bound of the labelled sample, in documents.
 SAMPLE = 6_000
@@ -154,12 +154,14 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(ids), "doc")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for b in batches:
             texts = b.column(2).cast(pa.binary()).to_pylist()
             for i, j in slices(texts):
                 x, owner = describe(texts[i:j])
                 packed = [x[owner == k].astype(np.float16).tobytes() for k in range(j - i)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(packed, pa.binary())], ["doc", "label", "bag"])
+        give_back()
 
     found = rows.select("doc", "label", "text").mapInArrow(bags, "doc long, label int, bag binary").toPandas()
     if not len(found):

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import add_columns, coded_words, mix64, most_frequent, slices, stored
+from strata.llm.common import add_columns, coded_words, give_back, mix64, most_frequent, slices, stored
 
 K = 20
 #: Words of a minimiser.
@@ -370,6 +370,7 @@ def removed_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 rows = list(_send(doc[i:j], version[i:j], texts[i:j], runs, code, buckets, k, m))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["bucket", "packed", "gone"])
+        give_back()
 
     def judge(rows: pd.DataFrame) -> pd.DataFrame:
         packed = [p for p in rows["packed"] if p is not None]
