@@ -1,7 +1,9 @@
 """Near-duplicate detection with DartMinHash signatures.
 
-A text is a weighted set of word shingles (runs of five words; weight 1 for the
-similarity of sets, or the number of occurrences).  Hashed darts are thrown
+A text is a weighted set of word shingles (runs of five words; a shingle weighs
+as often as it occurs, or 1 with ``counted=False``, for the similarity of plain
+sets).  Two texts are alike by sum(min) / sum(max) of their weights, which is
+that of sets where no shingle repeats.  Hashed darts are thrown
 into every element's region of weight x rank, the same darts wherever the
 element occurs: cells of doubling size hold a Poisson number of darts, each
 with a coordinate, a weight position and a rank.  A text keeps the darts below
@@ -64,7 +66,7 @@ FIRST = 1 / 16
 
 
 # ---------------------------------------------------------------- shingles
-def shingles(texts: list[bytes | None], counted: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(texts: list[bytes | None], counted: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashed shingles of many texts, ascending within a text; the text of each; its weight."""
     words, codes, starts = coded_words(texts)
     hashes = word_hashes(words)[codes]
@@ -78,6 +80,23 @@ def shingles(texts: list[bytes | None], counted: bool = False) -> tuple[np.ndarr
     return np.concatenate(names), np.concatenate(owners), np.concatenate(weights)
 
 
+def occurrences(elements: np.ndarray, owner: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted sets as plain ones: a name for each occurrence, ascending within a text; the text of each.
+
+    The first occurrence keeps the element's name, so that common names of two texts are the
+    sum of the lesser weights, and all names that of the greater.
+    """
+    times = weights.astype(np.int64)
+    if not (times > 1).any():
+        return elements, owner
+    turn = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+    names, of = np.repeat(elements, times), np.repeat(owner, times)
+    again = turn > 0
+    names[again] = mix64(names[again] ^ mix64(turn[again].astype(np.uint64)))
+    order = np.lexsort((names, of))
+    return names[order], of[order]
+
+
 # ------------------------------------------------------------------- darts
 _CHANCES: dict[float, np.ndarray] = {}
 
@@ -218,7 +237,7 @@ def _version(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
 
 
-def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = False) -> DataFrame:
+def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
     """(doc, version, set_a, set_b, signature): a 128-bit name of the shingle set (NULL: no words) and the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,14 +289,14 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return bands.join(shared, "key")
 
 
-def _elements(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, elements) of the wanted nodes (node, doc, version): their shingles, packed."""
+def _elements(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, counted: bool) -> DataFrame:
+    """(node, elements) of the wanted nodes (node, doc, version): their shingles, each as often as it weighs, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).cast(pa.binary()).to_pylist()
             for i, j in slices(texts):
-                elements, owner, _ = shingles(texts[i:j])
+                elements, owner = occurrences(*shingles(texts[i:j], counted))
                 edges = np.searchsorted(owner, np.arange(j - i + 1))
                 packed = [elements[a:z].tobytes() for a, z in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(packed, pa.binary())], ["node", "elements"])
@@ -350,14 +369,14 @@ def _still_apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return dealt.select(F.explode(F.concat(with_largest, others)).alias("g"), "node", "component")
 
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = False) -> DataFrame:
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
     """(doc, version, class, stands): every row's number, the hash of its text, its class, and whether it stands for the class."""
     sketched = stored(sketch(docs, id_col, text_col, counted), "sketches")
     some = sketched.where("signature IS NOT NULL")
     nodes = stored(_nodes(some), "nodes")
     buckets = stored(_buckets(nodes), "buckets")
     wanted = nodes.select("node", "doc", "version").join(buckets.select("node").distinct(), "node")
-    elements = stored(_elements(docs, wanted, id_col, text_col), "shingles")
+    elements = stored(_elements(docs, wanted, id_col, text_col, counted), "shingles")
 
     links = stored(_grouped_links(stored(_pair_with_hubs(buckets), "groups"), nodes, elements), "links")
     apart = stored(_still_apart(buckets, components(links)), "groups")
@@ -373,16 +392,16 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
     return judged.unionByName(alone)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
     """(doc, class): every document's number and the least number in its class."""
     return classify(docs, id_col, text_col, counted).select("doc", "class")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
     """One document of each class, once; columns of ``docs``."""
     place = {c: f"d{i}" for i, c in enumerate(docs.columns)}  # free of the names added here
     rows = docs.select(*[F.col(f"`{c}`").alias(d) for c, d in place.items()])
     key = [_known(place[id_col], place[text_col]).alias("doc"), _version(place[text_col]).alias("version")]
-    chosen = classify(rows, place[id_col], place[text_col]).where("stands").select("doc", "version").distinct()
+    chosen = classify(rows, place[id_col], place[text_col], counted).where("stands").select("doc", "version").distinct()
     kept = rows.select("*", *key).join(chosen, ["doc", "version"], "left_semi").dropDuplicates(["doc", "version"])
     return kept.select(*[F.col(d).alias(c) for c, d in place.items()])

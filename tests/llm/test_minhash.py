@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -14,16 +15,17 @@ def words(text):
     return (text or "").encode().split()
 
 
-def shingle_set(text):
+def shingle_counts(text):
     w = words(text)
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
 
 
-def brute(rows):
-    """{id: least id of its class} over all pairs."""
+def brute(rows, counted=True):
+    """{id: least id of its class} over all pairs; sets without counts."""
     sets = {}
     for i, t in rows:
-        sets.setdefault(i, []).append(shingle_set(t))
+        found = shingle_counts(t)
+        sets.setdefault(i, []).append(found if counted else Counter(found.keys()))
     ids = sorted(sets)
     up = {i: i for i in ids}
 
@@ -34,7 +36,7 @@ def brute(rows):
 
     for k, a in enumerate(ids):
         for b in ids[:k]:
-            if any(x and y and len(x & y) >= 0.8 * len(x | y) for x in sets[a] for y in sets[b]):
+            if any(x and y and (x & y).total() >= 0.8 * (x | y).total() for x in sets[a] for y in sets[b]):
                 x, y = sorted((root(a), root(b)))
                 up[y] = x
     return {i: root(i) for i in ids}
@@ -63,6 +65,36 @@ def test_signatures_do_not_depend_on_company():
     assert (every[:2] > 0).all() and (every[2:4] == 0).all()
 
 
+def test_occurrences_carry_the_weights():
+    texts = [b"a b c d e " * 30 + b"x y z", b"a b c d e " * 24 + b"x y z w", b"p q r s t u v", b""]
+    names, of = mh.occurrences(*mh.shingles(texts))
+    for i in range(4):
+        for j in range(4):
+            x, y = shingle_counts(texts[i].decode()), shingle_counts(texts[j].decode())
+            if x and y:
+                a, b = names[of == i], names[of == j]
+                assert (np.diff(a.astype(object)) > 0).all() and len(a) == x.total()
+                assert abs(mh.similarity(a, b) - (x & y).total() / (x | y).total()) < 1e-12
+    plain = mh.shingles(texts, counted=False)
+    assert mh.occurrences(*plain)[0] is plain[0]
+
+
+def test_repeated_shingles_weigh(spark):
+    """Texts of one set and other counts: apart by their weights, alike as plain sets."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(12):
+        line = " ".join(f"l{k}-{i}" for i in range(8))
+        tail = " ".join(f"t{k}-{i}" for i in range(60))
+        rows += [(10 * k + j, f"{line} " * n + tail) for j, n in enumerate((2, 3, 40, 41, 47, 90))]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for counted in (True, False):
+        got = {r.doc: r["class"] for r in mh.near_duplicates(docs, counted=counted).collect()}
+        assert got == brute(rows, counted)
+        assert len(set(got.values())) == 12 * (3 if counted else 1)
+
+
 def edit(rng, w, n):
     w = list(w)
     for _ in range(n):
