@@ -8,19 +8,22 @@ scored by a logistic layer.  So a document with one bad stretch among good
 ones is judged by what the model learned to look at.
 
 Passages are described by Spark's tasks.  The network is fitted with Adam to a
-bounded sample of labelled documents (``SAMPLE``, the first by a hash of
-the id), on the driver, from a fixed seed; all documents are scored by the
-tasks.
+bounded sample of labelled documents (the first ``SAMPLE`` by a hash of
+the id, as far as ``PASSAGES`` go: one with more than are left is not learned from),
+on the driver, from a fixed seed; all documents are scored by the
+tasks.  A text is read ``TOGETHER`` passages at a time, and the weighted mean is
+kept up as they pass, so that a task holds no more of a very long one.
 
 Defined results: a NULL text, and one without words, is a bag of one empty
-passage.  A document with several labels is good if any of them is 1; NULL labels
+passage.  Rows with the same id and text are learned from once.  A document with several labels is good if any of them is 1; NULL labels
 and ids are not learned from.  Without labelled rows every score is 0.5.
 Extra columns pass through; one named like an added one is replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import add_columns, forget, give_back, mix64, slices
+from strata.llm.common import add_columns, forget, give_back, mix64, slices, stored
 
-#: Bound of the labelled sample, in documents.
+#: Bounds of the labelled sample, in documents and in their passages (about 400 bytes each).
 SAMPLE = 6_000
+PASSAGES = 400_000
+#: Words of a passage, and passages that are described at once.
 PASSAGE = 64
+TOGETHER = 4_096
 #: Dimensions: hashed n-grams, statistics, encoding, attention.
 GRAMS = 192
 STATS = 12
@@ -48,16 +54,40 @@ _KNOWN = [chr(c) for c in range(0x250)]
 _CLASSES = np.array([[c.isupper() for c in _KNOWN], [c.islower() for c in _KNOWN], [c.isdigit() for c in _KNOWN], [c in "#*$%&|<>" for c in _KNOWN], [c in "!?" for c in _KNOWN], [c in ".,;:" for c in _KNOWN], [ord(c) > 0x7F for c in _KNOWN]])
 
 
-def passages_of(text: bytes | None) -> list[list[bytes]]:
-    words = (text or b"").split()
-    return [words[i : i + PASSAGE] for i in range(0, len(words), PASSAGE)] or [[]]
+_PASSAGE = re.compile(rb"(?:\S++\s*+){1,%d}" % PASSAGE)
+
+
+def passages_of(text: bytes | None) -> Iterator[list[bytes]]:
+    """The words of each passage, one passage after another."""
+    some = False
+    for found in _PASSAGE.finditer(text or b""):
+        some = True
+        yield found.group().split()
+    if not some:
+        yield []
+
+
+def described(texts: list[bytes | None], together: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of passages: a row of GRAMS + STATS numbers for each, and the text it belongs to."""
+    flat, owner = [], []
+    for i, text in enumerate(texts):
+        for p in passages_of(text):
+            flat.append(p)
+            owner.append(i)
+            if len(flat) == (together or TOGETHER):
+                yield _numbers(flat), np.array(owner)
+                flat, owner = [], []
+    if flat:
+        yield _numbers(flat), np.array(owner)
 
 
 def describe(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """A row of GRAMS + STATS numbers for every passage, and the text it belongs to."""
-    bags = [passages_of(t) for t in texts]
-    owner = np.repeat(np.arange(len(texts)), [len(b) for b in bags])
-    flat = [p for b in bags for p in b]
+    """All runs of :func:`described` together."""
+    runs = list(described(texts))
+    return np.concatenate([x for x, _ in runs]), np.concatenate([owner for _, owner in runs])
+
+
+def _numbers(flat: list[list[bytes]]) -> np.ndarray:
     n = len(flat)
     spelled = [(b" " + b" ".join(p) + b" ").decode() for p in flat]
     chars = np.frombuffer("".join(spelled).encode("utf-32-le"), "<u4").astype(np.uint64)
@@ -81,7 +111,7 @@ def describe(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     stats[:, 9] = size / PASSAGE
     stats[:, 10] = np.minimum(lengths / np.maximum(size, 1) / 10, 3)
     stats[:, 11] = [sum(not w.isalpha() and w.isascii() for w in p) / max(1, len(p)) for p in flat]
-    return np.hstack([grams, stats]).astype(np.float32), owner
+    return np.hstack([grams, stats]).astype(np.float32)
 
 
 def _sigmoid(x):
@@ -111,6 +141,21 @@ class Network:
         f["y"] = _sigmoid(f["z"] @ p["c"] + p["c0"])
         return f
 
+    def scores(self, runs: Iterable[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+        """The ``y`` of :meth:`forward`, from runs of passages: sums so far fade as a greater attention comes."""
+        p, top, total, z = self.p, np.full(n, -np.inf), np.zeros(n), np.zeros((n, HIDDEN))
+        for x, bag in runs:
+            h = np.tanh(x.astype(np.float64) @ p["W"] + p["b"])
+            e = (np.tanh(h @ p["V"]) * _sigmoid(h @ p["U"])) @ p["a"]
+            was, top = top, top.copy()
+            np.maximum.at(top, bag, e)
+            fade = np.exp(was - np.where(np.isfinite(top), top, 0))
+            w = np.exp(e - top[bag])
+            total = total * fade + np.bincount(bag, w, n)
+            z *= fade[:, None]
+            np.add.at(z, bag, w[:, None] * h)
+        return _sigmoid(z / total[:, None] @ p["c"] + p["c0"])
+
     def gradients(self, x: np.ndarray, bag: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean cross-entropy over the bags."""
         p, n = self.p, len(y)
@@ -147,27 +192,44 @@ class Network:
         return self
 
 
-def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> dict[str, np.ndarray] | None:
+def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, passages: int = PASSAGES) -> dict[str, np.ndarray] | None:
     """The fitted weights; ``labels`` are the rows that may be learned from."""
     per_id = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc")).agg(F.max(label_col).cast("int").alias("label"))
     ids = per_id.orderBy(F.xxhash64("doc"), "doc").limit(sample)
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(ids), "doc")
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("version"), text.alias("text"))
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for b in batches:
-            texts = b.column(2).cast(pa.binary()).to_pylist()
+            texts = b.column(3).cast(pa.binary()).to_pylist()
             for i, j in slices(texts):
-                x, owner = describe(texts[i:j])
-                packed = [x[owner == k].astype(np.float16).tobytes() for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(packed, pa.binary())], ["doc", "label", "bag"])
+                count, packed = np.zeros(j - i, np.int64), [[] for _ in range(j - i)]
+                for x, owner in described(texts[i:j]):
+                    for k in np.unique(owner).tolist():
+                        mine = x[owner == k]
+                        count[k] += len(mine)
+                        if count[k] <= passages:
+                            packed[k].append(mine.astype(np.float16).tobytes())
+                        else:
+                            packed[k] = []
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in range(3)), pa.array(count), pa.array([b"".join(x) for x in packed], pa.binary())], ["doc", "version", "label", "n", "bag"])
         give_back()
 
-    found = rows.select("doc", "label", "text").mapInArrow(bags, "doc long, label int, bag binary").toPandas()
-    if not len(found):
+    found = rows.join(F.broadcast(ids), "doc").select("doc", "version", "label", "text").mapInArrow(bags, "doc long, version long, label int, n long, bag binary")
+    found = stored(found, "quality-sample")
+    first = found.groupBy("doc", "version").agg(F.max("n").alias("n")).orderBy(F.xxhash64("doc"), "doc", "version").limit(sample).collect()
+    chosen, left = [], passages
+    for r in first:
+        if r.n <= left:
+            chosen.append((r.doc, r.version))
+            left -= r.n
+    if not chosen:
         return None
-    found = found.sort_values(["doc", "bag"], kind="stable")
-    return Network().fit([np.frombuffer(x, np.float16).reshape(-1, GRAMS + STATS) for x in found["bag"]], found["label"].to_numpy(float)).p
+    those = docs.sparkSession.createDataFrame(chosen, "doc long, version long")
+    bag = found.join(F.broadcast(those), ["doc", "version"]).groupBy("doc", "version").agg(F.max("label").alias("label"), F.first("bag").alias("bag")).toPandas()
+    bag = bag.sort_values(["doc", "version"])
+    return Network().fit([np.frombuffer(x, np.float16).reshape(-1, GRAMS + STATS) for x in bag["bag"]], bag["label"].to_numpy(float)).p
 
 
 def score(docs: DataFrame, weights: dict[str, np.ndarray] | None, text_col: str = "text", threshold: float = 0.3, keep: list[str] | None = None) -> DataFrame:
@@ -182,8 +244,7 @@ def score(docs: DataFrame, weights: dict[str, np.ndarray] | None, text_col: str
         def work(texts: list[bytes | None]) -> list[pa.Array]:
             scores = np.full(len(texts), 0.5)
             if shared.value is not None:
-                x, owner = describe(texts)
-                scores = np.round(network.forward(x.astype(np.float64), owner, len(texts))["y"], 6)
+                scores = np.round(network.scores(described(texts), len(texts)), 6)
             return [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
 
         return work

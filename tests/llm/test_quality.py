@@ -44,6 +44,36 @@ def test_attention_sums_to_one_and_a_bag_is_its_passages():
         assert np.allclose(alone, x[owner == k], atol=1e-6)
 
 
+def test_runs_of_passages_score_as_a_whole():
+    texts = [("word%d of the %d " % (i, i * 7) * 300).encode() for i in range(5)] + [b"", None, b"  one\x0btwo\n"]
+    net = quality.Network(3)
+    net.p = {k: v * 3 for k, v in net.p.items()}
+    x, owner = quality.describe(texts)
+    whole = net.forward(x.astype(float), owner, len(texts))["y"]
+    for together in (1, 2, 7, 1000):
+        runs = list(quality.described(texts, together))
+        assert max(len(r) for r, _ in runs) <= together and sum(len(r) for r, _ in runs) == len(x)
+        assert np.allclose(net.scores(runs, len(texts)), whole, atol=1e-9)
+    words = (b" \t x\x0cy \xc2\xa0 z\n" * 50).split()
+    assert sum(quality.passages_of(b" \t x\x0cy \xc2\xa0 z\n" * 50), []) == words
+
+
+def test_sample_is_bounded_in_documents_and_passages(spark, monkeypatch):
+    """A row that stands a thousand times is learned from once; a text longer than the bound, not at all."""
+    seen = []
+    monkeypatch.setattr(quality.Network, "fit", lambda self, bags, y: seen.append(([len(b) for b in bags], y.tolist())) or self)
+    rows = [(1, "a b c")] * 1000 + [(1, "d e"), (2, "w " * 64 * 30), (None, "n"), (3, None), (4, "x " * 64 * 3), (5, "not labelled")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 0), (4, 1), (None, 1)], "doc_id long, quality int")
+    quality.learn(docs, labels, passages=10)
+    quality.learn(docs, labels)
+    quality.learn(docs, labels, sample=2)
+    assert sorted(zip(*seen[0])) == [(1, 0.0), (1, 1.0), (1, 1.0), (3, 1.0)]
+    assert sorted(zip(*seen[1])) == [(1, 0.0), (1, 1.0), (1, 1.0), (3, 1.0), (30, 0.0)]
+    assert len(seen[2][0]) == 2
+    assert quality.learn(docs.limit(0), labels) is None
+
+
 @pytest.fixture(scope="module")
 def weights(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
