@@ -1,8 +1,7 @@
 """Quality rules: word statistics, and a hashed n-gram likelihood ratio.
 
 Two multinomials over ``BUCKETS`` hashed features are counted over all texts:
-one of the trusted target (documents labelled good, a sample of about ``TRUSTED`` of them where
-there are more), one of the raw corpus (every document).  A document's score is the mean over its features of
+one of the trusted target (every document labelled good), one of the raw corpus (every document).  A document's score is the mean over its features of
 log(p_target / p_raw): length-normalised, so that one threshold holds for
 every length.  Every document is decided by the same comparison.
 
@@ -33,8 +32,8 @@ from strata.llm.common import add_columns, coded_words, mix64, slices, stored
 
 BUCKETS = 16_384
 PRIOR = 0.5
-#: Labelled documents that the target is counted from, about.
-TRUSTED = 50_000
+#: Ids of the target that are broadcast (some 60 bytes each); with more of them texts meet their ids by a shuffle.
+BROADCAST_IDS = 8_000_000
 #: A document is kept when its score is at least this (natural logarithm per feature).
 THRESHOLD = -0.25
 #: The base rules.
@@ -91,20 +90,24 @@ def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
-def trusted(good: DataFrame, size: int = TRUSTED) -> DataFrame:
-    """The ids of the target (good_id), about ``size`` of them where there are more: those of the least hashes."""
+def trusted(good: DataFrame, size: int | None = None) -> DataFrame:
+    """The ids of the target (good_id), each once: all of them, or about ``size`` if a caller asks for a sample, those of the least hashes."""
     ids = good.select(F.col(f"`{good.columns[0]}`").alias("good_id")).where("good_id IS NOT NULL").distinct()
     found = stored(ids, "trusted")
+    if size is None:
+        return found
     share = min(1.0, size / max(1, found.count()))
     return found.where(F.pmod(F.xxhash64(F.lit("trusted"), "good_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
-def ngram_counts(docs: DataFrame, good: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(bucket, target, raw): occurrences in the documents whose id is in the sample of ``good``, and in all.
+def ngram_counts(docs: DataFrame, good: DataFrame, id_col: str, text_col: str, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """(bucket, target, raw): occurrences in the documents whose id is in ``good``, and in all.
 
-    The sample's size is bounded, so its ids are broadcast at every size of the corpus: no text is shuffled.
+    Every document of ``good`` counts.  Up to ``broadcast_ids`` ids are broadcast, so that no text is shuffled; more
+    are joined by a shuffle, with the same counts.
     """
-    ids = F.broadcast(trusted(good))
+    ids = trusted(good)
+    ids = F.broadcast(ids) if ids.count() <= broadcast_ids else ids.hint("merge")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     flagged = rows.join(ids, F.col("id") == F.col("good_id"), "left").select(F.col("good_id").isNotNull().alias("good"), "text")
 

@@ -95,3 +95,14 @@ def test_target_is_a_bounded_sample_and_no_text_is_shuffled(spark):
     assert 400 < some.count() < 600 and sorted(some.collect()) == sorted(rules.trusted(good.repartition(3), size=500).collect())
     plan = rules.ngram_counts(docs, good, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_every_good_document_counts(spark):
+    """More good documents than any bound on ids that travel: all of them are counted, by either join."""
+    docs = spark.range(0, 60_000, 1, 4).select(F.col("id").alias("doc_id"), F.lit("ab").alias("text"))
+    good = docs.select("doc_id").where("doc_id >= 4000")
+    for limit in (rules.BROADCAST_IDS, 1000):
+        counts = rules.ngram_counts(docs, good, "doc_id", "text", limit)
+        assert counts.count() and {(r.target, r.raw) for r in counts.collect()} == {(56_000, 60_000)}
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
