@@ -239,8 +239,7 @@ def q_dim_upsert(spark, sf):
     )
     added = zones.select((-F.col("location_id")).alias("location_id"), "zone_name", F.lit("Nowhere").alias("borough"), F.lit("insert").alias("op")).where("location_id % 5 = 0 AND location_id <> 0")
     upsert.upsert(t, changed.unionByName(added), "location_id", ZONE_RANGE, "op", batch_id=build.RUN_2, committed_at=build.at(2))
-    written = t.pins(t.current_version()).select(upsert.RANGE, F.col("data_version").alias("written_by"))
-    return t.read().join(F.broadcast(written), upsert.RANGE).select("location_id", "zone_name", "borough", "written_by")
+    return t.read().select("location_id", "zone_name", "borough", F.col(upsert.WRITTEN).alias("written_by"))
 
 
 def q_clustered_two_columns(spark, sf):

@@ -32,6 +32,19 @@ def test_untouched_ranges_keep_their_files(spark, layout):
     assert upsert.upsert(t, changes.limit(0), "id", 10, "op") == t.current_version()
 
 
+def test_many_ranges_share_folders_and_keep_the_version_that_wrote_them(spark, layout, monkeypatch):
+    """200 ranges in 20 folders at most, written by several tasks; a range that no change meets keeps its version."""
+    monkeypatch.setattr(upsert, "FOLDERS", 20, raising=False)
+    rows = spark.range(0, 2000).select("id", F.concat(F.lit("n"), "id").alias("name"))
+    t = upsert.create_keyed(spark, f"{layout.root}/dim", rows, "id", 10)
+    assert len(t.pin_rows(t.current_version())) <= 20 and 4 <= len(files_of(t)) <= 20
+    changes = spark.createDataFrame([(i, "new", "update") for i in range(0, 2000, 20)] + [(15, None, "delete"), (-3, "minus", "insert")], CHANGES)
+    upsert.upsert(t, changes, "id", 10, "op")
+    expected = {i: ("n" + str(i), 3 if i // 10 % 2 == 0 or i // 10 == 1 else 2) for i in range(2000)} | {i: ("new", 3) for i in range(0, 2000, 20)} | {-3: ("minus", 3)}
+    del expected[15]
+    assert {r.id: (r["name"], r[upsert.WRITTEN]) for r in t.read().collect()} == expected
+
+
 def test_a_range_can_be_emptied_and_bad_changes_are_refused(spark, layout):
     t = upsert.create_keyed(spark, f"{layout.root}/dim", spark.createDataFrame([(1, "a"), (11, "b")], DIM), "id", 10)
     upsert.upsert(t, spark.createDataFrame([(1, None, "delete")], CHANGES), "id", 10, "op")
