@@ -54,9 +54,9 @@ def _layers(spark: SparkSession, sf_dir: str) -> build.Built:
     return build.build_layers(spark, sf_dir)
 
 
-def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _conformed(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """The raw trip feed in silver spelling (no table written)."""
-    raw = trip_records(spark, sf_dir).withColumns(
+    raw = trip_records(spark, sf_dir, partitions).withColumns(
         {"_batch_id": F.lit(None).cast("string"), "year": F.year("o_orderdate"), "month": F.month("o_orderdate")}
     )
     return silver_ops.with_event_month(silver_ops.conform(raw), "pickup_at")
@@ -308,7 +308,8 @@ def q_partition_rows(spark, sf):
 
 
 def q_bench_table(spark, sf):
-    c = _conformed(spark, sf)
+    # the experiment varies the aggregate's partitions; the join below it keeps the session's number
+    c = _conformed(spark, sf, int(spark.conf.get("spark.sql.shuffle.partitions")))
     exp = Experiment(
         "shuffle_partitions", "spark.sql.shuffle.partitions", [2, 8],
         lambda s, v: c.groupBy("pu_location_id").count(), runs=1,
