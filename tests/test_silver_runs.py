@@ -95,6 +95,19 @@ def test_files_hold_at_least_a_file_of_rows(spark, layout):
     assert [r["count"] for r in files_of(t, dt.date(2024, 4, 1))] == [50]
 
 
+def test_small_files_share_tasks(spark, layout):
+    """3000 rows in files of 10: no file is larger than it may be, no more of them than the rows fill, in a few tasks."""
+    land(spark, layout, 2024, 3, month(3, *[(i, {}) for i in range(3000)]))
+    bronze.run_bronze(spark, layout, "b1")
+    for run in ("s1", "s2"):  # the second run knows the months' rows
+        silver.run_silver(spark, layout, dim(spark), run, rows_per_file=10)
+        march = [r["count"] for r in files_of(VersionedTable(spark, layout.silver), dt.date(2024, 3, 1))]
+        assert sum(march) == 3000 and max(march) <= 11 and 3000 / 11 <= len(march) <= 300
+    pins = VersionedTable(spark, layout.bronze).pin_rows(2)
+    kept, _ = silver.files_per_month(VersionedTable(spark, layout.silver), pins, 0, silver._setup(silver.default_rules(0, "pickup_at"), 0, "pickup_at"), 10)
+    assert sum(kept.values()) <= 3000 // 10 // 50  # tasks: one for 100 files, not one for each
+
+
 def test_lineage_narrows_what_a_backfill_reads(spark, layout):
     """Months 1-6, tolerance 3; only April holds a late row of March."""
     for m in range(1, 7):
