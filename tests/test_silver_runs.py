@@ -108,6 +108,57 @@ def test_small_files_share_tasks(spark, layout):
     assert sum(kept.values()) <= 3000 // 10 // 50  # tasks: one for 100 files, not one for each
 
 
+def test_rows_that_stay_in_their_month_are_not_dealt(spark, layout, monkeypatch):
+    """One bronze file a month: no shuffle, the same rows, one file.  With late rows: dealt."""
+    plans, write = [], VersionedTable.write
+
+    def watched(self, df, *args, **kw):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, df, *args, **kw)
+
+    for m in (3, 4):
+        land(spark, layout, 2024, m, month(m, (m, {}), (10 * m, dict(l_suppkey=99)), (100 * m, dict(l_extendedprice=-1.0))))
+    bronze.run_bronze(spark, layout, "b1")
+    monkeypatch.setattr(VersionedTable, "write", watched)
+    silver.run_silver(spark, layout, dim(spark), "s1")
+    silver.run_silver(spark, layout, dim(spark), "s2", tolerance_months=3, silver_root=f"{layout.root}/late")
+    assert ["Repartition" in p for p in plans] == [False, True]
+    assert ids(silver.read_silver(spark, layout)) == [3, 4, 30, 40] and ids(silver.read_rejects(spark, layout)) == [300, 400]
+    t = VersionedTable(spark, layout.silver)
+    assert [r["count"] for r in files_of(t, dt.date(2024, 3, 1))] == [2]
+    assert ids(silver.read_kept(VersionedTable(spark, f"{layout.root}/late"))) == [3, 4, 30, 40]
+
+
+def test_a_month_in_more_files_than_its_rows_fill_is_dealt(spark, layout):
+    land(spark, layout, 2024, 3, month(3, (1, {}), (2, {})))
+    land(spark, layout, 2024, 4, month(4, (3, {})))
+    bronze.run_bronze(spark, layout, "b1")
+    t = VersionedTable(spark, layout.bronze)
+    t.append(t.read().where("month = 3"))
+    pins = t.pin_rows(t.current_version())
+    rows = t.scan_pins(pins)
+    assert len(rows.inputFiles()) == 3
+    assert not silver.well_filed(rows, pins, 1000) and silver.well_filed(rows, pins, 2)
+    silver.run_silver(spark, layout, dim(spark), "s1")
+    assert [r["count"] for r in files_of(VersionedTable(spark, layout.silver), dt.date(2024, 3, 1))] == [4]
+    assert ids(silver.read_silver(spark, layout)) == [1, 1, 2, 2, 3]
+
+
+def test_a_dimension_too_large_to_broadcast_is_dealt_after_its_join(spark, layout, monkeypatch):
+    seen, write = [], VersionedTable.write
+
+    def watched(self, df, *args, **kw):
+        seen.append("Repartition" in df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, df, *args, **kw)
+
+    land(spark, layout, 2024, 3, month(3, (1, {})))
+    bronze.run_bronze(spark, layout, "b1")
+    monkeypatch.setattr(VersionedTable, "write", watched)
+    monkeypatch.setattr(silver, "broadcast_fits", lambda _: False)
+    silver.run_silver(spark, layout, dim(spark), "s1")
+    assert seen == [True] and ids(silver.read_silver(spark, layout)) == [1]
+
+
 def test_lineage_narrows_what_a_backfill_reads(spark, layout):
     """Months 1-6, tolerance 3; only April holds a late row of March."""
     for m in range(1, 7):
