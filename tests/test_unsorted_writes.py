@@ -6,6 +6,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql.readwriter import DataFrameWriter
 
+from strata import build
 from strata.operators import bronze as bronze_ops
 from strata.session import OPEN_FILES, unsorted_write
 from strata.sources import stage_landing
@@ -36,6 +37,18 @@ def test_layers_are_written_without_a_sort(spark, layout, writes):
     assert spark.conf.get(KEY, None) == before
 
 
+def test_history_and_null_deliveries_are_written_without_a_sort(spark, writes):
+    """The runs behind ``version_diff`` and ``snapshots``, and the delivery of ``nullability_change``."""
+    import __spark_entry__ as entry
+
+    b = build.build_layers(spark, SF_SMALL)
+    assert b.history_table().current_version() == b.hist()["undo"]
+    assert entry.queries()["nullability_change"](spark, SF_SMALL).count() > 0
+    runs = [n for p, n in writes if p == f"{b.hist_root}/data"]
+    nulls = [n for p, n in writes if "/nulls-" in p]
+    assert runs == [OPEN_FILES] * 3 and nulls == [OPEN_FILES]
+
+
 def test_more_partitions_than_open_files_lose_no_row(spark, layout):
     path = f"{layout.root}/many"
     with unsorted_write(spark):
