@@ -309,13 +309,14 @@ def q_partition_rows(spark, sf):
 
 
 def q_bench_table(spark, sf):
+    """Trips per zone by shuffle partitions: plan and seconds, the median of three runs of each number."""
     # the experiment varies the aggregate's partitions; the join below it keeps the session's number
     c = _conformed(spark, sf, int(spark.conf.get("spark.sql.shuffle.partitions")))
     exp = Experiment(
-        "shuffle_partitions", "spark.sql.shuffle.partitions", [2, 8],
-        lambda s, v: c.groupBy("pu_location_id").count(), runs=1,
+        "shuffle_partitions", "spark.sql.shuffle.partitions", [2, 8, 64, 200],
+        lambda s, v: c.groupBy("pu_location_id").count(),
     )
-    return exp.run(spark).select("experiment", "variable", "value", "exchanges")
+    return exp.run(spark).select("experiment", "variable", "value", "exchanges", "joins", "median_sec", "min_sec", "max_sec")
 
 
 # ----------------------------------------------------------------------------- landing / bronze
